@@ -26,6 +26,37 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_SHAPE = {"y": r"[+-]?\d+", "M": r"\d{1,2}", "d": r"\d{1,2}", "MMM": r"[A-Za-z]+",
+          "H": r"\d{1,2}", "m": r"\d{1,2}", "s": r"\d{1,2}"}
+
+
+def pattern_shape(pattern: str) -> str | None:
+    """A permissive regex every text must match for ``pattern`` to parse it.
+
+    Used only as a pre-check: texts of the wrong shape skip the datetime parser
+    (whose failures are expensive); texts of the right shape are still parsed
+    and validated by Spark.  ``None`` when the pattern has letters this helper
+    does not know (then no pre-check is made).
+    """
+    import re
+    out, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        j = i
+        while j < len(pattern) and pattern[j] == ch:
+            j += 1
+        run = pattern[i:j]
+        if ch.isalpha():
+            key = "MMM" if ch == "M" and len(run) >= 3 else ch
+            if key not in _SHAPE:
+                return None
+            out.append(_SHAPE[key])
+        else:
+            out.append(re.escape(run))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
 def parse_date(c: Column | str, patterns: Sequence[str], trim: bool = False) -> Column:
     """First pattern that parses, else NULL.
 
@@ -33,7 +64,12 @@ def parse_date(c: Column | str, patterns: Sequence[str], trim: bool = False) ->
     ambiguous text is read with the first pattern, so ``05/03/2025`` is May 3.
     """
     text = F.trim(_c(c)) if trim else _c(c)
-    return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+    tries = []
+    for p in patterns:
+        shape = pattern_shape(p)
+        parsed = F.try_to_date(text, p)
+        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
+    return F.coalesce(*tries)
 
 
 def quality_label(parsed: Column | str, valid: str, invalid: str) -> Column:

@@ -2,9 +2,12 @@
 
 Row-level MERGE does not exist for plain parquet tables, so a merge here is a
 DataFrame plan that the caller publishes as a new snapshot
-(:func:`ledgerlake.sources.tables.publish`).  Every join is an equi join on the
-business key; both inputs are shuffled once on that key and the shuffle is
-reused by the second join of the same merge.
+(:func:`ledgerlake.sources.tables.publish`).  Each merge is one full outer
+equi join on the business key (both inputs shuffled once on that key, at most
+one row per key on each side, so nothing fans out and no key is hot); the
+joined rows are materialized once when surrogate keys must be issued.
+``scd2_close`` and ``scd2_new_versions`` are the two halves of the SCD2 merge
+as separate operators (the reference's MERGE and INSERT statements).
 """
 
 from __future__ import annotations
@@ -27,35 +30,57 @@ def _without_null_keys(source: DataFrame, key: str, quarantine: bool) -> DataFra
     return source.where(F.col(key).isNotNull()) if quarantine else source
 
 
+def _freeze(df: DataFrame, freeze: bool) -> DataFrame:
+    """Materialize the joined rows once (reliable checkpoint in the shared
+    checkpoint folder): both halves of a merge read the same rows, and neither
+    the target nor the source plan runs twice."""
+    return df.checkpoint(eager=True) if freeze else df
+
+
 def fact_upsert(target: DataFrame, source: DataFrame, key: str,
                 quarantine_null_keys: bool = True) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE all columns / WHEN NOT MATCHED INSERT.
 
-    With no surrogate key to keep, the result is the source plus the target
-    rows the source does not mention (anti join on the key).
+    One full outer equi join on the key: a source row replaces its target row,
+    unmatched rows of either side pass through.  Keys are unique on both sides,
+    so the join cannot fan out and no key can be hot.
     """
     src = _without_null_keys(source, key, quarantine_null_keys).select(*target.columns)
-    kept = target.join(src.select(key), key, "left_anti")
-    return kept.unionByName(src)
+    t, s = target.alias("t"), src.alias("s")
+    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    hit = F.col(f"s.{key}").isNotNull() | (F.col(f"t.{key}").isNull())
+    return j.select(*[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns])
 
 
 def scd1_merge(target: DataFrame, source: DataFrame, key: str, sk_col: str,
                update_cols: Sequence[str], quarantine_null_keys: bool = True,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, freeze: bool = True) -> DataFrame:
     """Overwrite-in-place dimension: matched rows keep their surrogate key and
-    take the source values; new keys get ``max(sk)+1 ...`` in key order."""
+    take the source values; new keys get ``max(sk)+1 ...`` in key order.
+
+    Plan: one full outer join of target and source on the key, materialized
+    once; rows with a key pass through, rows without get keys from
+    :func:`assign_keys` (offsets from per-partition counts).
+    """
     src = _without_null_keys(source, key, quarantine_null_keys)
     t = target.alias("t")
     s = src.select(key, *update_cols).alias("s")
-    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
-    matched = F.col(f"s.{key}").isNotNull()
-    updated = joined.select(
-        *[(F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-           if c in update_cols else F.col(f"t.{c}").alias(c)) for c in target.columns])
-    fresh = src.select(key, *update_cols).join(target.select(key), key, "left_anti")
-    fresh = assign_keys(fresh, [key], sk_col, start=max_key(target, sk_col),
-                        num_partitions=num_partitions)
-    return updated.unionByName(fresh.select(*target.columns))
+    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    from_s = F.col(f"s.{key}").isNotNull()
+    cols = []
+    for c in target.columns:
+        if c == key:
+            cols.append(F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c))
+        elif c in update_cols:
+            cols.append(F.when(from_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        else:
+            cols.append(F.col(f"t.{c}").alias(c))
+    merged = _freeze(j.select(*cols, F.col(f"t.{key}").isNull().alias("_new")), freeze)
+    kept = merged.where(~F.col("_new")).drop("_new")
+    fresh = assign_keys(merged.where(F.col("_new")).drop("_new", sk_col), [key], sk_col,
+                        start=max_key(target, sk_col), num_partitions=num_partitions,
+                        freeze=not freeze)
+    return kept.unionByName(fresh.select(*target.columns))
 
 
 def _changed(tracked: Sequence[str], null_safe: bool) -> Column:
@@ -114,7 +139,8 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
                sk_col: str, effective_col: str = "EffectiveDate", start_col: str = "StartDate",
                end_col: str = "EndDate", current_col: str = "IsCurrent",
                null_safe: bool = False, require_newer: bool = False,
-               quarantine_null_keys: bool = True, num_partitions: int | None = None) -> DataFrame:
+               quarantine_null_keys: bool = True, num_partitions: int | None = None,
+               freeze: bool = True) -> DataFrame:
     """History-keeping dimension: close changed versions, open new ones.
 
     One batch (source deduplicated to one row per key) against the target.
@@ -122,14 +148,37 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     keys after the target's largest key.  Flags: ``null_safe`` treats a change
     to/from NULL as a change; ``require_newer`` ignores source rows whose
     effective date is not after the current version's start.
+
+    Plan: closed history passes through untouched; current versions and the
+    source meet in one full outer equi join on the key (at most one row per
+    key on each side), materialized once and read twice: once for the
+    (possibly closed) current versions, once for the new versions, which get
+    surrogate keys from :func:`assign_keys`.
     """
     src = _without_null_keys(source, key, quarantine_null_keys)
-    closed = scd2_close(target, src, key, tracked, effective_col, start_col, end_col,
-                        current_col, null_safe, require_newer)
-    fresh = scd2_new_versions(target, src, key, tracked, effective_col, start_col,
-                              current_col, null_safe, require_newer)
-    fresh = (fresh.withColumn(end_col, F.lit(None).cast("date"))
-             .withColumn(current_col, F.lit(True)))
-    fresh = assign_keys(fresh, [key, start_col], sk_col, start=max_key(target, sk_col),
-                        num_partitions=num_partitions)
-    return closed.unionByName(fresh.select(*target.columns))
+    is_cur = F.coalesce(F.col(current_col), F.lit(False))
+    hist = target.where(~is_cur)
+    t = target.where(is_cur).alias("t")
+    s = src.select(key, *tracked, effective_col).alias("s")
+    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    has_t, has_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    changed = has_t & has_s & _changed(tracked, null_safe)
+    if require_newer:
+        changed = changed & F.coalesce(F.col(f"s.{effective_col}") > F.col(f"t.{start_col}"), F.lit(False))
+    cols = [F.col(f"t.{c}").alias(c) for c in target.columns]
+    cols += [F.col(f"s.{key}").alias("_s_key"), F.col(f"s.{effective_col}").alias("_s_eff")]
+    cols += [F.col(f"s.{c}").alias(f"_s_{c}") for c in tracked]
+    flags = [has_t.alias("_has_t"), changed.alias("_chg"), (has_s & (~has_t | changed)).alias("_open")]
+    m = _freeze(j.select(*cols, *flags), freeze)
+    chg = F.col("_chg")
+    current = m.where(F.col("_has_t")).select(*[
+        (F.when(chg, F.col("_s_eff")).otherwise(F.col(c)).alias(c) if c == end_col else
+         F.when(chg, F.lit(False)).otherwise(F.col(c)).alias(c) if c == current_col else F.col(c))
+        for c in target.columns])
+    opened = m.where(F.col("_open")).select(
+        F.col("_s_key").alias(key), *[F.col(f"_s_{c}").alias(c) for c in tracked],
+        F.col("_s_eff").alias(start_col), F.lit(None).cast("date").alias(end_col),
+        F.lit(True).alias(current_col))
+    opened = assign_keys(opened, [key, start_col], sk_col, start=max_key(target, sk_col),
+                         num_partitions=num_partitions, freeze=not freeze)
+    return hist.unionByName(current).unionByName(opened.select(*target.columns))
