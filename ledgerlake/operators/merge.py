@@ -46,9 +46,10 @@ def fact_upsert(target: DataFrame, source: DataFrame, key: str,
     so the join cannot fan out and no key can be hot.
     """
     src = _without_null_keys(source, key, quarantine_null_keys).select(*target.columns)
-    t, s = target.alias("t"), src.alias("s")
+    t = target.alias("t")
+    s = src.withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    hit = F.col(f"s.{key}").isNotNull() | (F.col(f"t.{key}").isNull())
+    hit = F.col("s._in_s").isNotNull()  # presence marker: NULL keys are rows too
     return j.select(*[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns])
 
 
@@ -63,19 +64,19 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, sk_col: str,
     :func:`assign_keys` (offsets from per-partition counts).
     """
     src = _without_null_keys(source, key, quarantine_null_keys)
-    t = target.alias("t")
-    s = src.select(key, *update_cols).alias("s")
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = src.select(key, *update_cols).withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    from_s = F.col(f"s.{key}").isNotNull()
+    from_s = F.col("s._in_s").isNotNull()
     cols = []
     for c in target.columns:
         if c == key:
-            cols.append(F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c))
+            cols.append(F.when(from_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         elif c in update_cols:
             cols.append(F.when(from_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             cols.append(F.col(f"t.{c}").alias(c))
-    merged = _freeze(j.select(*cols, F.col(f"t.{key}").isNull().alias("_new")), freeze)
+    merged = _freeze(j.select(*cols, F.col("t._in_t").isNull().alias("_new")), freeze)
     kept = merged.where(~F.col("_new")).drop("_new")
     fresh = assign_keys(merged.where(F.col("_new")).drop("_new", sk_col), [key], sk_col,
                         start=max_key(target, sk_col), num_partitions=num_partitions,
@@ -158,10 +159,11 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     src = _without_null_keys(source, key, quarantine_null_keys)
     is_cur = F.coalesce(F.col(current_col), F.lit(False))
     hist = target.where(~is_cur)
-    t = target.where(is_cur).alias("t")
-    s = src.select(key, *tracked, effective_col).alias("s")
+    t = target.where(is_cur).withColumn("_in_t", F.lit(True)).alias("t")
+    s = src.select(key, *tracked, effective_col).withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    has_t, has_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    # presence markers, not key nullness: a NULL-key source row is still a row
+    has_t, has_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
     changed = has_t & has_s & _changed(tracked, null_safe)
     if require_newer:
         changed = changed & F.coalesce(F.col(f"s.{effective_col}") > F.col(f"t.{start_col}"), F.lit(False))

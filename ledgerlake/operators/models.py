@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,11 +20,17 @@ from .keys import hash_split
 
 
 def model_input(features: DataFrame, label: str, id_col: str = "TransactionID",
-                inputs: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+                inputs: Sequence[str] = FEATURE_COLUMNS, materialize: bool = True) -> DataFrame:
     """id, label (double) and the numeric inputs (double); rows without a label
-    are left out (a fit cannot use them)."""
-    return features.select(id_col, F.col(label).cast("double").alias("label"),
-                           *[F.col(c).cast("double").alias(c) for c in inputs]).where(F.col("label").isNotNull())
+    are left out (a fit cannot use them).
+
+    ``materialize`` writes the rows once to the shared checkpoint folder, so
+    the split, the fit and the predictions all read them instead of re-running
+    the feature plan three times.
+    """
+    out = features.select(id_col, F.col(label).cast("double").alias("label"),
+                          *[F.col(c).cast("double").alias(c) for c in inputs]).where(F.col("label").isNotNull())
+    return out.checkpoint(eager=True) if materialize else out
 
 
 def _assembler(inputs: Sequence[str]) -> VectorAssembler:
@@ -31,17 +38,32 @@ def _assembler(inputs: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="skip")
 
 
+def training_set(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+    """Assembled training rows, kept in memory for the iterative fit.
+
+    The optimizer makes one pass per iteration over these rows; they come from
+    a materialized :func:`model_input`, so a lost cached block is rebuilt from
+    the checkpoint files, not from the feature plan.
+    """
+    assembled = _assembler(inputs).transform(train).select("label", "features")
+    return assembled.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_classifier(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS, max_iter: int = 1000,
                    c: float = 1.0) -> PipelineModel:
     """L2 logistic regression with intercept equal to the optimum of
     ``0.5 |w|^2 + C * sum(logloss)``: Spark's objective is
     ``mean(logloss) + regParam/2 |w|^2``, so ``regParam = 1 / (C * n)`` on
     unstandardized inputs."""
-    n = max(1, _assembler(inputs).transform(train).count())
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            tol=1e-9, family="binomial")
-    return Pipeline(stages=[_assembler(inputs), lr]).fit(train)
+    data = training_set(train, inputs)
+    try:
+        n = max(1, data.count())
+        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
+                                tol=1e-9, family="binomial")
+        return PipelineModel(stages=[_assembler(inputs), lr.fit(data)])
+    finally:
+        data.unpersist()
 
 
 def classifier_predictions(model: PipelineModel, test: DataFrame, id_col: str = "TransactionID") -> DataFrame:
@@ -56,7 +78,11 @@ def fit_regressor(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS) ->
     """Ordinary least squares with intercept (normal equations, no penalty)."""
     lr = LinearRegression(featuresCol="features", labelCol="label", solver="normal", regParam=0.0,
                           elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=[_assembler(inputs), lr]).fit(train)
+    data = training_set(train, inputs)
+    try:
+        return PipelineModel(stages=[_assembler(inputs), lr.fit(data)])
+    finally:
+        data.unpersist()
 
 
 def regressor_predictions(model: PipelineModel, test: DataFrame, id_col: str = "TransactionID") -> DataFrame:
