@@ -218,3 +218,12 @@ def _bronze_from_dim(spark, dim):
     return dim.select("CustomerID", "CustomerName", "Country", "RiskCategory", "KYCStatus", "Occupation",
                       F.date_format("StartDate", "MM/dd/yyyy").alias("EffectiveDate"),
                       F.lit("2025-05-01 00:00:00").cast("timestamp").alias("IngestionDate"))
+
+
+def test_sql_views(layers, spark):
+    from ledgerlake.plans.views import register_views
+    register_views(layers["A"], prefix="a_")
+    rows = spark.sql("SELECT AccountType, LaunderingRate FROM a_account_type_launderingrate ORDER BY 1").collect()
+    assert [(r.AccountType, r.LaunderingRate) for r in rows] == [("Current", 30.77), ("Mobile", 23.08),
+                                                                 ("Savings", 46.15)]
+    assert spark.sql("SELECT count(*) AS n FROM a_Transaction_Features").first().n == 12
