@@ -271,3 +271,32 @@ def test_features_independent_of_partitions(spark):
 
 def test_typed_amount_schema():
     assert TRANSACTION_FACT["Amount"].dataType == T.DecimalType(10, 2)
+
+
+# ---- K5, K29, K31 ------------------------------------------------------------
+
+def test_invalid_transaction_date_keeps_row(spark):
+    from ledgerlake.plans import silver
+    from ledgerlake.schemas import ACCOUNT_DIM, TRANSACTION_RAW
+    raw = spark.createDataFrame([("T1", "C", "A", "1/5/2025", "10", "x", "c", "U", "1", "0", "5")], TRANSACTION_RAW)
+    dim = spark.createDataFrame([(1, "C", "n", "U", "r", "k", "o", D(2024, 1, 1), None, True)], CUSTOMER_DIM)
+    acc = spark.createDataFrame([(7, "A", 1, "t", "Ugx", D(2024, 1, 1))], ACCOUNT_DIM)
+    row = silver.fact_job(None, raw, dim, acc).first()
+    assert row.TransactionDate is None and row.CustomerSK is None and row.AccountSK == 7
+
+
+def test_day_index_null_date_last(spark):
+    from ledgerlake.operators import models
+    f = spark.createDataFrame([(D(2025, 1, 2), True), (None, True), (D(2025, 1, 1), False)],
+                              "TransactionDate date, IsFraud boolean")
+    ix = models.with_day_index(models.daily_flag_volume(f)).collect()
+    assert sorted((r.DayIndex, r.Date, r.FraudVolume) for r in ix) == [
+        (0, D(2025, 1, 1), 0), (1, D(2025, 1, 2), 1), (2, None, 1)]
+
+
+def test_null_inputs_skipped_by_fit(spark):
+    from ledgerlake.operators import models
+    rows = [(str(i), float(i % 2), float(i), None if i == 3 else float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, label double, a double, b double")
+    model = models.fit_regressor(df, ["a", "b"])
+    assert model.stages[-1].summary.numInstances == 39
