@@ -25,6 +25,7 @@ from ..operators.merge import scd2_close
 from ..schemas import LINEAGE
 from ..session import work_path
 from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
+from ..sources.tables import publish
 from ..streaming.incremental import load_incremental
 from . import driver, gold, silver
 from .oracle import (ACCT_PATTERNS, CUST_PATTERNS, amount_text, cte, initcap, parse, share2, sql)
@@ -416,18 +417,28 @@ def q_share_by_country(spark, d):
 
 # ============================ features (M1, W4-W6, F10, J6) ====================
 
-_FEATURES_CACHE: dict = {}
-
-
-def features(spark: SparkSession, d: str) -> DataFrame:
+def feature_view(spark: SparkSession, d: str) -> DataFrame:
+    """The feature view over the silver snapshots (lazy)."""
     s = S(spark, d)
     f = transaction_features(s.fact, s.customer_dim, home=driver.DRIVER_HOME_COUNTRY)
     return f.withColumn("Amount_vs_Avg", F.round("Amount_vs_Avg", 6).cast("double"))
 
 
+_FEATURES: dict[tuple[str, str], DataFrame] = {}
+
+
+def features(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table, published once per run and read by every consumer
+    (rolling analytics, trend, the three model jobs)."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _FEATURES:
+        _FEATURES[key] = publish(feature_view(spark, d), name="transaction_features")
+    return _FEATURES[key]
+
+
 @register("features", sql("SELECT * FROM features", "features"))
 def q_features(spark, d):
-    return features(spark, d)
+    return feature_view(spark, d)
 
 
 def _feature_pick(name: str, col: str) -> None:
@@ -502,7 +513,7 @@ def _labels(spark, d):
 
 
 @register("classification_accuracy", sql("""
-SELECT avg(CASE WHEN Actual = Predicted THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy, count(*) AS n FROM lab""", "lab"))
+SELECT (count(*) FILTER (WHERE Actual = Predicted))::DOUBLE / count(*) AS accuracy, count(*) AS n FROM lab""", "lab"))
 def q_accuracy(spark, d):
     return models.accuracy(_labels(spark, d))
 
