@@ -35,8 +35,24 @@ DRIVER_EXCLUDED_COUNTRY = "Nation_1"
 ACCOUNT_OPEN_BASE = "1990-01-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Scan of one driver table; ``spread`` redistributes a narrow scan."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_if_narrow(df) if spread else df
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A file with a single row group cannot be split, so all of its rows would
+    be parsed by one task.  Large inputs (many splits) are returned unchanged:
+    no extra shuffle at scale.  Checking the partition count only plans the
+    scan; it runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def date_text(key: Column, d: Column) -> Column:
@@ -67,7 +83,7 @@ def amount_text(key: Column, price: Column) -> Column:
 
 
 def transaction_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(n, F.pmod(o.o_orderkey, F.lit(25)) == n.n_nationkey, "left")
     k = F.col("o_orderkey")
@@ -90,7 +106,8 @@ def transaction_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = Fal
 
 def customer_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-customer dirty text: '@' in some names, case and blanks in countries."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = spread_if_narrow(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                                                 "c_mktsegment"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     ck = F.col("c_custkey")
@@ -106,6 +123,7 @@ def customer_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw customer row per order, with the order date as effective date."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority", "o_orderstatus")
+    o = spread_if_narrow(o)
     a = customer_attrs(spark, sf_dir)
     j = o.join(a, o.o_custkey == a.c_custkey, "inner")
     return j.select(
@@ -135,7 +153,7 @@ def customer_raw_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
 
 
 def account_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = False) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    c = spread_if_narrow(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
     ck = F.col("c_custkey")
     m4 = F.pmod(ck, F.lit(4))
     # The currency spellings of the reference sample.

@@ -22,7 +22,9 @@ from ..schemas import (ACCOUNT_DIM, CUSTOMER_DIM, CUSTOMER_TRACKED, FACT_COLUMNS
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty typed table, built on the JVM side: Catalyst sees an empty
+    relation and prunes joins against it (first run of a merge)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # ---- customer (SCD2) -------------------------------------------------------
