@@ -22,9 +22,15 @@ from ..schemas import (ACCOUNT_DIM, CUSTOMER_DIM, CUSTOMER_TRACKED, FACT_COLUMNS
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
-    """An empty typed table, built on the JVM side: Catalyst sees an empty
-    relation and prunes joins against it (first run of a merge)."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """An empty typed table, built on the JVM side (no Python workers).
+
+    ``WHERE false`` makes Catalyst replace it by an empty local relation and
+    drop the merge joins against it on a first run.  (Plain NULL literals
+    would instead be folded into the join key and turn the equi join into a
+    nested-loop join.)
+    """
+    one = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return one.where(F.lit(False))
 
 
 # ---- customer (SCD2) -------------------------------------------------------
