@@ -593,3 +593,16 @@ def q_model_metrics(spark, d):
         F.lit("regressor_r2").alias("metric"), F.col("r2").alias("value"))
     tr = trend.select(F.lit("trend_r2").alias("metric"), F.col("r2").alias("value"))
     return acc.unionByName(r2).unionByName(tr)
+
+
+@register("model_coefficients")
+def q_model_coefficients(spark, d):
+    """Coefficient per input (2 digits) and intercept of both fitted models."""
+    f = features(spark, d)
+    out = None
+    for label, fit in (("IsFraud", models.fit_classifier), ("RiskScore", models.fit_regressor)):
+        inp = models.model_input(f, label)
+        train, _ = models.split_for_models(inp)
+        c = models.coefficients(fit(train)).withColumn("model", F.lit(label))
+        out = c if out is None else out.unionByName(c)
+    return out

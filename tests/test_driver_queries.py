@@ -8,7 +8,7 @@ import pytest
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 
-ROWS_ONLY = {"fraud_classifier", "risk_regressor", "model_metrics"}
+ROWS_ONLY = {"fraud_classifier", "risk_regressor", "model_metrics", "model_coefficients"}
 
 
 def test_every_query_matches_oracle(spark):
@@ -39,3 +39,42 @@ def test_plans_scale(spark):
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for op in FORBIDDEN:
             assert op not in plan, (name, op)
+
+
+def _tree(df):
+    """(depth, node name) per line of the physical plan (with exchanges, before it runs)."""
+    out = []
+    for line in df._jdf.queryExecution().executedPlan().treeString().splitlines():
+        stripped = line.lstrip(" :-+")
+        out.append((len(line) - len(stripped), stripped.split(" ")[0].split("(")[0]))
+    return out
+
+
+def _below(tree, parent, child):
+    """True when some ``parent`` node has a ``child`` node in its subtree."""
+    for i, (d, name) in enumerate(tree):
+        if name == parent:
+            for d2, n2 in tree[i + 1:]:
+                if d2 <= d:
+                    break
+                if n2 == child:
+                    return True
+    return False
+
+
+def test_scale_shapes(spark):
+    """Hot-key safety is structural: the rolling windows run over per-day
+    aggregates, gold views aggregate the fact before joining, and dedup
+    limits rows per key before its shuffle."""
+    from ledgerlake.plans import registry
+    from ledgerlake.plans.driver import silver_tables
+    f = registry.feature_view(spark, SF)
+    assert _below(_tree(f), "Window", "HashAggregate")
+    s = silver_tables(spark, SF)
+    from ledgerlake.plans import gold
+    g = gold.account_type_laundering_rate(s.fact, s.account_dim)
+    tree = _tree(g)
+    assert any(_below(tree, j, "HashAggregate") for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin"))
+    from ledgerlake.plans import silver
+    d = silver.dedup_customers(silver.stage_customers(s.customer_raw_12))
+    assert _below(_tree(d), "Exchange", "WindowGroupLimit")
