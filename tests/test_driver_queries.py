@@ -78,3 +78,19 @@ def test_scale_shapes(spark):
     from ledgerlake.plans import silver
     d = silver.dedup_customers(silver.stage_customers(s.customer_raw_12))
     assert _below(_tree(d), "Exchange", "WindowGroupLimit")
+
+
+def test_scd2_versions_chain_and_fact_grain(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from ledgerlake.plans.driver import silver_tables
+    s = silver_tables(spark, SF)
+    w = Window.partitionBy("CustomerID").orderBy("StartDate")
+    v = s.customer_dim.select("CustomerID", "StartDate", "EndDate", "IsCurrent",
+                              F.lead("StartDate").over(w).alias("next_start"))
+    bad = v.where((F.col("next_start").isNotNull() & ((F.col("EndDate") != F.col("next_start")) | F.col("IsCurrent")))
+                  | (F.col("next_start").isNull() & ~F.col("IsCurrent")))
+    assert bad.count() == 0
+    assert s.customer_dim.where("IsCurrent").groupBy("CustomerID").count().where("count > 1").count() == 0
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert s.fact.count() == s.fact.select("TransactionID").distinct().count() == orders

@@ -300,3 +300,21 @@ def test_null_inputs_skipped_by_fit(spark):
     df = spark.createDataFrame(rows, "id string, label double, a double, b double")
     model = models.fit_regressor(df, ["a", "b"])
     assert model.stages[-1].summary.numInstances == 39
+
+
+def test_hot_customer_features_and_dedup(spark):
+    """One customer holds a third of all rows: the per-day pre-aggregated plan
+    must give exactly the direct window's result, and dedup stays exact."""
+    dim = spark.createDataFrame([(i, str(i), "n", "U", "r", "k", "o", D(2024, 1, 1), None, True) for i in range(1, 21)],
+                                CUSTOMER_DIM)
+    rows = []
+    for i in range(1800):
+        sk = 1 if i % 3 == 0 else 2 + i % 19
+        rows.append((f"t{i}", sk, D(2024, 1, 1) + dt.timedelta(days=(i * 7) % 90), f"{(i * 37) % 1000}.25", "X"))
+    fact = _fact_rows(spark, rows)
+    a = sorted(tuple(r) for r in transaction_features(fact, dim, method="daily").collect())
+    b = sorted(tuple(r) for r in transaction_features(fact, dim, method="window").collect())
+    assert a == b and len(a) == 1800
+    hot = spark.createDataFrame([("h" if i % 3 == 0 else f"k{i}", i) for i in range(3000)], "k string, v int")
+    top = {r.k: r.v for r in latest_per_key(hot, ["k"], ["v"]).collect()}
+    assert top["h"] == 2997 and len(top) == 2001
