@@ -152,7 +152,7 @@ def customer_raw_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     return b1, b1.unionByName(b2)
 
 
-def account_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = False) -> DataFrame:
+def account_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spread_if_narrow(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
     ck = F.col("c_custkey")
     m4 = F.pmod(ck, F.lit(4))
@@ -166,7 +166,6 @@ def account_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = False)
         F.col("c_mktsegment").alias("AccountType"),
         currency.alias("Currency"),
         date_text(ck, opened).alias("OpenDate"),
-        *([opened.alias("_true_date")] if keep_true_date else []),
     )
 
 

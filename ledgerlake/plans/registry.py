@@ -230,7 +230,7 @@ def q_scd2_close(spark, d):
 
 cte("a_raw_b1", ("a_raw",), """
 SELECT AccountID, CustomerID, AccountType, Currency, OpenDate FROM a_raw
-WHERE DATE '1990-01-01' + CAST(CAST(AccountID AS BIGINT) % 1500 AS INTEGER) < DATE '1992-01-01'""")
+WHERE CustomerID IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')""")
 cte("a_raw_b2", ("a_raw",), """
 SELECT AccountID, CustomerID, lower(AccountType) AS AccountType, Currency, OpenDate FROM a_raw""")
 
@@ -267,10 +267,14 @@ FROM a_src_b2 s WHERE s.AccountID NOT IN (SELECT AccountID FROM acct_b1)""")
 
 @register("scd1_merge", sql("SELECT * FROM acct_merged", "acct_merged"))
 def q_scd1_merge(spark, d):
+    """First delivery: accounts of customers who ordered before 1996; second
+    delivery: every account, with re-spelled account types (updates + inserts)."""
     s = S(spark, d)
-    raw = driver.account_raw(spark, d, keep_true_date=True)
-    b1 = raw.where(F.col("_true_date") < F.lit("1992-01-01").cast("date")).drop("_true_date")
-    b2 = raw.drop("_true_date").withColumn("AccountType", F.lower("AccountType"))
+    raw = driver.account_raw(spark, d)
+    early = (driver.table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+             .select(F.col("o_custkey").cast("string").alias("CustomerID")))
+    b1 = raw.join(early, "CustomerID", "left_semi")
+    b2 = raw.withColumn("AccountType", F.lower("AccountType"))
     target = silver.account_job(None, b1, s.customer_dim)
     return silver.account_job(target, b2, s.customer_dim)
 
