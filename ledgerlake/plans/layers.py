@@ -37,6 +37,23 @@ def run_silver(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw:
     return SilverLayer(cust, acct, fact)
 
 
+def upsert_fact_partitioned(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame,
+                            path: str) -> DataFrame:
+    """Fact job against a month-partitioned table at ``path``: only the months
+    the batch touches (plus months its keys move out of) are rewritten.  The
+    table carries ``TransactionMonth`` (``yyyy-MM``; NULL dates form their own
+    partition) besides the fact columns."""
+    from pyspark.sql import functions as F
+
+    from ..operators.merge import fact_upsert
+    from ..sources.tables import upsert_partitions
+
+    src = silver.fact_source(raw, customer_dim, account_dim)
+    src = src.withColumn("TransactionMonth", F.date_format("TransactionDate", "yyyy-MM"))
+    return upsert_partitions(raw.sparkSession, path, src, "TransactionID", "TransactionMonth",
+                             lambda t, s: fact_upsert(t, s, "TransactionID"))
+
+
 def run_gold(layer: SilverLayer) -> dict[str, DataFrame]:
     return gold.build_gold(layer.fact, layer.customer_dim, layer.account_dim)
 

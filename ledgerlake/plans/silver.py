@@ -120,9 +120,13 @@ def typed_fact(deduped: DataFrame) -> DataFrame:
     return out.select(*FACT_COLUMNS)
 
 
+def fact_source(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame) -> DataFrame:
+    """The merge source: parsed, looked up, one row per transaction, typed."""
+    return typed_fact(dedup_transactions(stage_transactions(raw, customer_dim, account_dim)))
+
+
 def fact_job(target: DataFrame | None, raw: DataFrame, customer_dim: DataFrame,
              account_dim: DataFrame) -> DataFrame:
     spark = raw.sparkSession
     tgt = target if target is not None else empty(spark, TRANSACTION_FACT)
-    src = typed_fact(dedup_transactions(stage_transactions(raw, customer_dim, account_dim)))
-    return fact_upsert(tgt, src, "TransactionID")
+    return fact_upsert(tgt, fact_source(raw, customer_dim, account_dim), "TransactionID")

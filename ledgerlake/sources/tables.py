@@ -55,3 +55,44 @@ def replace_empty(spark: SparkSession, name: str, schema) -> DataFrame:
     """``CREATE OR REPLACE TABLE`` of an empty typed table (the reference's reset)."""
     spark.createDataFrame([], schema).write.mode("overwrite").format("parquet").saveAsTable(name)
     return spark.table(name)
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, part_col: str,
+                      merge) -> DataFrame:
+    """Upsert ``source`` into the parquet table at ``path`` partitioned by
+    ``part_col``, rewriting only the partitions the batch touches.
+
+    Touched partitions are the batch's own values of ``part_col`` plus the
+    partitions that currently hold a key of the batch (a row that moves to
+    another partition must leave its old one).  Finding the latter reads only
+    the ``key`` and ``part_col`` columns of the table; the merge itself reads
+    only the touched partitions (their values, one per partition, are
+    collected and become a partition filter) and
+    ``merge(target_slice, source)`` is any of the DataFrame merges
+    (``fact_upsert`` ...).  The merged slice is checkpointed before the
+    dynamic partition overwrite, so the write never reads the files it
+    replaces.  A missing table is created from the batch.
+    """
+    from pyspark.sql import functions as F
+
+    if not _exists(spark, path):
+        out = merge(source.limit(0), source)
+        out.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        return spark.read.parquet(path)
+    target = spark.read.parquet(path)
+    keys = source.select(key).distinct()
+    moved = target.select(key, part_col).join(keys, key, "left_semi").select(part_col)
+    # partition values only: bounded by the number of partitions, not by rows
+    touched = [r[0] for r in source.select(part_col).union(moved).distinct().collect()]
+    slice_ = target.where(F.col(part_col).isin(touched))  # static partition pruning
+    merged = merge(slice_.select(*target.columns), source.select(*target.columns)).checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p)

@@ -227,3 +227,19 @@ def test_sql_views(layers, spark):
     assert [(r.AccountType, r.LaunderingRate) for r in rows] == [("Current", 30.77), ("Mobile", 23.08),
                                                                  ("Savings", 46.15)]
     assert spark.sql("SELECT count(*) AS n FROM a_Transaction_Features").first().n == 12
+
+
+def test_partitioned_fact_equals_snapshot(layers, spark, tmp_path_factory):
+    from ledgerlake.plans.layers import upsert_fact_partitioned
+    from ledgerlake.session import work_path
+    base = tmp_path_factory.mktemp("pfact")
+    acc = _csv(spark, base, "accounts", ACCOUNTS, ACCOUNT_RAW)
+    txn = _csv(spark, base, "transactions", TRANSACTIONS, TRANSACTION_RAW)
+    ab = layers["AB"]
+    path = work_path(spark, "fact-by-month")
+    upsert_fact_partitioned(txn, layers["A"].customer_dim, layers["A"].account_dim, path)
+    out = upsert_fact_partitioned(txn, ab.customer_dim, ab.account_dim, path)
+    cols = [c for c in ab.fact.columns]
+    assert sorted(tuple(r) for r in out.select(*cols).collect()) == sorted(tuple(r) for r in ab.fact.collect())
+    assert {r.TransactionMonth for r in out.select("TransactionMonth").distinct().collect()} == {
+        "2025-01", "2025-02", "2025-03"}
