@@ -28,7 +28,7 @@ from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
 from ..sources.tables import publish
 from ..streaming.incremental import load_incremental
 from . import driver, gold, silver
-from .oracle import (ACCT_PATTERNS, CUST_PATTERNS, amount_text, cte, initcap, parse, share2, sql)
+from .oracle import ACCT_PATTERNS, CUST_PATTERNS, cte, initcap, parse, share2, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
