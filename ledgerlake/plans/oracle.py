@@ -249,7 +249,7 @@ SELECT TransactionID, CustomerSK, AccountSK, TransactionDate, CAST(Amount AS DOU
   {mean2('s30', 'n30')} AS AvgAmount_Last_30_Days,
   CASE WHEN n30 = 0 OR s30 = 0 THEN NULL
        ELSE round(cents * 1.0 * n30 / s30, 6) END AS Amount_vs_Avg,
-  CASE WHEN DestinationCountry <> 'NATION_0' THEN 1 ELSE 0 END AS IsForeignTransaction,
+  CAST(CASE WHEN DestinationCountry <> 'NATION_0' THEN 1 ELSE 0 END AS BIGINT) AS IsForeignTransaction,
   CAST(date_diff('day', start_date, TransactionDate) AS BIGINT) AS CustomerTenure
 FROM feat_win""")
 

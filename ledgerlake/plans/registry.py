@@ -523,7 +523,7 @@ def q_accuracy(spark, d):
 
 
 @register("confusion_matrix", sql("""
-SELECT Actual, count(*) FILTER (WHERE Predicted = 0) AS Predicted0, count(*) FILTER (WHERE Predicted = 1) AS Predicted1
+SELECT CAST(Actual AS BIGINT) AS Actual, count(*) FILTER (WHERE Predicted = 0) AS Predicted0, count(*) FILTER (WHERE Predicted = 1) AS Predicted1
 FROM lab GROUP BY Actual""", "lab"))
 def q_confusion(spark, d):
     return models.confusion_matrix(_labels(spark, d))

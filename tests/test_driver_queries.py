@@ -94,3 +94,19 @@ def test_scd2_versions_chain_and_fact_grain(spark):
     assert s.customer_dim.where("IsCurrent").groupBy("CustomerID").count().where("count > 1").count() == 0
     orders = spark.read.parquet(f"{SF}/orders.parquet").count()
     assert s.fact.count() == s.fact.select("TransactionID").distinct().count() == orders
+
+
+def test_oracle_types_match(spark):
+    """The driver compares schemas too: Spark and DuckDB column types agree."""
+    import duckdb
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    for t in ("nation", "customer", "orders", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    names = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
+    q = E.queries()
+    for name, text in E.oracle_sql().items():
+        sp = {f.name: f.dataType.simpleString() for f in q[name](spark, SF).schema.fields}
+        rel = con.sql(text)
+        dd = {c: names.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+        assert sp == dd, (name, sp, dd)
