@@ -6,6 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return not isinstance(t, (T.VariantType,)) if hasattr(T, "VariantType") else True
 
 
 def _order(df: DataFrame, order: Sequence[Column | str]) -> list[Column]:
@@ -22,8 +33,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     ranking (a key whose newest row is invalid disappears, as the reference
     does); ``filter_before_rank=True`` drops invalid rows first.
 
-    ``tiebreak_all`` appends every remaining column (ascending) to the order so
-    the winner never depends on input order or partitioning.
+    ``tiebreak_all`` appends every remaining orderable column (ascending) to
+    the order so the winner never depends on input order or partitioning.
 
     Plan: Catalyst turns ``row_number() ... = 1`` into a partial
     ``WindowGroupLimit`` before the shuffle, so a hot key sends at most one row
@@ -32,7 +43,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     ordering = _order(df, order)
     if tiebreak_all:
         used = set(keys) | {o for o in order if isinstance(o, str)}
-        ordering += [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
+        ordering += [F.col(f.name).asc_nulls_first() for f in df.schema.fields
+                     if f.name not in used and _orderable(f.dataType)]
     src = df.where(valid) if (valid is not None and filter_before_rank) else df
     w = Window.partitionBy(*keys).orderBy(*ordering)
     ranked = src.withColumn(rank_col, F.row_number().over(w))

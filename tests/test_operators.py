@@ -318,3 +318,9 @@ def test_hot_customer_features_and_dedup(spark):
     hot = spark.createDataFrame([("h" if i % 3 == 0 else f"k{i}", i) for i in range(3000)], "k string, v int")
     top = {r.k: r.v for r in latest_per_key(hot, ["k"], ["v"]).collect()}
     assert top["h"] == 2997 and len(top) == 2001
+
+
+def test_latest_per_key_skips_map_columns_in_tiebreak(spark):
+    df = spark.createDataFrame([("k", 1, {"a": 1}, "b"), ("k", 1, {"a": 2}, "a")],
+                               "id string, d int, m map<string,int>, v string")
+    assert latest_per_key(df, ["id"], ["d"]).first().v == "a"
