@@ -16,7 +16,7 @@ def _orderable(t: T.DataType) -> bool:
         return _orderable(t.elementType)
     if isinstance(t, T.StructType):
         return all(_orderable(f.dataType) for f in t.fields)
-    return not isinstance(t, (T.VariantType,)) if hasattr(T, "VariantType") else True
+    return not (hasattr(T, "VariantType") and isinstance(t, T.VariantType))
 
 
 def _order(df: DataFrame, order: Sequence[Column | str]) -> list[Column]:
