@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
@@ -24,8 +26,8 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str,
     3. per-partition counts (one row per partition) give prefix offsets,
        broadcast back: the broadcast side is bounded by ``num_partitions``.
 
-    ``freeze`` checkpoints the positioned rows to the shared checkpoint folder
-    so that both uses read identical partitions even after executor loss.
+    ``freeze`` writes the positioned rows once to the shared work folder so
+    that both uses read identical rows even after executor loss.
     ``start`` may be a scalar subquery column such as the target's max key.
     """
     spark = df.sparkSession
@@ -34,7 +36,7 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str,
     pos = ranged.select("*", F.spark_partition_id().alias("_kp"),
                         F.monotonically_increasing_id().alias("_kid"))
     if freeze:
-        pos = pos.checkpoint(eager=True)
+        pos = materialize(pos, "keys")
     counts = pos.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
     w = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kp", F.coalesce(F.sum("_kn").over(w), F.lit(0)).alias("_koff"))

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .keys import assign_keys, max_key
 
 
@@ -31,10 +32,10 @@ def _without_null_keys(source: DataFrame, key: str, quarantine: bool) -> DataFra
 
 
 def _freeze(df: DataFrame, freeze: bool) -> DataFrame:
-    """Materialize the joined rows once (reliable checkpoint in the shared
-    checkpoint folder): both halves of a merge read the same rows, and neither
-    the target nor the source plan runs twice."""
-    return df.checkpoint(eager=True) if freeze else df
+    """Materialize the joined rows once (written to the shared work folder):
+    both halves of a merge read the same rows, and neither the target nor the
+    source plan runs twice."""
+    return materialize(df, "merge") if freeze else df
 
 
 def fact_upsert(target: DataFrame, source: DataFrame, key: str,

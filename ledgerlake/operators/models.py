@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_COLUMNS
+from ..session import materialize as write_once
 from .keys import hash_split
 
 
@@ -24,13 +25,13 @@ def model_input(features: DataFrame, label: str, id_col: str = "TransactionID",
     """id, label (double) and the numeric inputs (double); rows without a label
     are left out (a fit cannot use them).
 
-    ``materialize`` writes the rows once to the shared checkpoint folder, so
+    ``materialize`` writes the rows once to the shared work folder, so
     the split, the fit and the predictions all read them instead of re-running
     the feature plan three times.
     """
     out = features.select(id_col, F.col(label).cast("double").alias("label"),
                           *[F.col(c).cast("double").alias(c) for c in inputs]).where(F.col("label").isNotNull())
-    return out.checkpoint(eager=True) if materialize else out
+    return write_once(out, "model-input") if materialize else out
 
 
 def _assembler(inputs: Sequence[str]) -> VectorAssembler:

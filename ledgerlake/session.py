@@ -77,3 +77,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     # the checkpoint dir returned by Spark already carries a unique sub folder
     return os.path.join(base.rstrip("/"), "ledgerlake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the shared work folder and scan it.
+
+    Cuts lineage like a reliable ``checkpoint()`` but computes the plan only
+    once (an eager checkpoint of an uncached plan runs it twice: once to count,
+    once to write).  The files live on the cluster's shared filesystem, so a
+    lost executor re-reads them instead of recomputing the plan.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

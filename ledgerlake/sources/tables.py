@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import work_path
+from ..session import materialize, work_path
 
 
 def publish(df: DataFrame, path: str | None = None, name: str = "table",
@@ -69,7 +69,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     only the touched partitions (their values, one per partition, are
     collected and become a partition filter) and
     ``merge(target_slice, source)`` is any of the DataFrame merges
-    (``fact_upsert`` ...).  The merged slice is checkpointed before the
+    (``fact_upsert`` ...).  The merged slice is written once before the
     dynamic partition overwrite, so the write never reads the files it
     replaces.  A missing table is created from the batch.
     """
@@ -85,7 +85,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     # partition values only: bounded by the number of partitions, not by rows
     touched = [r[0] for r in source.select(part_col).union(moved).distinct().collect()]
     slice_ = target.where(F.col(part_col).isin(touched))  # static partition pruning
-    merged = merge(slice_.select(*target.columns), source.select(*target.columns)).checkpoint(eager=True)
+    merged = materialize(merge(slice_.select(*target.columns), source.select(*target.columns)), "slice")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
