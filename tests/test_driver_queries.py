@@ -110,3 +110,27 @@ def test_oracle_types_match(spark):
         rel = con.sql(text)
         dd = {c: names.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
         assert sp == dd, (name, sp, dd)
+
+
+def test_queries_independent_of_session_settings(spark):
+    """Results do not depend on AQE, ANSI mode, session time zone or the
+    shuffle partition count of the caller's session."""
+    from scripts.check_oracle import compare
+    from ledgerlake.plans import driver, registry
+    keys = ["scd2_merge", "scd1_merge", "typed_fact", "features", "share_filtered", "daily_trend",
+            "backfill_nulls", "avg_by_dow", "surrogate_keys", "classification_report"]
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.ansi.enabled": "false",
+            "spark.sql.session.timeZone": "America/New_York", "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        driver._BUILT.clear()
+        registry._FEATURES.clear()
+        res = compare(spark, SF, keys, verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        driver._BUILT.clear()
+        registry._FEATURES.clear()
+    assert res == {k: "OK" for k in keys}, res
