@@ -142,14 +142,16 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
                end_col: str = "EndDate", current_col: str = "IsCurrent",
                null_safe: bool = False, require_newer: bool = False,
                quarantine_null_keys: bool = True, num_partitions: int | None = None,
-               freeze: bool = True) -> DataFrame:
+               freeze: bool = True, key_start: Column | None = None) -> DataFrame:
     """History-keeping dimension: close changed versions, open new ones.
 
     One batch (source deduplicated to one row per key) against the target.
     New versions start at the effective date, end NULL, are current and get
     keys after the target's largest key.  Flags: ``null_safe`` treats a change
     to/from NULL as a change; ``require_newer`` ignores source rows whose
-    effective date is not after the current version's start.
+    effective date is not after the current version's start.  ``key_start``
+    overrides the largest existing key (when ``target`` holds only part of
+    the table, e.g. its current versions).
 
     Plan: closed history passes through untouched; current versions and the
     source meet in one full outer equi join on the key (at most one row per
@@ -182,6 +184,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
         F.col("_s_key").alias(key), *[F.col(f"_s_{c}").alias(c) for c in tracked],
         F.col("_s_eff").alias(start_col), F.lit(None).cast("date").alias(end_col),
         F.lit(True).alias(current_col))
-    opened = assign_keys(opened, [key, start_col], sk_col, start=max_key(target, sk_col),
+    start = key_start if key_start is not None else max_key(target, sk_col)
+    opened = assign_keys(opened, [key, start_col], sk_col, start=start,
                          num_partitions=num_partitions, freeze=not freeze)
     return hist.unionByName(current).unionByName(opened.select(*target.columns))

@@ -54,6 +54,24 @@ def upsert_fact_partitioned(raw: DataFrame, customer_dim: DataFrame, account_dim
                              lambda t, s: fact_upsert(t, s, "TransactionID"))
 
 
+def upsert_customer_dim_partitioned(raw: DataFrame, path: str, run_id: str, **merge_flags) -> DataFrame:
+    """Customer job against a version-set-partitioned table at ``path``: each
+    run rewrites the current versions only and adds the versions it closed as
+    a new partition (history is never rewritten)."""
+    from ..operators.merge import scd2_merge
+    from ..schemas import CUSTOMER_DIM, CUSTOMER_TRACKED
+    from ..sources.tables import upsert_history_partitioned
+
+    src = silver.dedup_customers(silver.stage_customers(raw))
+
+    def merge(current, source, key_start):
+        tgt = current if current is not None else silver.empty(raw.sparkSession, CUSTOMER_DIM)
+        return scd2_merge(tgt.select(*CUSTOMER_DIM.fieldNames()), source, "CustomerID", CUSTOMER_TRACKED,
+                          "CustomerSK", key_start=key_start, **merge_flags)
+
+    return upsert_history_partitioned(raw.sparkSession, path, src, run_id, merge, "CustomerSK")
+
+
 def run_gold(layer: SilverLayer) -> dict[str, DataFrame]:
     return gold.build_gold(layer.fact, layer.customer_dim, layer.account_dim)
 

@@ -243,3 +243,25 @@ def test_partitioned_fact_equals_snapshot(layers, spark, tmp_path_factory):
     assert sorted(tuple(r) for r in out.select(*cols).collect()) == sorted(tuple(r) for r in ab.fact.collect())
     assert {r.TransactionMonth for r in out.select("TransactionMonth").distinct().collect()} == {
         "2025-01", "2025-02", "2025-03"}
+
+
+def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
+    import os
+
+    from ledgerlake.plans.layers import upsert_customer_dim_partitioned
+    from ledgerlake.session import work_path
+    base = tmp_path_factory.mktemp("pdim")
+    b1 = _customers(spark, base, "cust_a", ["c1", "c3", "c4", "c5", "c6", "c8"], "2025-04-01 10:00:00")
+    b2 = _customers(spark, base, "cust_b", ["c2", "c7"], "2025-04-02 10:00:00")
+    path = work_path(spark, "customer-dim-versions")
+    upsert_customer_dim_partitioned(b1, path, "1")
+    def rows_of(df):
+        return sorted((r.CustomerID, r.CustomerName, r.StartDate, r.EndDate, r.IsCurrent, r.CustomerSK)
+                      for r in df.collect())
+    first = rows_of(upsert_customer_dim_partitioned(b1.unionByName(b2), path, "2"))
+    rows = rows_of(upsert_customer_dim_partitioned(b1.unionByName(b2), path, "2"))  # repeated run: idempotent
+    assert len(rows) == 6 and rows == first
+    assert ("C005", "Brian K", D(2025, 2, 2), D(2025, 3, 5), False, 4) in rows
+    assert ("C005", "Brian K ", D(2025, 3, 5), None, True, 6) in rows
+    parts = sorted(p for p in os.listdir(path.replace("file:", "")) if p.startswith("VersionSet="))
+    assert parts == ["VersionSet=current", "VersionSet=run_2"]
