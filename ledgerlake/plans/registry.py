@@ -610,3 +610,34 @@ def q_model_coefficients(spark, d):
         c = models.coefficients(fit(train)).withColumn("model", F.lit(label))
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ============================ at-scale storage variants ========================
+
+
+@register("fact_upsert_partitioned", sql(f"""
+SELECT {FACT_OUT}, strftime(TransactionDate, '%Y-%m') AS TransactionMonth FROM fact_merged""", "fact_merged"))
+def q_fact_upsert_partitioned(spark, d):
+    """``fact_upsert``'s two deliveries into a month-partitioned table: the
+    second run rewrites only the months it touches."""
+    from .layers import upsert_fact_partitioned
+    s = S(spark, d)
+    raw = driver.transaction_raw(spark, d, keep_true_date=True)
+    b1 = raw.where(F.col("_true_date") < F.lit("1998-01-01").cast("date")).drop("_true_date")
+    b2 = (raw.where(F.col("_true_date") >= F.lit("1997-07-01").cast("date")).drop("_true_date")
+          .withColumn("RiskScore", F.concat("RiskScore", F.lit("0"))))
+    path = work_path(spark, "fact-by-month")
+    upsert_fact_partitioned(b1, s.customer_dim, s.account_dim, path)
+    return upsert_fact_partitioned(b2, s.customer_dim, s.account_dim, path)
+
+
+@register("scd2_merge_partitioned", sql("""
+SELECT *, CASE WHEN IsCurrent THEN 'current' ELSE 'run_2' END AS VersionSet FROM dim2""", "dim2"))
+def q_scd2_merge_partitioned(spark, d):
+    """The customer dimension's two runs into a version-set-partitioned table:
+    current versions in one partition, the versions run 2 closes in another."""
+    from .layers import upsert_customer_dim_partitioned
+    s = S(spark, d)
+    path = work_path(spark, "customer-dim-versions")
+    upsert_customer_dim_partitioned(s.customer_raw_1, path, "1")
+    return upsert_customer_dim_partitioned(s.customer_raw_12, path, "2")

@@ -84,7 +84,11 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     moved = target.select(key, part_col).join(keys, key, "left_semi").select(part_col)
     # partition values only: bounded by the number of partitions, not by rows
     touched = [r[0] for r in source.select(part_col).union(moved).distinct().collect()]
-    slice_ = target.where(F.col(part_col).isin(touched))  # static partition pruning
+    values = [v for v in touched if v is not None]
+    hit = F.col(part_col).isin(values) if values else F.lit(False)
+    if len(values) < len(touched):  # the NULL partition is touched too (isin never matches NULL)
+        hit = hit | F.col(part_col).isNull()
+    slice_ = target.where(hit)  # static partition pruning
     merged = materialize(merge(slice_.select(*target.columns), source.select(*target.columns)), "slice")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))

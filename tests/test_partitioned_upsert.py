@@ -41,3 +41,14 @@ def test_upsert_rewrites_only_touched_partitions(spark):
     assert feb and all(after.get(p) == m for p, m in feb.items())       # untouched partition kept as is
     jan = {p for p in before if "month=2025-01" in p}
     assert jan and not (jan & set(after))                                # January rewritten (t0 left it)
+
+
+def test_null_partition_is_merged_not_dropped(spark):
+    path = work_path(spark, "fact-null-part")
+    base = spark.createDataFrame([("a", None, 1), ("b", "2025-01", 2), ("c", None, 3)], "id string, m string, v int")
+    merge = lambda t, s: fact_upsert(t, s, "id")
+    upsert_partitions(spark, path, base, "id", "m", merge)
+    batch = spark.createDataFrame([("c", None, 30), ("d", None, 4)], "id string, m string, v int")
+    out = upsert_partitions(spark, path, batch, "id", "m", merge)
+    assert sorted((r.id, r.m, r.v) for r in out.collect()) == [
+        ("a", None, 1), ("b", "2025-01", 2), ("c", None, 30), ("d", None, 4)]
