@@ -77,7 +77,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
 
     if not _exists(spark, path):
         out = merge(source.limit(0), source)
-        out.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        _by_partition(out, part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     keys = source.select(key).distinct()
@@ -90,11 +90,18 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
         hit = hit | F.col(part_col).isNull()
     slice_ = target.where(hit)  # static partition pruning
     merged = materialize(merge(slice_.select(*target.columns), source.select(*target.columns)), "slice")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_partition(merged, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
 
 
+def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
+    """Group rows by table partition before a partitioned write (few files per
+    partition); adaptive execution splits a partition that is too large and
+    merges small ones, so a hot partition value is not written by one task."""
+    return df.hint("rebalance", part_col)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -134,6 +141,6 @@ def upsert_history_partitioned(spark: SparkSession, path: str, source: DataFrame
     out = merged.withColumn(part_col, F.when(F.col(current_col), F.lit(CURRENT_PARTITION))
                             .otherwise(F.lit(run_part)))
     out = materialize(out, "history-slice")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_partition(out, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
