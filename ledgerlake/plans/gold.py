@@ -13,18 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import half_up_share
+from ..operators.aggregate import share_of_counts
 
 # Fixed value: the country excluded from the fraud-share view.
 DEFAULT_EXCLUDED_COUNTRY = "Kenya"
 
 
-def _share(grouped: DataFrame, keys, out: str, decimal: bool = False,
-           count_col: str | None = None) -> DataFrame:
-    """grouped has ``keys`` + ``_n``; adds the share of the grand total (scalar subquery)."""
-    total = grouped.agg(F.sum("_n")).scalar()
-    extra = [F.col("_n").alias(count_col)] if count_col else []
-    return grouped.select(*keys, *extra, half_up_share(F.col("_n"), total, decimal).alias(out))
+def _share(grouped: DataFrame, keys, out: str, decimal: bool = False) -> DataFrame:
+    """grouped has ``keys`` + ``_n`` (additive counts); share of the grand total."""
+    return share_of_counts(grouped, keys, out, "_n", decimal=decimal)
 
 
 def _pre(fact: DataFrame, key: str, value: str, *fact_keys) -> DataFrame:
