@@ -99,11 +99,14 @@ def parse_transactions(raw: DataFrame, patterns=TRANSACTION_DATE_PATTERNS) -> Da
     )
 
 
-def stage_transactions(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame) -> DataFrame:
-    """Customer version as of the transaction date, account by id (both left)."""
+def stage_transactions(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame,
+                       salt: int = 1) -> DataFrame:
+    """Customer version as of the transaction date, account by id (both left).
+    ``salt > 1`` splits hot customers / accounts without relying on adaptive
+    skew handling (see ``operators.lookup``)."""
     parsed = parse_transactions(raw)
-    j = asof_lookup(parsed, customer_dim, "CustomerID", "TransactionDate", ["CustomerSK"])
-    return left_lookup(j, account_dim, "AccountID", ["AccountSK"])
+    j = asof_lookup(parsed, customer_dim, "CustomerID", "TransactionDate", ["CustomerSK"], salt=salt)
+    return left_lookup(j, account_dim, "AccountID", ["AccountSK"], salt=salt)
 
 
 def dedup_transactions(staged: DataFrame) -> DataFrame:
@@ -120,13 +123,14 @@ def typed_fact(deduped: DataFrame) -> DataFrame:
     return out.select(*FACT_COLUMNS)
 
 
-def fact_source(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame) -> DataFrame:
+def fact_source(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame,
+                salt: int = 1) -> DataFrame:
     """The merge source: parsed, looked up, one row per transaction, typed."""
-    return typed_fact(dedup_transactions(stage_transactions(raw, customer_dim, account_dim)))
+    return typed_fact(dedup_transactions(stage_transactions(raw, customer_dim, account_dim, salt)))
 
 
 def fact_job(target: DataFrame | None, raw: DataFrame, customer_dim: DataFrame,
-             account_dim: DataFrame) -> DataFrame:
+             account_dim: DataFrame, salt: int = 1) -> DataFrame:
     spark = raw.sparkSession
     tgt = target if target is not None else empty(spark, TRANSACTION_FACT)
-    return fact_upsert(tgt, fact_source(raw, customer_dim, account_dim), "TransactionID")
+    return fact_upsert(tgt, fact_source(raw, customer_dim, account_dim, salt), "TransactionID")

@@ -324,3 +324,21 @@ def test_latest_per_key_skips_map_columns_in_tiebreak(spark):
     df = spark.createDataFrame([("k", 1, {"a": 1}, "b"), ("k", 1, {"a": 2}, "a")],
                                "id string, d int, m map<string,int>, v string")
     assert latest_per_key(df, ["id"], ["d"]).first().v == "a"
+
+
+def test_salted_lookups_are_exact(spark):
+    from ledgerlake.operators.lookup import left_lookup
+    dim = spark.createDataFrame([(1, "x", D(2025, 1, 1), D(2025, 3, 5)), (2, "x", D(2025, 3, 5), None),
+                                 (3, "y", D(2025, 1, 1), None)], "SK long, ID string, StartDate date, EndDate date")
+    rows = [(f"t{i}", "x" if i % 3 else "y", D(2025, 1, 1) + dt.timedelta(days=i % 90)) for i in range(600)]
+    rows += [("dup", "x", D(2025, 3, 5)), ("dup", "x", D(2025, 3, 5)), ("miss", "z", D(2025, 2, 1))]
+    fact = spark.createDataFrame(rows, "T string, ID string, d date")
+    plain = sorted(tuple(r) for r in asof_lookup(fact, dim, "ID", "d", ["SK"]).collect())
+    salted = sorted(tuple(r) for r in asof_lookup(fact, dim, "ID", "d", ["SK"], salt=8).collect())
+    assert plain == salted and len(plain) == 600 + 2 * 2 + 1   # the two change-date rows match twice
+    dim2 = dim.withColumn("IsCurrent", F.col("EndDate").isNull()).withColumnRenamed("ID", "CustomerID")
+    f2 = fact.withColumnRenamed("ID", "CustomerID")
+    assert sorted(map(tuple, current_lookup(f2, dim2, "CustomerID", ["SK"]).collect())) == \
+        sorted(map(tuple, current_lookup(f2, dim2, "CustomerID", ["SK"], salt=5).collect()))
+    assert sorted(map(tuple, left_lookup(fact, dim, "ID", ["SK"]).collect())) == \
+        sorted(map(tuple, left_lookup(fact, dim, "ID", ["SK"], salt=3).collect()))

@@ -265,3 +265,12 @@ def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
     assert ("C005", "Brian K ", D(2025, 3, 5), None, True, 6) in rows
     parts = sorted(p for p in os.listdir(path.replace("file:", "")) if p.startswith("VersionSet="))
     assert parts == ["VersionSet=current", "VersionSet=run_2"]
+
+
+def test_salted_fact_job_equals_plain(layers, spark, tmp_path_factory):
+    from ledgerlake.plans import silver
+    base = tmp_path_factory.mktemp("salt")
+    txn = _csv(spark, base, "transactions", TRANSACTIONS, TRANSACTION_RAW)
+    ab = layers["AB"]
+    salted = silver.fact_job(None, txn, ab.customer_dim, ab.account_dim, salt=4)
+    assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in ab.fact.collect())
