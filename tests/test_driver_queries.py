@@ -36,9 +36,16 @@ def test_plans_scale(spark):
     for name, fn in E.queries().items():
         if name in ROWS_ONLY or name in ("incremental_load", "csv_roundtrip"):
             continue
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().treeString()
         for op in FORBIDDEN:
             assert op not in plan, (name, op)
+        # a single-partition exchange only ever moves aggregated rows (groups,
+        # days, per-partition counts, partial sums), never raw rows
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                child = lines[i + 1].lstrip(" :-+")
+                assert child.startswith(("HashAggregate", "ObjectHashAggregate", "SortAggregate")), (name, child)
 
 
 def _tree(df):
