@@ -72,6 +72,32 @@ def upsert_customer_dim_partitioned(raw: DataFrame, path: str, run_id: str, **me
     return upsert_history_partitioned(raw.sparkSession, path, src, run_id, merge, "CustomerSK")
 
 
+def run_silver_partitioned(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw: DataFrame,
+                           root: str, run_id: str) -> SilverLayer:
+    """One scheduled run against tables kept under ``root`` (a shared path).
+
+    The customer dimension is version-set partitioned (history never
+    rewritten), the fact month-partitioned (only touched months rewritten);
+    the account dimension (one row per account, no history) is replaced as a
+    whole.  Re-running with the same ``run_id`` is idempotent.  Returns scans
+    of the three tables without their partition columns.
+    """
+    from ..schemas import ACCOUNT_DIM
+    from ..session import materialize
+    from ..sources.tables import _exists
+
+    spark = customer_raw.sparkSession
+    root = root.rstrip("/")
+    cust = upsert_customer_dim_partitioned(customer_raw, f"{root}/customer_dim", run_id).drop("VersionSet")
+    acct_path = f"{root}/account_dim"
+    prev_acct = spark.read.parquet(acct_path).select(*ACCOUNT_DIM.fieldNames()) if _exists(spark, acct_path) else None
+    acct_new = materialize(silver.account_job(prev_acct, account_raw, cust), "account_dim")
+    acct_new.write.mode("overwrite").parquet(acct_path)
+    acct = spark.read.parquet(acct_path)
+    fact = upsert_fact_partitioned(transaction_raw, cust, acct, f"{root}/transaction_fact").drop("TransactionMonth")
+    return SilverLayer(cust, acct, fact)
+
+
 def run_gold(layer: SilverLayer) -> dict[str, DataFrame]:
     return gold.build_gold(layer.fact, layer.customer_dim, layer.account_dim)
 
