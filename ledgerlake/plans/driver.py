@@ -41,21 +41,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     return spread_if_narrow(df) if spread else df
 
 
-SPREAD_MAX_BYTES = 1 << 30  # only inputs below 1 GB are ever redistributed
-
-
-def spread_if_narrow(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Round-robin a small scan that yields fewer partitions than the cluster has cores.
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields a single partition over the cluster's cores.
 
     A file with a single row group cannot be split, so all of its rows would
-    be parsed by one task.  The extra shuffle is bounded: only inputs whose
-    size estimate (file sizes, from the optimizer's statistics) is below
-    ``max_bytes`` are redistributed; large inputs, and inputs that already
-    have enough splits, are returned unchanged.  Neither check runs a job.
+    be parsed by one task.  One partition means one split, i.e. at most
+    ``spark.sql.files.maxPartitionBytes`` (or one row group) of input, so the
+    extra shuffle is bounded; inputs with more splits are returned unchanged
+    and never pay a shuffle.  The partition count only plans the scan; it
+    runs no job.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < max_bytes and df.rdd.getNumPartitions() < cores:
+    if cores > 1 and df.rdd.getNumPartitions() == 1:
         return df.repartition(cores)
     return df
 

@@ -103,10 +103,13 @@ def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """True when ``path`` holds a readable parquet table."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 CURRENT_PARTITION = "current"

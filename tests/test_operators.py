@@ -344,9 +344,10 @@ def test_salted_lookups_are_exact(spark):
         sorted(map(tuple, left_lookup(fact, dim, "ID", ["SK"], salt=3).collect()))
 
 
-def test_spread_only_small_narrow_inputs(spark):
+def test_spread_only_single_split_inputs(spark):
     from ledgerlake.plans.driver import spread_if_narrow, table
     small = table(spark, "/root/testdata/sf0.001", "orders")
     cores = spark.sparkContext.defaultParallelism
     assert spread_if_narrow(small).rdd.getNumPartitions() == cores
-    assert spread_if_narrow(small, max_bytes=1) is small      # size bound: never spread large inputs
+    wide = small.repartition(2)
+    assert spread_if_narrow(wide) is wide                       # more than one split: untouched
