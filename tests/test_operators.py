@@ -351,3 +351,13 @@ def test_spread_only_single_split_inputs(spark):
     assert spread_if_narrow(small).rdd.getNumPartitions() == cores
     wide = small.repartition(2)
     assert spread_if_narrow(wide) is wide                       # more than one split: untouched
+
+
+def test_assign_keys_with_nulls_and_ties_in_order(spark):
+    rows = [(None if i % 7 == 0 else f"k{i % 50:02d}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(5)
+    out = assign_keys(df, ["k", "v"], "sk", start=100, num_partitions=4).collect()
+    keys = sorted(r.sk for r in out)
+    assert keys == list(range(101, 501))
+    by_order = [r.sk for r in sorted(out, key=lambda r: (r.k is not None, r.k or "", r.v))]
+    assert by_order == sorted(by_order)          # keys follow (k NULLS FIRST, v) order
