@@ -27,7 +27,10 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str,
        broadcast back: the broadcast side is bounded by ``num_partitions``.
 
     ``freeze`` writes the positioned rows once to the shared work folder so
-    that both uses read identical rows even after executor loss.
+    that both uses (counts and keyed rows) read identical rows.  Keep it on:
+    unfrozen, the two uses are separate range exchanges, and the range
+    partitioner re-samples imbalanced inputs with a seed tied to the RDD id,
+    so the two branches can disagree on the range bounds (duplicate keys).
     ``start`` may be a scalar subquery column such as the target's max key.
     """
     spark = df.sparkSession

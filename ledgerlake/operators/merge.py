@@ -80,8 +80,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, sk_col: str,
     merged = _freeze(j.select(*cols, F.col("t._in_t").isNull().alias("_new")), freeze)
     kept = merged.where(~F.col("_new")).drop("_new")
     fresh = assign_keys(merged.where(F.col("_new")).drop("_new", sk_col), [key], sk_col,
-                        start=max_key(target, sk_col), num_partitions=num_partitions,
-                        freeze=not freeze)
+                        start=max_key(target, sk_col), num_partitions=num_partitions)
     return kept.unionByName(fresh.select(*target.columns))
 
 
@@ -186,5 +185,5 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
         F.lit(True).alias(current_col))
     start = key_start if key_start is not None else max_key(target, sk_col)
     opened = assign_keys(opened, [key, start_col], sk_col, start=start,
-                         num_partitions=num_partitions, freeze=not freeze)
+                         num_partitions=num_partitions)
     return hist.unionByName(current).unionByName(opened.select(*target.columns))

@@ -361,3 +361,15 @@ def test_assign_keys_with_nulls_and_ties_in_order(spark):
     assert keys == list(range(101, 501))
     by_order = [r.sk for r in sorted(out, key=lambda r: (r.k is not None, r.k or "", r.v))]
     assert by_order == sorted(by_order)          # keys follow (k NULLS FIRST, v) order
+
+
+def test_merge_keys_unique_on_imbalanced_input(spark):
+    """Regression: keys issued inside a merge stay dense and unique when the
+    input partitions are very uneven (range bounds must not be sampled twice)."""
+    big = spark.range(30000).select(F.format_string("k%06d", "id").alias("ID"))
+    small = spark.range(5).select(F.format_string("z%d", "id").alias("ID"))
+    src = big.union(small).select("ID", F.lit("a").alias("A"), F.lit("b").alias("B"),
+                                  F.lit(D(2025, 1, 1)).alias("EffectiveDate"))
+    out = scd2_merge(spark.createDataFrame([], DIM), src, "ID", ["A", "B"], "SK", num_partitions=8).collect()
+    rows = sorted((r.ID, r.SK) for r in out)
+    assert [sk for _, sk in rows] == list(range(1, 30006))
