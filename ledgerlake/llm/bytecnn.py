@@ -41,13 +41,17 @@ def chunk_count(size: int) -> int:
     return max(1, -(-(size - WIDTH) // STRIDE) + 1)
 
 
-def chunk_rows(data: np.ndarray, embed: np.ndarray) -> np.ndarray:
-    """(chunks, WIDTH * EMBED) of a byte array whose length is WIDTH + k * STRIDE."""
-    looked_up = embed[data]
-    step = looked_up.strides[0]
-    n = (len(data) - WIDTH) // STRIDE + 1
-    view = np.lib.stride_tricks.as_strided(looked_up, (n, WIDTH * EMBED), (STRIDE * step, looked_up.strides[1]))
-    return view
+def chunk_answers(data: np.ndarray, w: Weights) -> np.ndarray:
+    """(chunks, FILTERS) answers for a byte array whose length is WIDTH + k * STRIDE.
+
+    A chunk is WIDTH / STRIDE pieces of STRIDE bytes; the filters answer to each
+    piece once, and a chunk's answer is the sum over its pieces.
+    """
+    pieces = WIDTH // STRIDE
+    rows = w["embed"][data].reshape(-1, STRIDE * EMBED)
+    by_piece = w["filters"].reshape(pieces, STRIDE * EMBED, FILTERS).transpose(1, 0, 2).reshape(STRIDE * EMBED, -1)
+    each, n = rows @ by_piece, len(rows) - pieces + 1
+    return sum(each[j : j + n, j * FILTERS : (j + 1) * FILTERS] for j in range(pieces))
 
 
 def padded(text: bytes) -> np.ndarray:
@@ -62,7 +66,7 @@ def pooled(text: bytes, w: Weights) -> tuple[np.ndarray, np.ndarray]:
     data = padded(text)
     best, at, first = None, None, 0
     for a in range(0, len(data) - WIDTH + 1, SLAB):
-        answers = chunk_rows(data[a : a + SLAB + WIDTH - STRIDE], w["embed"]) @ w["filters"]
+        answers = chunk_answers(data[a : a + SLAB + WIDTH - STRIDE], w)
         k = answers.argmax(axis=0)
         top = answers[k, np.arange(FILTERS)]
         if best is None:
@@ -88,9 +92,12 @@ def score(items: list[bytes], w: Weights) -> np.ndarray:
     return combine(np.stack([pooled(t, w)[0] for t in items]), w)
 
 
-def train(items: list[bytes], labels: list[int], epochs: int = 12, rate: float = 3e-3, batch: int = 32,
-          seed: int = 1) -> Weights:
-    """Adam on the log loss.  Only the chunk that gave a maximum passes a gradient back."""
+def train(items: list[bytes], labels: list[int], epochs: int = 12, least_steps: int = 900, rate: float = 3e-3,
+          batch: int = 32, seed: int = 1) -> Weights:
+    """Adam on the log loss, for ``epochs`` or, on small samples, ``least_steps`` batches.
+
+    Only the chunk that gave a maximum passes a gradient back.
+    """
     w = start_weights(seed)
     first = {k: np.zeros_like(v) for k, v in w.items()}
     second = {k: np.zeros_like(v) for k, v in w.items()}
@@ -99,7 +106,9 @@ def train(items: list[bytes], labels: list[int], epochs: int = 12, rate: float =
         return w
     w["out_bias"][0] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     rng, step = np.random.default_rng(seed), 0
-    steps = epochs * -(-len(items) // batch)
+    rounds = -(-len(items) // batch)
+    epochs = max(epochs, -(-least_steps // rounds))
+    steps = epochs * rounds
     for _ in range(epochs):
         order = rng.permutation(len(items))
         for a in range(0, len(order), batch):
@@ -173,7 +182,7 @@ def hash_order(doc_id: int, seed: int) -> int:
     return (doc_id * 0x9E3779B97F4A7C15 + seed * 0xC2B2AE3D27D4EB4F) % (1 << 64)
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 2500, max_bytes: int = 12 << 20, seed: int = 1,
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 16 << 20, seed: int = 1,
         **options) -> Weights:
     """Weights learned from a bounded sample of labelled rows (``training_rows``)."""
     items, marks = training_rows(documents, labels, max_rows, max_bytes, seed)

@@ -12,10 +12,10 @@ item AS (
 win AS (
   SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[s + 1 : s + least(len(w), 13)], ' ') AS phrase
   FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS s FROM item WHERE len(w) > 0)),
-at AS (
+spot AS (
   SELECT doc_id, s, size, array_to_string(w[s + 1 : s + size], ' ') AS phrase
   FROM (SELECT doc_id, w, size, unnest(range(greatest(len(w) - size + 1, 0))) AS s FROM doc, (SELECT DISTINCT size FROM win))),
-met AS (SELECT doc_id, s, at.size, item_id FROM at JOIN win ON at.phrase = win.phrase AND at.size = win.size),
+met AS (SELECT doc_id, s, spot.size, item_id FROM spot JOIN win ON spot.phrase = win.phrase AND spot.size = win.size),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM met) GROUP BY 1),
 own AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
         FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY 1)

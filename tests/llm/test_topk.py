@@ -1,0 +1,65 @@
+"""Top-k search against all scores."""
+
+import math
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerlake.llm.topk import Best, search, top_k
+
+
+def brute(rows, k):
+    ok = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    queries = {}
+    for i, v in ok:
+        if i % 50 == 0:
+            queries[i] = min(v, queries.get(i, v))
+    out = []
+    for q, a in queries.items():
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q)[:k]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
+    return sorted(out)
+
+
+def got(df, **options):
+    return sorted(tuple(r) for r in top_k(df, df.where("vec_id % 50 = 0"), **options).collect())
+
+
+def test_against_all_scores(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([-0.5, 0.25, 0.0, rng.gauss(0, 1)]) for _ in range(8)]) for i in range(320)]
+    rows += [(1000 + i, rows[50][1]) for i in range(9)] + [(1000, rows[50][1])] * 3
+    rows += [(None, [1.0] * 8), (2000, None), (2050, [1.0, None] * 4), (2100, [float("nan")] * 8), (2150, [float("inf")] * 8),
+             (2200, []), (2250, [3.0]), (2300, [1.0] * 12), (2300, [-1.0] * 3), (-50, [2.0] * 8)]
+    df = (spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).withColumn("score", F.lit("clash"))
+          .withColumn("id", F.lit(1)).withColumn("rank", F.lit(1)))
+    want = brute(rows, 5)
+    assert got(df) == want
+    assert got(df, block_rows=7, slab_bytes=600) == want  # many blocks and slabs
+
+
+def test_few_candidates_and_empty(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 0.5]), (2, [-1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert got(df) == brute([(0, [1.0, 2.0]), (1, [1.0, 0.5]), (2, [-1.0, 0.0])], 5)
+    assert got(df.limit(0)) == [] and got(df.where("vec_id = 1")) == []
+
+
+def test_pruning_skips_blocks():
+    rng = np.random.default_rng(0)
+    index = []
+    for b in range(20):
+        m = rng.integers(0, 10, (50, 6)) + 100 * (b == 3)
+        index.append((np.arange(50) + 100 * b, m, m.max(axis=0), m.min(axis=0)))
+    best = Best(np.array([-1]), 5)
+    assert search(np.ones((1, 6), np.int64), index, best) == 1
+    assert all(300 <= i < 350 for _, i in best.found[0])
+
+
+def test_large_products_stay_exact():
+    q = np.array([[1 << 33, 1]], np.int64)
+    m = np.array([[1 << 34, 1], [1 << 34, 2]], np.int64)
+    best = Best(np.array([-1]), 1)
+    search(q, [(np.array([4, 5]), m, m.max(axis=0), m.min(axis=0))], best)
+    assert best.found[0] == [(-((1 << 67) + 2), 5)]
