@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -53,3 +54,13 @@ def texts(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the folder named by ``spark.checkpoint.dir``."""
     return work_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps that nothing refers to any more.
+
+    Spark's cleaner works when the driver collects its garbage; a step that ended
+    in a written table calls this before the next step fills the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

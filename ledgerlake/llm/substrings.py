@@ -5,8 +5,9 @@ with a smaller id.  The windows of ``size`` bytes are dealt to bins by their
 smallest-hashed k-gram (the anchor): equal windows have equal anchors, so they meet.
 Consecutive windows with one anchor travel as one segment.
 
-In a bin, segments whose anchor with 15 bytes before or after it occurs in one
-document only cannot hold a repeat and are left out; equal segments are reduced to
+Of the bytes of a window beside its anchor at least half lie on one side.  In a bin,
+segments whose anchor with that many bytes before or after it occurs in one document
+only cannot hold a repeat and are left out; equal segments are reduced to
 one string with its smallest id.  The remaining strings form shards.  Each shard's
 suffixes are sorted once; the shards' Burrows-Wheeler transforms are then merged by
 interleave refinement: starting from all of one shard before all of the other, each
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import quoted, table_bytes, texts
+from .common import materialize, quoted, release, table_bytes, texts
 
-#: Bytes of an anchor, and bytes beside it that one side of a window surely holds (of 50: 30 lie beside it).
-ANCHOR = 20
+#: Bytes of an anchor.
+ANCHOR = 12
 #: Bytes of text whose segments are cut at once.
-SLAB = 4 << 20
+SLAB = 2 << 20
 
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -243,19 +244,19 @@ def solve_bin(payloads: list[bytes], size: int):
     """(id, checksum, start, stop) arrays of the removed runs found in one bin."""
     unpack = zstandard.ZstdDecompressor()
     parts, passed = [], []
+    side = (size - ANCHOR) // 2
     for raw in payloads:
         steps, sums, local, start, length, anchor, data, l2, s2, n2 = pickle.loads(unpack.decompress(raw))
-        ids, of = np.cumsum(steps), np.cumsum(local.astype(np.int64))
-        parts.append((ids[of], sums[of], start.astype(np.int64), length.astype(np.int64), anchor.astype(np.int64), data))
+        ids, of, length = np.cumsum(steps), np.cumsum(local.astype(np.int64)), length.astype(np.int64)
+        base = np.cumsum(length) - length
+        hashes, at = Hashes(data), base + anchor
+        parts.append((ids[of], sums[of], start.astype(np.int64), length, data, anchor >= side, length - anchor >= ANCHOR + side,
+                      hashes.of(np.maximum(at - side, 0), at + ANCHOR), hashes.of(at, np.minimum(at + ANCHOR + side, len(data))),
+                      hashes.of(base, base + length) ^ length.astype(np.uint64)))
         passed.append((ids[l2], sums[l2], s2.astype(np.int64), s2.astype(np.int64) + n2))
-    ids, sums, start, length, anchor, data = (np.concatenate(x) for x in zip(*parts))
+    ids, sums, start, length, data, more_left, more_right, left, right, whole = (np.concatenate(x) for x in zip(*parts))
+    del parts
     base = np.cumsum(length) - length
-    hashes = Hashes(data)
-    side = (size - ANCHOR) // 2
-    at = base + anchor
-    more_left, more_right = anchor >= side, length - anchor >= ANCHOR + side
-    left = hashes.of(np.maximum(at - side, 0), at + ANCHOR)
-    right = hashes.of(at, np.minimum(at + ANCHOR + side, len(data)))
 
     def shared(keys: np.ndarray, of: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Whether elements ``of`` with one key have different values."""
@@ -272,7 +273,7 @@ def solve_bin(payloads: list[bytes], size: int):
     lefts, rights = np.flatnonzero(more_left), np.flatnonzero(more_right)
     live = np.flatnonzero(shared(left, lefts, ids) | shared(right, rights, ids))
     # equal segments become one string
-    order, begins = groups(hashes.of(base, base + length)[live] ^ length[live].astype(np.uint64))
+    order, begins = groups(whole[live])
     string = numbers(order, begins)
     example = live[order[begins]] if len(live) else live
     least = np.minimum.reduceat(ids[live][order], begins) if len(live) else ids[:0]
@@ -328,7 +329,9 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
     bytes.  Null texts are empty; texts shorter than ``size`` lose nothing; other
     columns are not read; an empty table gives an empty result.
 
-    A bin gets about ``bin_bytes`` of segments at any scale.  Equal segments are
+    The repeats are written to the shared folder before the texts are cut, so a
+    lost executor costs one of the two steps.  A bin gets about ``bin_bytes`` of
+    segments at any scale.  Equal segments are
     reduced to their smallest id before they are shuffled, so a passage that a
     third of all documents share costs its bin one segment per slab of text.
     """
@@ -363,8 +366,9 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         return pa.table({"place": pa.array(ids, pa.int64()), "sum": pa.array(sums.astype(np.int64)),
                          "start": pa.array(start, pa.int64()), "stop": pa.array(stop, pa.int64())})
 
-    found = (rows.select("place", "text").mapInArrow(cut, "bin long, payload binary")
-             .groupBy("bin").applyInArrow(solve, "place long, sum long, start long, stop long"))
+    found = materialize(rows.select("place", "text").mapInArrow(cut, "bin long, payload binary").groupBy("bin")
+                        .applyInArrow(solve, "place long, sum long, start long, stop long"), "repeats")
+    release(df.sparkSession)  # the segments
     runs = found.groupBy("place", "sum").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # one document's own
     joined = rows.withColumn("sum", F.crc32(F.col("text").cast("binary"))).join(runs, ["place", "sum"], "left").select("id", "text", "spans")
     kind = rows.schema["id"].dataType
