@@ -55,21 +55,23 @@ def max_key(df: DataFrame, key_col: str) -> Column:
     return F.coalesce(df.agg(F.max(key_col)).scalar(), F.lit(0))
 
 
-def split_bucket(id_col: Column | str, seed: int = 42, parts: int = 5) -> Column:
-    """Deterministic bucket ``0 .. parts-1`` from md5(seed:id).
+def split_hash(id_col: Column | str, seed: int = 42) -> Column:
+    """Deterministic number ``0 .. 2^32 - 1`` from md5(seed:id).
 
     Independent of partitioning and input order (unlike ``randomSplit``);
     DuckDB computes the same number with
-    ``('0x' || substr(md5(seed || ':' || id), 1, 8))::BIGINT % parts``.
+    ``('0x' || substr(md5(seed || ':' || id), 1, 8))::BIGINT``.
     """
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string"))), 1, 8), 16, 10)
-    return F.pmod(h.cast("long"), F.lit(parts))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string"))), 1, 8), 16, 10).cast("long")
 
 
-def hash_split(df: DataFrame, id_col: str, seed: int = 42, test_fraction: float = 0.2,
-               parts: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with about ``test_fraction`` of ids in test."""
-    test_parts = max(1, round(parts * test_fraction))
-    b = split_bucket(id_col, seed, parts)
-    return df.where(b < parts - test_parts), df.where(b >= parts - test_parts)
+def in_test(id_col: Column | str, seed: int = 42, test_fraction: float = 0.2) -> Column:
+    """True for the ``test_fraction`` of ids with the smallest hashes; false for a NULL id."""
+    return F.coalesce(split_hash(id_col, seed) < F.lit(int(test_fraction * (1 << 32))), F.lit(False))
+
+
+def hash_split(df: DataFrame, id_col: str, seed: int = 42, test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with ``test_fraction`` of the hash range in test; every row is in one of them."""
+    test = in_test(id_col, seed, test_fraction)
+    return df.where(~test), df.where(test)

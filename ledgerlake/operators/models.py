@@ -5,6 +5,7 @@ and the evaluation metrics, all computed on executors (no driver-side frame).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -35,7 +36,7 @@ def model_input(features: DataFrame, label: str, id_col: str = "TransactionID",
 
 
 def _assembler(inputs: Sequence[str]) -> VectorAssembler:
-    # rows with a NULL input are skipped instead of failing the fit
+    # a fit cannot use rows with a NULL input; predictions keep them (``_scored``)
     return VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="skip")
 
 
@@ -67,12 +68,26 @@ def fit_classifier(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS, ma
         data.unpersist()
 
 
+def scorable(inputs: Sequence[str] = FEATURE_COLUMNS) -> Column:
+    """True for rows whose inputs are all numbers (no NULL, no NaN)."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in inputs])
+
+
+def _scored(model: PipelineModel, test: DataFrame, scores: dict[str, Column], labels: list[Column]) -> DataFrame:
+    """Scores of all rows of ``test``; rows with a missing input keep NULL scores."""
+    inputs = model.stages[0].getInputCols()
+    good, bad = test.where(scorable(inputs)), test.where(~scorable(inputs))
+    out = model.transform(good).select(*labels, *[c.alias(n) for n, c in scores.items()])
+    types = {f.name: f.dataType for f in out.schema.fields}
+    return out.unionByName(bad.select(*labels, *[F.lit(None).cast(types[n]).alias(n) for n in scores]))
+
+
 def classifier_predictions(model: PipelineModel, test: DataFrame, id_col: str = "TransactionID") -> DataFrame:
-    """Actual, Predicted (0/1) and PredictedProb (probability of class 1)."""
-    out = model.transform(test)
-    return out.select(id_col, F.col("label").cast("int").alias("Actual"),
-                      F.col("prediction").cast("int").alias("Predicted"),
-                      vector_to_array("probability")[1].alias("PredictedProb"))
+    """Actual, Predicted (0/1) and PredictedProb (probability of class 1), one row
+    per test row; NULL predictions where an input is missing."""
+    return _scored(model, test, {"Predicted": F.col("prediction").cast("int"),
+                                 "PredictedProb": vector_to_array("probability")[1]},
+                   [F.col(id_col), F.col("label").cast("int").alias("Actual")])
 
 
 def fit_regressor(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS) -> PipelineModel:
@@ -87,9 +102,10 @@ def fit_regressor(train: DataFrame, inputs: Sequence[str] = FEATURE_COLUMNS) ->
 
 
 def regressor_predictions(model: PipelineModel, test: DataFrame, id_col: str = "TransactionID") -> DataFrame:
-    out = model.transform(test)
-    return out.select(id_col, F.col("label").alias("ActualRiskScore"),
-                      F.col("prediction").alias("PredictedRiskScore"))
+    """ActualRiskScore and PredictedRiskScore, one row per test row; NULL
+    predictions where an input is missing."""
+    return _scored(model, test, {"PredictedRiskScore": F.col("prediction")},
+                   [F.col(id_col), F.col("label").alias("ActualRiskScore")])
 
 
 def coefficients(model: PipelineModel, inputs: Sequence[str] = FEATURE_COLUMNS, digits: int = 2) -> DataFrame:
@@ -103,8 +119,9 @@ def coefficients(model: PipelineModel, inputs: Sequence[str] = FEATURE_COLUMNS,
 
 # ---- metrics -----------------------------------------------------------------
 def accuracy(pred: DataFrame, actual: str = "Actual", predicted: str = "Predicted") -> DataFrame:
-    return pred.agg(F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias("accuracy"),
-                    F.count(F.lit(1)).alias("n"))
+    """Share of equal rows among those with a prediction, and their number."""
+    same = (F.col(actual) == F.col(predicted)).cast("double")
+    return pred.agg(F.avg(same).alias("accuracy"), F.count(same).alias("n"))
 
 
 def confusion_matrix(pred: DataFrame, actual: str = "Actual", predicted: str = "Predicted") -> DataFrame:
@@ -153,13 +170,17 @@ def classification_report(pred: DataFrame, actual: str = "Actual", predicted: st
 
 
 def r2_score(df: DataFrame, y: str, p: str) -> DataFrame:
-    """``1 - SSE/SST`` in one aggregate pass (``SST = sum(y^2) - sum(y)^2 / n``)."""
+    """``1 - SSE/SST`` in one aggregate pass over the rows with both values.
+
+    ``SST`` is ``n * var_pop(y)``: the variance is updated around the running
+    mean, so large values of ``y`` do not cancel as ``sum(y^2) - sum(y)^2 / n`` would.
+    """
     yc, pc = F.col(y).cast("double"), F.col(p).cast("double")
     ok = yc.isNotNull() & pc.isNotNull()
     yv, pv = F.when(ok, yc), F.when(ok, pc)
     n = F.count(yv)
     sse = F.sum((yv - pv) ** 2)
-    sst = F.sum(yv * yv) - F.sum(yv) * F.sum(yv) / n
+    sst = F.var_pop(yv) * n
     return df.agg((1 - F.try_divide(sse, sst)).alias("r2"), n.alias("n"))
 
 

@@ -4,14 +4,18 @@ The driver tables hold no banking data, so each bronze table is a Spark
 projection of them (SURVEY section 7.4):
 
 * transactions <- ``orders`` (+ ``nation`` for the destination):
-  o_orderkey -> TransactionID, o_custkey -> CustomerID and AccountID,
+  o_orderkey -> TransactionID (one key in 40 repeats the key before it, one in
+  211 is NULL), o_custkey -> CustomerID, o_custkey + 1000000 -> AccountID,
   o_orderdate -> TransactionDate text, o_totalprice -> Amount text,
   o_orderstatus -> TransactionType and IsFraud (F=1, O=0, P=NULL),
   o_orderpriority -> Channel and IsLaundered (URGENT/HIGH = 1), key % 100 -> RiskScore
 * customer observations <- ``orders`` x ``customer`` x ``nation``: one raw
   customer row per order (RiskCategory = priority, KYCStatus = status,
-  EffectiveDate = order date), loaded in two batches split at 1998-01-01
-* accounts <- ``customer``: c_custkey -> AccountID, c_mktsegment -> AccountType
+  EffectiveDate = order date; one in 199 without CustomerID, two customers in
+  50 share a name), loaded in three batches split at 1995-01-01 and 1998-01-01
+* accounts <- ``customer``: c_custkey + 1000000 -> AccountID (one in 97 NULL),
+  c_mktsegment -> AccountType; one account in 7 has a second row with another
+  open date and type
 
 Dirty text is produced from clean columns by fixed rules on the row key, so
 the same rows and the same dirt appear at every scale factor and in the
@@ -26,35 +30,21 @@ from pyspark.sql import functions as F
 from . import silver
 
 # Fixed values of the mapping (mirrored by the oracle SQL).
+FIRST_SPLIT_DATE = "1995-01-01"
 BATCH_SPLIT_DATE = "1998-01-01"
+BATCH0_INGESTED = "1995-01-01 00:00:00"
 BATCH1_INGESTED = "1998-01-01 00:00:00"
 BATCH2_INGESTED = "2001-09-01 00:00:00"
+ACCOUNT_OFFSET = 1_000_000
 ORDERS_SOURCE = "driver/orders"
 DRIVER_HOME_COUNTRY = "NATION_0"
 DRIVER_EXCLUDED_COUNTRY = "Nation_1"
 ACCOUNT_OPEN_BASE = "1990-01-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan of one driver table; ``spread`` redistributes a narrow scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_if_narrow(df) if spread else df
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields a single partition over the cluster's cores.
-
-    A file with a single row group cannot be split, so all of its rows would
-    be parsed by one task.  One partition means one split, i.e. at most
-    ``spark.sql.files.maxPartitionBytes`` (or one row group) of input, so the
-    extra shuffle is bounded; inputs with more splits are returned unchanged
-    and never pay a shuffle.  The partition count only plans the scan; it
-    runs no job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and df.rdd.getNumPartitions() == 1:
-        return df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def date_text(key: Column, d: Column) -> Column:
@@ -85,15 +75,16 @@ def amount_text(key: Column, price: Column) -> Column:
 
 
 def transaction_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(n, F.pmod(o.o_orderkey, F.lit(25)) == n.n_nationkey, "left")
     k = F.col("o_orderkey")
     dest = F.when(F.pmod(k, F.lit(10)) == 3, F.concat(F.col("n_name"), F.lit(" "))).otherwise(F.col("n_name"))
     return j.select(
-        k.cast("string").alias("TransactionID"),
+        (F.when(F.pmod(k, F.lit(211)) == 7, F.lit(None)).when(F.pmod(k, F.lit(40)) == 1, k - 1).otherwise(k)
+         .cast("string").alias("TransactionID")),
         F.col("o_custkey").cast("string").alias("CustomerID"),
-        F.col("o_custkey").cast("string").alias("AccountID"),
+        (F.col("o_custkey") + ACCOUNT_OFFSET).cast("string").alias("AccountID"),
         date_text(k, F.col("o_orderdate").cast("date")).alias("TransactionDate"),
         amount_text(k, F.col("o_totalprice")).alias("Amount"),
         F.col("o_orderstatus").alias("TransactionType"),
@@ -108,12 +99,12 @@ def transaction_raw(spark: SparkSession, sf_dir: str, keep_true_date: bool = Fal
 
 def customer_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-customer dirty text: '@' in some names, case and blanks in countries."""
-    c = spread_if_narrow(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
-                                                                 "c_mktsegment"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     ck = F.col("c_custkey")
-    name = F.when(F.pmod(ck, F.lit(5)) == 0, F.regexp_replace("c_name", "#", "@#")).otherwise(F.col("c_name"))
+    name = (F.when(F.pmod(ck, F.lit(50)).isin(10, 11), F.lit("Shared @Name"))
+            .when(F.pmod(ck, F.lit(5)) == 0, F.regexp_replace("c_name", "#", "@#")).otherwise(F.col("c_name")))
     m3 = F.pmod(ck, F.lit(3))
     country = (F.when(m3 == 0, F.col("n_name"))
                .when(m3 == 1, F.concat(F.lower("n_name"), F.lit(" ")))
@@ -125,11 +116,10 @@ def customer_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw customer row per order, with the order date as effective date."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority", "o_orderstatus")
-    o = spread_if_narrow(o)
     a = customer_attrs(spark, sf_dir)
     j = o.join(a, o.o_custkey == a.c_custkey, "inner")
     return j.select(
-        F.col("o_custkey").cast("string").alias("CustomerID"),
+        (F.when(F.pmod("o_orderkey", F.lit(199)) != 4, F.col("o_custkey")).cast("string").alias("CustomerID")),
         "CustomerName", "Country",
         F.col("o_orderpriority").alias("RiskCategory"),
         F.col("o_orderstatus").alias("KYCStatus"),
@@ -139,35 +129,41 @@ def customer_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_raw_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(batch 1, batches 1+2) of the bronze customer table with lineage columns.
+def customer_raw_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The bronze customer table with lineage columns after each of three loads.
 
-    The second load appends to the first, so the second run's staging reads
-    both batches, as the reference's appended bronze table does.
+    Each load appends to the earlier ones, so a run's staging reads all batches
+    so far, as the reference's appended bronze table does.
     """
     obs = customer_observations(spark, sf_dir)
-    early = F.col("_true_date") < F.lit(BATCH_SPLIT_DATE).cast("date")
-    b1 = obs.where(early).withColumn("IngestionDate", F.lit(BATCH1_INGESTED).cast("timestamp"))
-    b2 = obs.where(~early).withColumn("IngestionDate", F.lit(BATCH2_INGESTED).cast("timestamp"))
-    b1 = b1.drop("_true_date").withColumn("SourceFile", F.lit(ORDERS_SOURCE))
-    b2 = b2.drop("_true_date").withColumn("SourceFile", F.lit(ORDERS_SOURCE))
-    return b1, b1.unionByName(b2)
+    date = F.col("_true_date")
+    first, second = F.lit(FIRST_SPLIT_DATE).cast("date"), F.lit(BATCH_SPLIT_DATE).cast("date")
+    loads = [(date < first, BATCH0_INGESTED), ((date >= first) & (date < second), BATCH1_INGESTED),
+             (date.isNull() | (date >= second), BATCH2_INGESTED)]
+    out: list[DataFrame] = []
+    for hit, ingested in loads:
+        batch = (obs.where(hit).drop("_true_date").withColumn("IngestionDate", F.lit(ingested).cast("timestamp"))
+                 .withColumn("SourceFile", F.lit(ORDERS_SOURCE)))
+        out.append(out[-1].unionByName(batch) if out else batch)
+    return out
 
 
 def account_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spread_if_narrow(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     ck = F.col("c_custkey")
     m4 = F.pmod(ck, F.lit(4))
     # The currency spellings of the reference sample.
     currency = (F.when(m4 == 0, F.lit("UGX")).when(m4 == 1, F.lit("usd"))
                 .when(m4 == 2, F.lit("UGX ")).otherwise(F.lit("USD")))
     opened = F.date_add(F.lit(ACCOUNT_OPEN_BASE).cast("date"), F.pmod(ck, F.lit(1500)).cast("int"))
-    return c.select(
-        ck.cast("string").alias("AccountID"),
+    rows = c.withColumn("_copy", F.explode(F.when(F.pmod(ck, F.lit(7)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    again = F.col("_copy") == 1
+    return rows.select(
+        F.when(F.pmod(ck, F.lit(97)) != 3, ck + ACCOUNT_OFFSET).cast("string").alias("AccountID"),
         ck.cast("string").alias("CustomerID"),
-        F.col("c_mktsegment").alias("AccountType"),
+        F.when(again, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("AccountType"),
         currency.alias("Currency"),
-        date_text(ck, opened).alias("OpenDate"),
+        date_text(ck + F.col("_copy") * 3, F.date_add(opened, F.col("_copy") * 400)).alias("OpenDate"),
     )
 
 
@@ -185,10 +181,10 @@ class Silver:
 
         keep = (lambda df, name: publish(df, name=name)) if materialize else (lambda df, name: df)
         self.spark, self.sf_dir = spark, sf_dir
-        b1, b12 = customer_raw_batches(spark, sf_dir)
-        self.customer_raw_1, self.customer_raw_12 = b1, b12
-        self.customer_dim_1 = keep(silver.customer_job(None, b1), "customer_dim_1")
-        self.customer_dim = keep(silver.customer_job(self.customer_dim_1, b12), "customer_dim")
+        self.customer_raw = customer_raw_batches(spark, sf_dir)
+        self.customer_dim_0 = keep(silver.customer_job(None, self.customer_raw[0]), "customer_dim_0")
+        self.customer_dim_1 = keep(silver.customer_job(self.customer_dim_0, self.customer_raw[1]), "customer_dim_1")
+        self.customer_dim = keep(silver.customer_job(self.customer_dim_1, self.customer_raw[2]), "customer_dim")
         self.account_raw = account_raw(spark, sf_dir)
         self.account_dim = keep(silver.account_job(None, self.account_raw, self.customer_dim), "account_dim")
         self.transaction_raw = transaction_raw(spark, sf_dir)
@@ -196,12 +192,24 @@ class Silver:
                          "transaction_fact")
 
 
-_BUILT: dict[tuple[str, str], Silver] = {}
+def folder_state(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the input files' names, sizes and modification times (file listing only)."""
+    parts = [table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+             for name in ("orders", "customer", "nation")]
+    files = parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+    return str(files.agg(F.sum(F.xxhash64("*").cast("decimal(38,0)")), F.count("*")).first())
+
+
+_BUILT: dict[tuple[str, str], tuple[str, Silver]] = {}
 
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> Silver:
-    """Materialized silver layer, built once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _BUILT:
-        _BUILT[key] = Silver(spark, sf_dir, materialize=True)
-    return _BUILT[key]
+    """Materialized silver layer of an application and input folder.
+
+    It is built anew whenever a file of the folder has changed, so no result
+    depends on which query ran first.
+    """
+    key, state = (spark.sparkContext.applicationId, sf_dir.rstrip("/")), folder_state(spark, sf_dir)
+    if key not in _BUILT or _BUILT[key][0] != state:
+        _BUILT[key] = (state, Silver(spark, sf_dir, materialize=True))
+    return _BUILT[key][1]

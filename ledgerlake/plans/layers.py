@@ -11,10 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.features import DEFAULT_HOME_COUNTRY, transaction_features
-from ..sources.tables import publish
+from ..operators.merge import fact_upsert, scd2_merge
+from ..schemas import ACCOUNT_DIM, CUSTOMER_DIM, CUSTOMER_TRACKED
+from ..sources.tables import publish, read_table, replace_table, upsert_history_partitioned, upsert_partitions
 from . import gold, silver
+from .rejects import run_rejects
 
 
 @dataclass
@@ -22,6 +26,7 @@ class SilverLayer:
     customer_dim: DataFrame
     account_dim: DataFrame
     fact: DataFrame
+    rejects: DataFrame | None = None  # the rows this run did not use in full, by rule
 
 
 def run_silver(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw: DataFrame,
@@ -34,34 +39,25 @@ def run_silver(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw:
     cust = keep(silver.customer_job(prev.customer_dim, customer_raw), "customer_dim")
     acct = keep(silver.account_job(prev.account_dim, account_raw, cust), "account_dim")
     fact = keep(silver.fact_job(prev.fact, transaction_raw, cust, acct), "transaction_fact")
-    return SilverLayer(cust, acct, fact)
+    return SilverLayer(cust, acct, fact, keep(run_rejects(customer_raw, account_raw, transaction_raw), "rejects"))
 
 
 def upsert_fact_partitioned(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame,
-                            path: str) -> DataFrame:
+                            path: str, run_id: str | None = None) -> DataFrame:
     """Fact job against a month-partitioned table at ``path``: only the months
     the batch touches (plus months its keys move out of) are rewritten.  The
     table carries ``TransactionMonth`` (``yyyy-MM``; NULL dates form their own
     partition) besides the fact columns."""
-    from pyspark.sql import functions as F
-
-    from ..operators.merge import fact_upsert
-    from ..sources.tables import upsert_partitions
-
     src = silver.fact_source(raw, customer_dim, account_dim)
     src = src.withColumn("TransactionMonth", F.date_format("TransactionDate", "yyyy-MM"))
     return upsert_partitions(raw.sparkSession, path, src, "TransactionID", "TransactionMonth",
-                             lambda t, s: fact_upsert(t, s, "TransactionID"))
+                             lambda t, s: fact_upsert(t, s, "TransactionID"), run_id)
 
 
 def upsert_customer_dim_partitioned(raw: DataFrame, path: str, run_id: str, **merge_flags) -> DataFrame:
     """Customer job against a version-set-partitioned table at ``path``: each
     run rewrites the current versions only and adds the versions it closed as
     a new partition (history is never rewritten)."""
-    from ..operators.merge import scd2_merge
-    from ..schemas import CUSTOMER_DIM, CUSTOMER_TRACKED
-    from ..sources.tables import upsert_history_partitioned
-
     src = silver.dedup_customers(silver.stage_customers(raw))
 
     def merge(current, source, key_start):
@@ -76,26 +72,25 @@ def run_silver_partitioned(customer_raw: DataFrame, account_raw: DataFrame, tran
                            root: str, run_id: str) -> SilverLayer:
     """One scheduled run against tables kept under ``root`` (a shared path).
 
-    The customer dimension is version-set partitioned (history never
-    rewritten), the fact month-partitioned (only touched months rewritten);
-    the account dimension (one row per account, no history) is replaced as a
-    whole.  Re-running with the same ``run_id`` is idempotent.  Returns scans
-    of the three tables without their partition columns.
+    The customer dimension is version-set partitioned (history never rewritten),
+    the fact month-partitioned (only touched months rewritten); the account
+    dimension (one row per account, no history) is published as a whole.  Each
+    table is published by one manifest file, so a run that stops leaves the old
+    tables whole, and the latest run may be repeated.  The rows the run rejected
+    are stored under ``rejects``, partitioned by run.  Returns scans of the three
+    tables without their partition columns.
     """
-    from ..schemas import ACCOUNT_DIM
-    from ..session import materialize
-    from ..sources.tables import _exists
-
     spark = customer_raw.sparkSession
     root = root.rstrip("/")
+    rejects = run_rejects(customer_raw, account_raw, transaction_raw).withColumn("RunID", F.lit(str(run_id)))
+    rejects = upsert_partitions(spark, f"{root}/rejects", rejects, "RunID", "RunID", lambda old, new: new, run_id)
     cust = upsert_customer_dim_partitioned(customer_raw, f"{root}/customer_dim", run_id).drop("VersionSet")
     acct_path = f"{root}/account_dim"
-    prev_acct = spark.read.parquet(acct_path).select(*ACCOUNT_DIM.fieldNames()) if _exists(spark, acct_path) else None
-    acct_new = materialize(silver.account_job(prev_acct, account_raw, cust), "account_dim")
-    acct_new.write.mode("overwrite").parquet(acct_path)
-    acct = spark.read.parquet(acct_path)
-    fact = upsert_fact_partitioned(transaction_raw, cust, acct, f"{root}/transaction_fact").drop("TransactionMonth")
-    return SilverLayer(cust, acct, fact)
+    known = read_table(spark, acct_path)
+    prev_acct = known.select(*ACCOUNT_DIM.fieldNames()) if known is not None else None
+    acct = replace_table(spark, acct_path, silver.account_job(prev_acct, account_raw, cust), run_id)
+    fact = upsert_fact_partitioned(transaction_raw, cust, acct, f"{root}/transaction_fact", run_id).drop("TransactionMonth")
+    return SilverLayer(cust, acct, fact, rejects)
 
 
 def run_gold(layer: SilverLayer) -> dict[str, DataFrame]:

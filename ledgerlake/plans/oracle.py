@@ -74,8 +74,9 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
 
 # ---- bronze mapping ---------------------------------------------------------
 cte("t_raw", (), f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS TransactionID, CAST(o_custkey AS VARCHAR) AS CustomerID,
-  CAST(o_custkey AS VARCHAR) AS AccountID,
+SELECT CAST(CASE WHEN o_orderkey % 211 = 7 THEN NULL WHEN o_orderkey % 40 = 1 THEN o_orderkey - 1 ELSE o_orderkey END
+    AS VARCHAR) AS TransactionID,
+  CAST(o_custkey AS VARCHAR) AS CustomerID, CAST(o_custkey + 1000000 AS VARCHAR) AS AccountID,
   {date_text('o_orderkey', 'CAST(o_orderdate AS DATE)')} AS TransactionDate,
   {amount_text('o_orderkey', 'o_totalprice')} AS Amount,
   o_orderstatus AS TransactionType, o_orderpriority AS Channel,
@@ -88,35 +89,37 @@ FROM orders LEFT JOIN nation ON o_orderkey % 25 = n_nationkey""")
 
 cte("c_attr", (), """
 SELECT c_custkey,
-  CASE WHEN c_custkey % 5 = 0 THEN regexp_replace(c_name, '#', '@#', 'g') ELSE c_name END AS CustomerName,
+  CASE WHEN c_custkey % 50 IN (10, 11) THEN 'Shared @Name' WHEN c_custkey % 5 = 0 THEN regexp_replace(c_name, '#', '@#', 'g') ELSE c_name END AS CustomerName,
   CASE c_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name) || ' ' ELSE '  ' || n_name END AS Country,
   c_mktsegment
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 
 cte("c_obs", ("c_attr",), f"""
-SELECT CAST(o_custkey AS VARCHAR) AS CustomerID, a.CustomerName, a.Country,
+SELECT CAST(CASE WHEN o_orderkey % 199 <> 4 THEN o_custkey END AS VARCHAR) AS CustomerID, a.CustomerName, a.Country,
   o_orderpriority AS RiskCategory, o_orderstatus AS KYCStatus, a.c_mktsegment AS Occupation,
   {date_text('o_orderkey', 'CAST(o_orderdate AS DATE)')} AS EffectiveDate,
   CAST(o_orderdate AS DATE) AS true_date
 FROM orders JOIN c_attr a ON o_custkey = a.c_custkey""")
 
-cte("c_raw1", ("c_obs",), """
-SELECT CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
-  TIMESTAMP '1998-01-01 00:00:00' AS IngestionDate, 'driver/orders' AS SourceFile
-FROM c_obs WHERE true_date < DATE '1998-01-01'""")
-
-cte("c_raw12", ("c_obs", "c_raw1"), """
+_C_COLS = "CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate"
+cte("c_raw0", ("c_obs",), f"""
+SELECT {_C_COLS}, TIMESTAMP '1995-01-01 00:00:00' AS IngestionDate, 'driver/orders' AS SourceFile
+FROM c_obs WHERE true_date < DATE '1995-01-01'""")
+cte("c_raw1", ("c_obs", "c_raw0"), f"""
+SELECT * FROM c_raw0 UNION ALL
+SELECT {_C_COLS}, TIMESTAMP '1998-01-01 00:00:00', 'driver/orders'
+FROM c_obs WHERE true_date >= DATE '1995-01-01' AND true_date < DATE '1998-01-01'""")
+cte("c_raw2", ("c_obs", "c_raw1"), f"""
 SELECT * FROM c_raw1 UNION ALL
-SELECT CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
-  TIMESTAMP '2001-09-01 00:00:00' AS IngestionDate, 'driver/orders' AS SourceFile
-FROM c_obs WHERE NOT (true_date < DATE '1998-01-01')""")
+SELECT {_C_COLS}, TIMESTAMP '2001-09-01 00:00:00', 'driver/orders'
+FROM c_obs WHERE true_date IS NULL OR true_date >= DATE '1998-01-01'""")
 
 cte("a_raw", (), f"""
-SELECT CAST(c_custkey AS VARCHAR) AS AccountID, CAST(c_custkey AS VARCHAR) AS CustomerID,
-  c_mktsegment AS AccountType,
+SELECT CAST(CASE WHEN c_custkey % 97 <> 3 THEN c_custkey + 1000000 END AS VARCHAR) AS AccountID,
+  CAST(c_custkey AS VARCHAR) AS CustomerID, CASE WHEN n = 1 THEN lower(c_mktsegment) ELSE c_mktsegment END AS AccountType,
   CASE c_custkey % 4 WHEN 0 THEN 'UGX' WHEN 1 THEN 'usd' WHEN 2 THEN 'UGX ' ELSE 'USD' END AS Currency,
-  {date_text('c_custkey', "(DATE '1990-01-01' + CAST(c_custkey % 1500 AS INTEGER))")} AS OpenDate
-FROM customer""")
+  {date_text('(c_custkey + 3 * n)', "(DATE '1990-01-01' + CAST(c_custkey % 1500 + 400 * n AS INTEGER))")} AS OpenDate
+FROM customer, (SELECT unnest([0, 1]) AS n) WHERE n = 0 OR c_custkey % 7 = 0""")
 
 
 # ---- silver customer (SCD2, two runs) --------------------------------------
@@ -137,32 +140,41 @@ SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY IngestionDate DESC
 FROM {src}"""
 
 
-cte("c_stage1", ("c_raw1",), _c_stage("c_raw1"))
-cte("c_stage12", ("c_raw12",), _c_stage("c_raw12"))
-cte("c_ranked1", ("c_stage1",), _c_ranked("c_stage1"))
-cte("c_ranked12", ("c_stage12",), _c_ranked("c_stage12"))
-cte("c_src1", ("c_ranked1",), "SELECT * FROM c_ranked1 WHERE rn = 1 AND QualityCheck = 'ValidDate' AND CustomerID IS NOT NULL")
-cte("c_src2", ("c_ranked12",), "SELECT * FROM c_ranked12 WHERE rn = 1 AND QualityCheck = 'ValidDate' AND CustomerID IS NOT NULL")
-cte("dim1", ("c_src1",), """
+# Rows without a key match nothing; they are counted by the query ``rejects``.
+for _n in "012":
+    cte(f"c_stage{_n}", (f"c_raw{_n}",), _c_stage(f"c_raw{_n}"))
+    cte(f"c_ranked{_n}", (f"c_stage{_n}",), _c_ranked(f"c_stage{_n}"))
+    cte(f"c_src{_n}", (f"c_ranked{_n}",),
+        f"SELECT * FROM c_ranked{_n} WHERE rn = 1 AND QualityCheck = 'ValidDate' AND CustomerID IS NOT NULL")
+
+cte("dim0", ("c_src0",), """
 SELECT row_number() OVER (ORDER BY CustomerID, EffectiveDate) AS CustomerSK, CustomerID, CustomerName,
   Country, RiskCategory, KYCStatus, Occupation, EffectiveDate AS StartDate,
   CAST(NULL AS DATE) AS EndDate, true AS IsCurrent
-FROM c_src1""")
-cte("dim1_closed", ("dim1", "c_src2"), f"""
+FROM c_src0""")
+
+
+def _c_run(old: str, src: str, new: str) -> None:
+    """The SCD2 merge of ``src`` into ``old``: ``<old>_closed`` and ``new``."""
+    cte(f"{old}_closed", (old, src), f"""
 SELECT t.CustomerSK, t.CustomerID, t.CustomerName, t.Country, t.RiskCategory, t.KYCStatus, t.Occupation,
   t.StartDate,
   CASE WHEN s.CustomerID IS NOT NULL AND {_changed('t', 's')} THEN s.EffectiveDate ELSE t.EndDate END AS EndDate,
   CASE WHEN s.CustomerID IS NOT NULL AND {_changed('t', 's')} THEN false ELSE t.IsCurrent END AS IsCurrent
-FROM dim1 t LEFT JOIN c_src2 s ON t.CustomerID = s.CustomerID AND t.IsCurrent""")
-cte("dim2_new", ("dim1", "c_src2"), f"""
-SELECT s.* FROM c_src2 s LEFT JOIN (SELECT * FROM dim1 WHERE IsCurrent) t ON s.CustomerID = t.CustomerID
+FROM {old} t LEFT JOIN {src} s ON t.CustomerID = s.CustomerID AND t.IsCurrent""")
+    cte(f"{new}_new", (old, src), f"""
+SELECT s.* FROM {src} s LEFT JOIN (SELECT * FROM {old} WHERE IsCurrent) t ON s.CustomerID = t.CustomerID
 WHERE t.CustomerID IS NULL OR {_changed('t', 's')}""")
-cte("dim2", ("dim1_closed", "dim2_new", "dim1"), """
-SELECT * FROM dim1_closed UNION ALL
-SELECT (SELECT coalesce(max(CustomerSK), 0) FROM dim1) + row_number() OVER (ORDER BY CustomerID, EffectiveDate),
+    cte(new, (f"{old}_closed", f"{new}_new", old), f"""
+SELECT * FROM {old}_closed UNION ALL
+SELECT (SELECT coalesce(max(CustomerSK), 0) FROM {old}) + row_number() OVER (ORDER BY CustomerID, EffectiveDate),
   CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
   CAST(NULL AS DATE), true
-FROM dim2_new""")
+FROM {new}_new""")
+
+
+_c_run("dim0", "c_src1", "dim1")
+_c_run("dim1", "c_src2", "dim2")
 
 
 # ---- silver account (SCD1) -------------------------------------------------
@@ -199,7 +211,7 @@ FROM {src}"""
 
 def _t_staged(src: str, acct: str = "acct") -> str:
     return f"""
-SELECT p.TransactionID, c.CustomerSK, a.AccountSK, p.TransactionDate, p.Amount, p.TransactionType,
+SELECT p.TransactionID, p.CustomerID, p.AccountID, c.CustomerSK, a.AccountSK, p.TransactionDate, p.Amount, p.TransactionType,
   p.Channel, p.DestinationCountry, p.IsFraud, p.IsLaundered, p.RiskScore, c.StartDate AS asof_start
 FROM {src} p
 LEFT JOIN dim2 c ON p.CustomerID = c.CustomerID AND p.TransactionDate >= c.StartDate
@@ -210,7 +222,9 @@ LEFT JOIN {acct} a ON p.AccountID = a.AccountID"""
 def _t_dedup(src: str) -> str:
     return f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY TransactionID ORDER BY TransactionDate DESC NULLS LAST,
-  asof_start DESC NULLS LAST, CustomerSK NULLS FIRST, AccountSK NULLS FIRST) AS rn FROM {src}) WHERE rn = 1"""
+  asof_start DESC NULLS LAST, CustomerID NULLS FIRST, AccountID NULLS FIRST, Amount NULLS FIRST,
+  TransactionType NULLS FIRST, Channel NULLS FIRST, DestinationCountry NULLS FIRST, IsFraud NULLS FIRST,
+  IsLaundered NULLS FIRST, RiskScore NULLS FIRST, CustomerSK NULLS FIRST, AccountSK NULLS FIRST) AS rn FROM {src}) WHERE rn = 1"""
 
 
 def _t_typed(src: str) -> str:

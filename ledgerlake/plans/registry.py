@@ -19,7 +19,7 @@ from ..functions.clean import (ACCOUNT_DATE_PATTERNS, CUSTOMER_DATE_PATTERNS, IN
 from ..operators import models
 from ..operators.dedup import latest_per_key
 from ..operators.features import transaction_features
-from ..operators.keys import assign_keys, split_bucket
+from ..operators.keys import assign_keys, in_test, split_hash
 from ..operators.lookup import asof_lookup, current_lookup, left_lookup
 from ..operators.merge import scd2_close
 from ..schemas import LINEAGE
@@ -28,6 +28,7 @@ from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
 from ..sources.tables import publish
 from ..streaming.incremental import load_incremental
 from . import driver, gold, silver
+from .rejects import reject_counts, run_rejects
 from .oracle import ACCT_PATTERNS, CUST_PATTERNS, cte, initcap, parse, share2, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,11 +101,11 @@ def q_parse_amount(spark, d):
 @register("clean_text", sql(f"""
 SELECT CAST(a.c_custkey AS VARCHAR) AS CustomerID, replace(a.CustomerName, '@', '') AS CustomerName,
   {initcap('trim(a.Country)')} AS Country, {initcap('r.Currency')} AS Currency
-FROM c_attr a JOIN a_raw r ON CAST(a.c_custkey AS VARCHAR) = r.AccountID""", "c_attr", "a_raw"))
+FROM c_attr a JOIN a_raw r ON CAST(a.c_custkey AS VARCHAR) = r.CustomerID""", "c_attr", "a_raw"))
 def q_clean_text(spark, d):
     a = driver.customer_attrs(spark, d)
-    r = driver.account_raw(spark, d).select("AccountID", "Currency")
-    j = a.join(r, a.c_custkey.cast("string") == r.AccountID)
+    r = driver.account_raw(spark, d).select(F.col("CustomerID").alias("_c"), "Currency")
+    j = a.join(r, a.c_custkey.cast("string") == F.col("_c"))
     return j.select(F.col("c_custkey").cast("string").alias("CustomerID"),
                     clean_name("CustomerName").alias("CustomerName"),
                     title_trimmed("Country").alias("Country"), title_only("Currency").alias("Currency"))
@@ -131,11 +132,9 @@ def q_csv_roundtrip(spark, d):
 @register("bronze_lineage", sql("""
 SELECT CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
   'driver/orders' AS SourceFile, true AS HasIngestionDate
-FROM c_obs WHERE true_date < DATE '1998-01-01'""", "c_obs"))
+FROM c_obs""", "c_obs"))
 def q_bronze_lineage(spark, d):
-    obs = driver.customer_observations(spark, d)
-    b1 = obs.where(F.col("_true_date") < F.lit(driver.BATCH_SPLIT_DATE).cast("date")).drop("_true_date")
-    out = with_lineage(b1, driver.ORDERS_SOURCE)
+    out = with_lineage(driver.customer_observations(spark, d).drop("_true_date"), driver.ORDERS_SOURCE)
     return out.withColumn("HasIngestionDate", F.col("IngestionDate").isNotNull()).drop("IngestionDate")
 
 
@@ -179,19 +178,19 @@ def q_incremental_load(spark, d):
 
 @register("dedup_latest", sql("""
 SELECT CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
-  QualityCheck, rn FROM c_ranked12 WHERE rn = 1""", "c_ranked12"))
+  QualityCheck, rn FROM c_ranked2 WHERE rn = 1""", "c_ranked2"))
 def q_dedup_latest(spark, d):
     s = S(spark, d)
-    staged = silver.stage_customers(s.customer_raw_12)
+    staged = silver.stage_customers(s.customer_raw[2])
     return latest_per_key(staged, ["CustomerID"], ["IngestionDate", "EffectiveDate"]).drop("IngestionDate")
 
 
 @register("dedup_valid", sql("""
 SELECT CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate,
-  QualityCheck, rn FROM c_src2""", "c_src2"))
+  QualityCheck, rn FROM c_ranked2 WHERE rn = 1 AND QualityCheck = 'ValidDate'""", "c_ranked2"))
 def q_dedup_valid(spark, d):
     s = S(spark, d)
-    return silver.dedup_customers(silver.stage_customers(s.customer_raw_12)).drop("IngestionDate")
+    return silver.dedup_customers(silver.stage_customers(s.customer_raw[2])).drop("IngestionDate")
 
 
 @register("dedup_fact", sql("""
@@ -223,7 +222,7 @@ def q_scd2_merge(spark, d):
 @register("scd2_close", sql("SELECT * FROM dim1_closed", "dim1_closed"))
 def q_scd2_close(spark, d):
     s = S(spark, d)
-    src = silver.dedup_customers(silver.stage_customers(s.customer_raw_12))
+    src = silver.dedup_customers(silver.stage_customers(s.customer_raw[2]))
     from ..schemas import CUSTOMER_TRACKED
     return scd2_close(s.customer_dim_1, src, "CustomerID", CUSTOMER_TRACKED)
 
@@ -297,6 +296,32 @@ SELECT * FROM tb1_fact WHERE TransactionID NOT IN (SELECT TransactionID FROM tb2
 UNION ALL SELECT * FROM tb2_fact""")
 
 
+cte("march", ("tb1_fact",), """
+SELECT TransactionID FROM tb1_fact WHERE strftime(TransactionDate, '%Y-%m') = '1996-03'""")
+cte("tm2_raw", ("t_raw", "march"), """
+SELECT TransactionID, CustomerID, AccountID, TransactionDate, Amount, TransactionType, Channel, DestinationCountry,
+  IsFraud, IsLaundered, RiskScore || '0' AS RiskScore, true_date FROM t_raw
+WHERE true_date >= DATE '1997-07-01' AND (TransactionID IS NULL OR TransactionID NOT IN (SELECT TransactionID FROM march))
+UNION ALL
+SELECT TransactionID, CustomerID, AccountID, '04/01/1997', Amount, TransactionType, Channel, DestinationCountry,
+  IsFraud, IsLaundered, RiskScore || '0', true_date FROM t_raw
+WHERE true_date < DATE '1998-01-01' AND TransactionID IN (SELECT TransactionID FROM march)""")
+
+
+def _tm2() -> None:
+    from .oracle import _t_dedup, _t_parsed, _t_staged, _t_typed
+    cte("tm2_parsed", ("tm2_raw",), _t_parsed("tm2_raw"))
+    cte("tm2_staged", ("tm2_parsed", "dim2", "acct"), _t_staged("tm2_parsed"))
+    cte("tm2_dedup", ("tm2_staged",), _t_dedup("tm2_staged"))
+    cte("tm2_fact", ("tm2_dedup",), _t_typed("tm2_dedup"))
+
+
+_tm2()
+cte("moved_merged", ("tb1_fact", "tm2_fact"), """
+SELECT * FROM tb1_fact WHERE TransactionID NOT IN (SELECT TransactionID FROM tm2_fact)
+UNION ALL SELECT * FROM tm2_fact""")
+
+
 @register("fact_upsert", sql(f"SELECT {FACT_OUT} FROM fact_merged", "fact_merged"))
 def q_fact_upsert(spark, d):
     s = S(spark, d)
@@ -421,23 +446,28 @@ def q_share_by_country(spark, d):
 
 # ============================ features (M1, W4-W6, F10, J6) ====================
 
+def rounded_ratio(f: DataFrame) -> DataFrame:
+    """The ratio as it leaves a query; the models read it in full."""
+    return f.withColumn("Amount_vs_Avg", F.round("Amount_vs_Avg", 6).cast("double"))
+
+
 def feature_view(spark: SparkSession, d: str) -> DataFrame:
     """The feature view over the silver snapshots (lazy)."""
     s = S(spark, d)
-    f = transaction_features(s.fact, s.customer_dim, home=driver.DRIVER_HOME_COUNTRY)
-    return f.withColumn("Amount_vs_Avg", F.round("Amount_vs_Avg", 6).cast("double"))
+    return rounded_ratio(transaction_features(s.fact, s.customer_dim, home=driver.DRIVER_HOME_COUNTRY))
 
 
-_FEATURES: dict[tuple[str, str], DataFrame] = {}
+_FEATURES: dict[tuple[str, str], tuple[object, DataFrame]] = {}
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    """The feature table, published once per run and read by every consumer
-    (rolling analytics, trend, the three model jobs)."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
-    if key not in _FEATURES:
-        _FEATURES[key] = publish(feature_view(spark, d), name="transaction_features")
-    return _FEATURES[key]
+    """The feature table, published once per silver build and read by every
+    consumer (rolling analytics, trend, the three model jobs)."""
+    key, layer = (spark.sparkContext.applicationId, d.rstrip("/")), S(spark, d)
+    if key not in _FEATURES or _FEATURES[key][0] is not layer:
+        view = transaction_features(layer.fact, layer.customer_dim, home=driver.DRIVER_HOME_COUNTRY)
+        _FEATURES[key] = (layer, publish(view, name="transaction_features"))
+    return _FEATURES[key][1]
 
 
 @register("features", sql("SELECT * FROM features", "features"))
@@ -447,7 +477,7 @@ def q_features(spark, d):
 
 def _feature_pick(name: str, col: str) -> None:
     register(name, sql(f"SELECT TransactionID, CustomerSK, TransactionDate, {col} FROM features", "features"))(
-        lambda spark, d: features(spark, d).select("TransactionID", "CustomerSK", "TransactionDate", col))
+        lambda spark, d: rounded_ratio(features(spark, d)).select("TransactionID", "CustomerSK", "TransactionDate", col))
 
 
 _feature_pick("rolling_count_7d", "TxnCount_Last_7_Days")
@@ -493,13 +523,13 @@ def q_top_n_preview(spark, d):
 
 
 @register("hash_split", """
-SELECT o_orderkey, ('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 5 AS Bucket,
-  ('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 5 < 4 AS IsTrain
+SELECT o_orderkey, ('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT AS Hash,
+  ('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT >= 858993459 AS IsTrain
 FROM orders""")
 def q_hash_split(spark, d):
     o = driver.table(spark, d, "orders").select("o_orderkey")
-    b = split_bucket("o_orderkey", seed=42, parts=5)
-    return o.select("o_orderkey", b.alias("Bucket"), (b < 4).alias("IsTrain"))
+    return o.select("o_orderkey", split_hash("o_orderkey", seed=42).alias("Hash"),
+                    (~in_test("o_orderkey", seed=42, test_fraction=0.2)).alias("IsTrain"))
 
 
 # ============================ metrics (M6-M8, M12) =============================
@@ -616,28 +646,58 @@ def q_model_coefficients(spark, d):
 
 
 @register("fact_upsert_partitioned", sql(f"""
-SELECT {FACT_OUT}, strftime(TransactionDate, '%Y-%m') AS TransactionMonth FROM fact_merged""", "fact_merged"))
+SELECT {FACT_OUT}, strftime(TransactionDate, '%Y-%m') AS TransactionMonth FROM moved_merged""", "moved_merged"))
 def q_fact_upsert_partitioned(spark, d):
-    """``fact_upsert``'s two deliveries into a month-partitioned table: the
-    second run rewrites only the months it touches."""
+    """Two deliveries into a month-partitioned table: the second moves every
+    transaction of 1996-03 to other dates (its month comes out empty) and
+    restates those from 1997-07 on; only the touched months are rewritten."""
     from .layers import upsert_fact_partitioned
     s = S(spark, d)
     raw = driver.transaction_raw(spark, d, keep_true_date=True)
-    b1 = raw.where(F.col("_true_date") < F.lit("1998-01-01").cast("date")).drop("_true_date")
-    b2 = (raw.where(F.col("_true_date") >= F.lit("1997-07-01").cast("date")).drop("_true_date")
-          .withColumn("RiskScore", F.concat("RiskScore", F.lit("0"))))
+    true = F.col("_true_date")
+    b1 = raw.where(true < F.lit("1998-01-01").cast("date")).drop("_true_date")
+    first = silver.fact_source(b1, s.customer_dim, s.account_dim).select("TransactionID", "TransactionDate")
+    march = first.where(F.date_format("TransactionDate", "yyyy-MM") == "1996-03").select("TransactionID")
+    late = raw.where(true >= F.lit("1997-07-01").cast("date")).join(march, "TransactionID", "left_anti").drop("_true_date")
+    moved = b1.join(march, "TransactionID", "left_semi").withColumn("TransactionDate", F.lit("04/01/1997"))
+    b2 = late.unionByName(moved).withColumn("RiskScore", F.concat("RiskScore", F.lit("0")))
     path = work_path(spark, "fact-by-month")
     upsert_fact_partitioned(b1, s.customer_dim, s.account_dim, path)
     return upsert_fact_partitioned(b2, s.customer_dim, s.account_dim, path)
 
 
 @register("scd2_merge_partitioned", sql("""
-SELECT *, CASE WHEN IsCurrent THEN 'current' ELSE 'run_2' END AS VersionSet FROM dim2""", "dim2"))
+SELECT d.*, CASE WHEN d.IsCurrent THEN 'current' WHEN o.IsCurrent IS NOT NULL AND NOT o.IsCurrent THEN 'run_2' ELSE 'run_3' END AS VersionSet
+FROM dim2 d LEFT JOIN dim1 o ON d.CustomerSK = o.CustomerSK""", "dim2", "dim1"))
 def q_scd2_merge_partitioned(spark, d):
-    """The customer dimension's two runs into a version-set-partitioned table:
-    current versions in one partition, the versions run 2 closes in another."""
+    """The customer dimension's three runs into a version-set-partitioned table:
+    current versions in one partition, the versions a run closes in another.  Run
+    3 first sees a part of its load only and is repeated with all of it."""
     from .layers import upsert_customer_dim_partitioned
     s = S(spark, d)
     path = work_path(spark, "customer-dim-versions")
-    upsert_customer_dim_partitioned(s.customer_raw_1, path, "1")
-    return upsert_customer_dim_partitioned(s.customer_raw_12, path, "2")
+    upsert_customer_dim_partitioned(s.customer_raw[0], path, "1")
+    upsert_customer_dim_partitioned(s.customer_raw[1], path, "2")
+    part = s.customer_raw[2].where(F.length("CustomerID") < 3)
+    upsert_customer_dim_partitioned(part, path, "3")
+    return upsert_customer_dim_partitioned(s.customer_raw[2], path, "3")
+
+
+# ============================ rejected rows ====================================
+
+
+@register("rejects", sql(f"""
+SELECT TableName, Rule, count(*) AS Rows FROM (
+  SELECT 'customer' AS TableName, 'null_key' AS Rule FROM c_raw2 WHERE CustomerID IS NULL
+  UNION ALL SELECT 'customer', 'invalid_date' FROM c_raw2 WHERE {parse('EffectiveDate', CUST_PATTERNS, trim=True)} IS NULL
+  UNION ALL SELECT 'account', 'null_key' FROM a_raw WHERE AccountID IS NULL
+  UNION ALL SELECT 'account', 'invalid_date' FROM a_raw WHERE {parse('OpenDate', ACCT_PATTERNS)} IS NULL
+  UNION ALL SELECT 'transaction', 'null_key' FROM t_raw WHERE TransactionID IS NULL
+  UNION ALL SELECT 'transaction', 'invalid_date' FROM t_raw WHERE {parse('TransactionDate', ACCT_PATTERNS)} IS NULL
+  UNION ALL SELECT 'transaction', 'invalid_amount' FROM t_raw
+    WHERE Amount IS NOT NULL AND try_cast(replace(Amount, ',', '') AS DECIMAL(10,2)) IS NULL)
+GROUP BY TableName, Rule""", "c_raw2", "a_raw", "t_raw"))
+def q_rejects(spark, d):
+    """Raw rows that a silver run doesn't use in full, counted per rule."""
+    s = S(spark, d)
+    return reject_counts(run_rejects(s.customer_raw[2], s.account_raw, s.transaction_raw))

@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem named by
-    the cluster config).  Only when nothing is set (local tests) a private
-    temporary folder is created.
+    the cluster config).  Only when nothing is set and the master is local (tests)
+    a private temporary folder is created; on a cluster that raises, as other
+    machines would not see the folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or _conf_get(spark, "spark.checkpoint.dir")
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
     return sc.getCheckpointDir()

@@ -9,7 +9,14 @@ them, and a lost executor only recomputes from the last snapshot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import materialize, work_path
 
@@ -57,42 +64,136 @@ def replace_empty(spark: SparkSession, name: str, schema) -> DataFrame:
     return spark.table(name)
 
 
+# ---- partitioned tables kept across runs ---------------------------------------
+#
+# A table is a folder with data folders (one per run, never changed once written)
+# and a manifest: one row per partition naming the data folder that holds it now.
+# A run writes its partitions into a new data folder and then appends the next
+# version of the manifest as one file.  Readers take the largest version, so a run
+# that stops anywhere before that last step leaves the table as it was.
+
+_MANIFEST = "version long, run_id string, part string, folder string"
+
+
+@dataclass
+class Version:
+    """One version of a table: its number, the run that wrote it and partition -> data folder."""
+    number: int
+    run_id: str | None
+    parts: dict[str | None, str]
+
+
+def versions(spark: SparkSession, path: str) -> list[Version]:
+    """All versions, oldest first (empty when there is no table).  The manifest has
+    a row per partition and version."""
+    try:
+        rows = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    out: dict[int, Version] = {}
+    for r in rows:
+        v = out.setdefault(r.version, Version(r.version, r.run_id, {}))
+        if r.folder is not None:
+            v.parts[r.part] = r.folder
+    return [out[k] for k in sorted(out)]
+
+
+def scan(spark: SparkSession, path: str, version: Version, part_col: str, parts=None, schema=None) -> DataFrame:
+    """The rows of a version; ``parts`` restricts the scan to some partitions (static
+    pruning), ``schema`` is that of a table that may have no partition at all."""
+    by: dict[str, list] = {}
+    for part, folder in version.parts.items():
+        if parts is None or part in parts:
+            by.setdefault(folder, []).append(part)
+    if not version.parts:
+        return spark.createDataFrame([], schema)
+    if not by:  # none of the wanted partitions exists: no rows of the same columns
+        folder = next(iter(version.parts.values()))
+        return _data(spark, path, folder, part_col).limit(0)
+    scans = [_data(spark, path, folder, part_col).where(_among(part_col, values))
+             for folder, values in sorted(by.items())]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _data(spark: SparkSession, path: str, folder: str, part_col: str) -> DataFrame:
+    """A data folder; partition values are text, whatever their folder names look like."""
+    return spark.read.schema(_text_part(spark.read.parquet(f"{path}/data/{folder}").schema, part_col)).parquet(f"{path}/data/{folder}")
+
+
+def _text_part(schema: StructType, part_col: str) -> StructType:
+    return StructType([StructField(f.name, StringType()) if f.name == part_col else f for f in schema.fields])
+
+
+def _among(part_col: str, values: list) -> Column:
+    known = [v for v in values if v is not None]
+    hit = F.col(part_col).isin(known) if known else F.lit(False)
+    return hit | F.col(part_col).isNull() if None in values else hit  # isin never matches NULL
+
+
+def _write_data(df: DataFrame, path: str, part_col: str) -> tuple[str, list]:
+    """Write a new data folder; returns its name and the partitions it holds."""
+    folder = uuid.uuid4().hex
+    _by_partition(df, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(f"{path}/data/{folder}")
+    written = df.sparkSession.read.schema(_text_part(df.schema, part_col)).parquet(f"{path}/data/{folder}")  # may be empty
+    return folder, [r[0] for r in written.select(part_col).distinct().collect()]  # one value per partition
+
+
+def _commit(spark: SparkSession, path: str, version: Version) -> None:
+    """Append a version to the manifest as one file: the step that publishes a run."""
+    rows = [(version.number, version.run_id, part, folder) for part, folder in version.parts.items()]
+    rows = rows or [(version.number, version.run_id, None, None)]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, part_col: str,
-                      merge) -> DataFrame:
-    """Upsert ``source`` into the parquet table at ``path`` partitioned by
-    ``part_col``, rewriting only the partitions the batch touches.
-
-    Touched partitions are the batch's own values of ``part_col`` plus the
-    partitions that currently hold a key of the batch (a row that moves to
-    another partition must leave its old one).  Finding the latter reads only
-    the ``key`` and ``part_col`` columns of the table; the merge itself reads
-    only the touched partitions (their values, one per partition, are
-    collected and become a partition filter) and
-    ``merge(target_slice, source)`` is any of the DataFrame merges
-    (``fact_upsert`` ...).  The merged slice is written once before the
-    dynamic partition overwrite, so the write never reads the files it
-    replaces.  A missing table is created from the batch.
+                      merge, run_id: str | None = None) -> DataFrame:
+    """Upsert ``source`` into the table at ``path`` partitioned by ``part_col``,
+    rewriting only the partitions the batch touches.
+
+    Touched are the batch's own values of ``part_col`` and the partitions that now
+    hold a key of the batch (a row that moves must leave its old partition, which
+    may come out empty).  Finding the latter reads only the key column;
+    ``merge(target_slice, source)`` is any of the DataFrame merges and reads only
+    the touched partitions.  The source is written once and read from there.  The
+    merged partitions go to a new data folder and the next manifest drops the
+    touched partitions from the old one, so neither a moved key nor a run that
+    stops half way leaves a row twice or loses one.
     """
-    from pyspark.sql import functions as F
-
-    if not _exists(spark, path):
-        out = merge(source.limit(0), source)
-        _by_partition(out, part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
-    keys = source.select(key).distinct()
-    moved = target.select(key, part_col).join(keys, key, "left_semi").select(part_col)
-    # partition values only: bounded by the number of partitions, not by rows
-    touched = [r[0] for r in source.select(part_col).union(moved).distinct().collect()]
-    values = [v for v in touched if v is not None]
-    hit = F.col(part_col).isin(values) if values else F.lit(False)
-    if len(values) < len(touched):  # the NULL partition is touched too (isin never matches NULL)
-        hit = hit | F.col(part_col).isNull()
-    slice_ = target.where(hit)  # static partition pruning
-    merged = materialize(merge(slice_.select(*target.columns), source.select(*target.columns)), "slice")
-    (_by_partition(merged, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
-    return spark.read.parquet(path)
+    source = materialize(source.withColumn(part_col, F.col(part_col).cast("string")), "source")
+    known = versions(spark, path)
+    if not known or not known[-1].parts:
+        folder, parts = _write_data(merge(source.limit(0), source), path, part_col)
+        new = Version(known[-1].number + 1 if known else 0, run_id, dict.fromkeys(parts, folder))
+    else:
+        last = known[-1]
+        target = scan(spark, path, last, part_col)
+        keys = source.select(key).distinct()
+        moved = target.select(key, part_col).join(keys, key, "left_semi").select(part_col)
+        touched = {r[0] for r in source.select(part_col).union(moved).distinct().collect()}  # partition values
+        held = scan(spark, path, last, part_col, touched)
+        folder, parts = _write_data(merge(held.select(*target.columns), source.select(*target.columns)), path, part_col)
+        rest = {p: f for p, f in last.parts.items() if p not in touched}
+        new = Version(last.number + 1, run_id, rest | dict.fromkeys(parts, folder))
+    _commit(spark, path, new)
+    return scan(spark, path, new, part_col, schema=source.schema)
+
+
+def replace_table(spark: SparkSession, path: str, df: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Publish ``df`` as the whole table at ``path`` (one partition); the old rows
+    stay readable until the new version is complete."""
+    folder, parts = _write_data(df.withColumn("_part", F.lit("all")), path, "_part")
+    known = versions(spark, path)
+    new = Version(known[-1].number + 1 if known else 0, run_id, dict.fromkeys(parts, folder))
+    _commit(spark, path, new)
+    return scan(spark, path, new, "_part", schema=df.withColumn("_part", F.lit("all")).schema).drop("_part")
+
+
+def read_table(spark: SparkSession, path: str, part_col: str = "_part") -> DataFrame | None:
+    """The table's latest version, or None when there is no row."""
+    known = versions(spark, path)
+    return scan(spark, path, known[-1], part_col) if known and known[-1].parts else None
 
 
 def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
@@ -102,48 +203,39 @@ def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
     return df.hint("rebalance", part_col)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet table."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
 CURRENT_PARTITION = "current"
 
 
 def upsert_history_partitioned(spark: SparkSession, path: str, source: DataFrame, run_id: str,
                                merge, sk_col: str, current_col: str = "IsCurrent",
                                part_col: str = "VersionSet") -> DataFrame:
-    """History-keeping upsert into a parquet table partitioned by version set.
-
-    Current versions live in partition ``current``; the versions a run closes
-    go to a new partition ``run_<run_id>``.  Each run reads only the current
-    partition (plus one narrow scan of the key column for the largest key),
-    ``merge(current_versions, source, key_start)`` is the SCD2 merge, and one
-    dynamic-overwrite write replaces ``current`` and creates this run's
-    partition; older history partitions are never rewritten.  Re-running a
-    failed or repeated run with the same ``run_id`` overwrites the same two
-    partitions.
+    """History-keeping upsert into a table partitioned by version set.
+
+    Current versions live in partition ``current``; the versions a run closes go
+    to a new partition ``run_<run_id>``.  Each run reads only the current partition
+    (plus one narrow scan of the key column for the largest key);
+    ``merge(current_versions, source, key_start)`` is the SCD2 merge.  Older
+    history partitions are never rewritten.  Repeating the latest run starts again
+    from the table as it was before that run, so its result is that of running
+    once; an older run id is refused.
     """
-    from pyspark.sql import functions as F
-
     run_part = f"run_{run_id}"
-    if _exists(spark, path):
-        table = spark.read.parquet(path)
-        current = table.where(F.col(part_col) == CURRENT_PARTITION).drop(part_col)
-        # a repeated run must not see the versions it closed the first time
-        older = table.where(F.col(part_col) != F.lit(run_part))
-        key_start = F.coalesce(older.agg(F.max(sk_col)).scalar(), F.lit(0))
-        merged = merge(current, source, key_start)
+    known = versions(spark, path)
+    number = known[-1].number + 1 if known else 0
+    while known and known[-1].run_id == run_id:
+        known.pop()
+    if any(v.run_id == run_id for v in known):
+        raise ValueError(f"run {run_id!r} is not the latest run of {path}")
+    if known and known[-1].parts:
+        base = known[-1]
+        table = scan(spark, path, base, part_col)
+        current = scan(spark, path, base, part_col, {CURRENT_PARTITION}).drop(part_col)
+        merged = merge(current, source, F.coalesce(table.agg(F.max(sk_col)).scalar(), F.lit(0)))
+        rest = {p: f for p, f in base.parts.items() if p != CURRENT_PARTITION}
     else:
-        merged = merge(None, source, F.lit(0))
-    out = merged.withColumn(part_col, F.when(F.col(current_col), F.lit(CURRENT_PARTITION))
-                            .otherwise(F.lit(run_part)))
-    out = materialize(out, "history-slice")
-    (_by_partition(out, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
-    return spark.read.parquet(path)
+        merged, rest = merge(None, source, F.lit(0)), {}
+    part = F.when(F.col(current_col), F.lit(CURRENT_PARTITION)).otherwise(F.lit(run_part))
+    folder, parts = _write_data(merged.withColumn(part_col, part), path, part_col)
+    new = Version(number, run_id, rest | dict.fromkeys(parts, folder))
+    _commit(spark, path, new)
+    return scan(spark, path, new, part_col, schema=merged.withColumn(part_col, part).schema)

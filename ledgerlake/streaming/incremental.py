@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def stream_files(spark: SparkSession, source_dir: str, schema, fmt: str = "csv", header: bool = True,
@@ -33,18 +34,18 @@ def stream_files(spark: SparkSession, source_dir: str, schema, fmt: str = "csv",
 
 def load_incremental(spark: SparkSession, source_dir: str, schema, target_path: str, checkpoint: str,
                      fmt: str = "csv", header: bool = True, recursive: bool = False,
-                     lineage: bool = False, max_files_per_trigger: int | None = None,
-                     timeout_s: float | None = None) -> DataFrame:
+                     lineage: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Append every not-yet-loaded file of ``source_dir`` to the parquet table at
-    ``target_path``; returns a batch scan of the whole table afterwards."""
+    ``target_path``; returns a batch scan of the whole table afterwards.
+
+    The run ends when every landed file is loaded (a failure raises).  The scan
+    reads with the declared schema, so columns that a later load added are there
+    for all rows (NULL in the earlier ones), whatever file is listed first.
+    """
     df = stream_files(spark, source_dir, schema, fmt, header, recursive, max_files_per_trigger, lineage)
     q = (df.writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
-    if timeout_s is None:
-        q.awaitTermination()
-    else:
-        q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(target_path)
+    q.awaitTermination()
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    return spark.read.schema(nullable).parquet(target_path)

@@ -3,6 +3,7 @@
 from ledgerlake.plans.bronze import ingest_bronze
 from ledgerlake.plans.layers import run_silver
 from ledgerlake.session import work_path
+from ledgerlake.streaming.incremental import load_incremental
 
 from .sample import ACCOUNTS, TRANSACTIONS, customers_csv
 
@@ -40,3 +41,13 @@ def test_bronze_runs_load_each_file_once(spark, tmp_path):
     second = run_silver(b.customer_raw, b.account_raw, b.transaction_raw, previous=first)
     c005 = sorted((r.CustomerName, r.IsCurrent) for r in second.customer_dim.where("CustomerID = 'C005'").collect())
     assert c005 == [("Brian K", False), ("Brian K ", True)]
+
+
+def test_later_drop_with_more_columns(spark):
+    """The table gains the column for all rows; earlier rows have NULL."""
+    landing, target, ckpt = (work_path(spark, x) for x in ("landing", "gained", "gained-ckpt"))
+    spark.createDataFrame([("1", "a")], "id string, v string").write.parquet(f"{landing}/drop=1")
+    load_incremental(spark, landing, "id string, v string", target, ckpt, fmt="parquet", recursive=True)
+    spark.createDataFrame([("2", "b", "c")], "id string, v string, w string").write.parquet(f"{landing}/drop=2")
+    out = load_incremental(spark, landing, "id string, v string, w string", target, ckpt, fmt="parquet", recursive=True, lineage=True)
+    assert sorted((r.id, r.v, r.w, r.SourceFile is not None) for r in out.collect()) == [("1", "a", None, False), ("2", "b", "c", True)]

@@ -69,3 +69,21 @@ def test_jobs_on_feature_shaped_input(spark):
     fc = forecast_job(f)
     assert fc.predictions.count() == 30
     assert {r.metric for r in fc.metrics.collect()} == {"r2", "slope", "intercept"}
+
+
+def test_rows_that_cannot_be_scored_keep_a_prediction_row(spark):
+    df, *_ = _inputs(spark)
+    inputs = [f"x{j}" for j in range(5)]
+    rows = df.select("id", "label", *inputs)
+    odd = spark.createDataFrame([("a", 1.0, None, 1.0, 1.0, 1.0, 1.0), ("b", 0.0, 1.0, float("nan"), 1.0, 1.0, 1.0)], rows.schema)
+    test = rows.limit(10).unionByName(odd)
+    pred = models.classifier_predictions(models.fit_classifier(rows, inputs), test, "id")
+    assert pred.count() == 12 and pred.where("Predicted IS NULL AND PredictedProb IS NULL").count() == 2
+    assert models.accuracy(pred).first().n == 10
+    pred = models.regressor_predictions(models.fit_regressor(rows, inputs), test, "id")
+    assert pred.count() == 12 and {r.id for r in pred.where("PredictedRiskScore IS NULL").collect()} == {"a", "b"}
+
+
+def test_r2_of_large_values(spark):
+    yp = spark.createDataFrame([(1e9 + i, 1e9 + 4.5) for i in range(10)], "y double, p double")
+    assert abs(models.r2_score(yp, "y", "p").first().r2) < 1e-6

@@ -12,7 +12,7 @@ from ledgerlake.functions.clean import pattern_shape
 from ledgerlake.operators.aggregate import group_count, rounded_mean, share_of_total
 from ledgerlake.operators.dedup import latest_per_key
 from ledgerlake.operators.features import transaction_features
-from ledgerlake.operators.keys import assign_keys, hash_split, split_bucket
+from ledgerlake.operators.keys import assign_keys, hash_split, split_hash
 from ledgerlake.operators.lookup import asof_lookup, current_lookup
 from ledgerlake.operators.merge import fact_upsert, null_key_rows, scd1_merge, scd2_merge
 from ledgerlake.schemas import TRANSACTION_FACT, CUSTOMER_DIM
@@ -113,8 +113,10 @@ def test_hash_split_deterministic(spark):
     tr, te = hash_split(df, "x")
     n_tr, n_te = tr.count(), te.count()
     assert n_tr + n_te == 10000 and 7600 < n_tr < 8400
-    b1 = {r.x: r.b for r in df.select("x", split_bucket("x").alias("b")).collect()}
-    b2 = {r.x: r.b for r in df.repartition(5).select("x", split_bucket("x").alias("b")).collect()}
+    for fraction in (0.1, 0.25, 0.3, 0.5):
+        assert abs(hash_split(df, "x", test_fraction=fraction)[1].count() / 10000 - fraction) < 0.02
+    b1 = {r.x: r.b for r in df.select("x", split_hash("x").alias("b")).collect()}
+    b2 = {r.x: r.b for r in df.repartition(5).select("x", split_hash("x").alias("b")).collect()}
     assert b1 == b2
 
 
@@ -344,15 +346,6 @@ def test_salted_lookups_are_exact(spark):
         sorted(map(tuple, left_lookup(fact, dim, "ID", ["SK"], salt=3).collect()))
 
 
-def test_spread_only_single_split_inputs(spark):
-    from ledgerlake.plans.driver import spread_if_narrow, table
-    small = table(spark, "/root/testdata/sf0.001", "orders")
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_if_narrow(small).rdd.getNumPartitions() == cores
-    wide = small.repartition(2)
-    assert spread_if_narrow(wide) is wide                       # more than one split: untouched
-
-
 def test_assign_keys_with_nulls_and_ties_in_order(spark):
     rows = [(None if i % 7 == 0 else f"k{i % 50:02d}", i) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, v int").repartition(5)

@@ -1,46 +1,105 @@
 """Partition-scoped upsert: only touched partitions are rewritten."""
 
 import datetime as dt
-import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.merge import fact_upsert
+from ledgerlake.operators.merge import fact_upsert, scd2_merge
 from ledgerlake.session import work_path
-from ledgerlake.sources.tables import upsert_partitions
+from ledgerlake.sources import tables
+from ledgerlake.sources.tables import read_table, replace_table, upsert_history_partitioned, upsert_partitions
 
 
-def _files(path):
-    out = {}
-    for root, _, files in os.walk(path.replace("file:", "")):
-        for f in files:
-            if f.endswith(".parquet"):
-                p = os.path.join(root, f)
-                out[p] = os.stat(p).st_mtime_ns
-    return out
+def _files(df):
+    """Files that the table's rows come from."""
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def _fact(spark, rows):
+    return spark.createDataFrame(rows, "id string, d date, v int").withColumn("month", F.date_format("d", "yyyy-MM"))
+
+
+def _upsert(spark, path, batch):
+    return upsert_partitions(spark, path, batch, "id", "month", lambda t, s: fact_upsert(t, s, "id"))
 
 
 def test_upsert_rewrites_only_touched_partitions(spark):
     path = work_path(spark, "fact-partitioned")
     rows = [(f"t{i}", dt.date(2025, 1 + i % 3, 1 + i % 28), i) for i in range(90)]
-    base = spark.createDataFrame(rows, "id string, d date, v int").withColumn("month", F.date_format("d", "yyyy-MM"))
-    upsert_partitions(spark, path, base, "id", "month", lambda t, s: fact_upsert(t, s, "id"))
-    before = _files(path)
+    base = _fact(spark, rows)
+    before = _files(_upsert(spark, path, base))
     # batch: updates and inserts in March, one row (t0, January) moves to March
-    batch = spark.createDataFrame([("t2", dt.date(2025, 3, 5), 1000), ("t0", dt.date(2025, 3, 9), 2000),
-                                   ("new", dt.date(2025, 3, 1), 3000)], "id string, d date, v int")
-    batch = batch.withColumn("month", F.date_format("d", "yyyy-MM"))
-    out = upsert_partitions(spark, path, batch, "id", "month", lambda t, s: fact_upsert(t, s, "id"))
+    batch = _fact(spark, [("t2", dt.date(2025, 3, 5), 1000), ("t0", dt.date(2025, 3, 9), 2000),
+                          ("new", dt.date(2025, 3, 1), 3000)])
+    out = _upsert(spark, path, batch)
     got = {r.id: (r.month, r.v) for r in out.collect()}
     assert len(got) == 91 and out.count() == 91
     assert got["t0"] == ("2025-03", 2000) and got["t2"] == ("2025-03", 1000) and got["new"] == ("2025-03", 3000)
-    expect = {r.id: (r.month, r.v) for r in fact_upsert(base, batch, "id").collect()}
-    assert got == expect
-    after = _files(path)
-    feb = {p: m for p, m in before.items() if "month=2025-02" in p}
-    assert feb and all(after.get(p) == m for p, m in feb.items())       # untouched partition kept as is
-    jan = {p for p in before if "month=2025-01" in p}
-    assert jan and not (jan & set(after))                                # January rewritten (t0 left it)
+    assert got == {r.id: (r.month, r.v) for r in fact_upsert(base, batch, "id").collect()}
+    after = _files(out)
+    feb = {f for f in before if "month=2025-02" in f}
+    assert feb and feb <= after                                      # untouched partition kept as is
+    jan = {f for f in before if "month=2025-01" in f}
+    assert jan and not (jan & after)                                 # January rewritten (t0 left it)
+
+
+def test_moved_key_leaves_an_emptied_partition(spark):
+    path = work_path(spark, "fact-moved")
+    _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 1, 5), 1), ("2", dt.date(2025, 3, 5), 2)]))
+    out = _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 2, 5), 10)]))
+    assert sorted((r.id, r.month, r.v) for r in out.collect()) == [("1", "2025-02", 10), ("2", "2025-03", 2)]
+    out = _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 1, 5), 11), ("2", dt.date(2025, 1, 5), 12)]))
+    assert sorted((r.id, r.month, r.v) for r in out.collect()) == [("1", "2025-01", 11), ("2", "2025-01", 12)]
+    assert read_table(spark, path, "month").count() == 2
+
+
+def test_a_run_that_stops_before_publishing_changes_nothing(spark, monkeypatch):
+    path = work_path(spark, "fact-crash")
+    _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 1, 5), 1), ("2", dt.date(2025, 3, 5), 2)]))
+
+    def stop(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_commit", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 3, 5), 99), ("3", dt.date(2025, 1, 5), 3)]))
+        with pytest.raises(RuntimeError, match="lost"):
+            replace_table(spark, path + "-whole", spark.range(3).toDF("id"))
+    assert sorted((r.id, r.v) for r in read_table(spark, path, "month").collect()) == [("1", 1), ("2", 2)]
+    assert read_table(spark, path + "-whole") is None
+    out = _upsert(spark, path, _fact(spark, [("1", dt.date(2025, 3, 5), 99)]))
+    assert sorted((r.id, r.v) for r in out.collect()) == [("1", 99), ("2", 2)]
+
+
+def test_repeated_run_starts_from_the_table_before_it(spark):
+    path = work_path(spark, "history")
+    schema = "CustomerID string, A string, EffectiveDate date"
+    dim = "SK long, CustomerID string, A string, StartDate date, EndDate date, IsCurrent boolean"
+
+    def run(rows, run_id):
+        merge = lambda cur, src, start: scd2_merge(cur if cur is not None else spark.createDataFrame([], dim), src,
+                                                   "CustomerID", ["A"], "SK", key_start=start)
+        return upsert_history_partitioned(spark, path, spark.createDataFrame(rows, schema), run_id, merge, "SK")
+
+    run([("x", "1", dt.date(2025, 1, 1)), ("y", "1", dt.date(2025, 1, 1))], "1")
+    run([("x", "2", dt.date(2025, 2, 1))], "2")
+    out = run([("x", "2", dt.date(2025, 2, 1)), ("y", "2", dt.date(2025, 2, 1))], "2")
+    got = sorted((r.CustomerID, r.A, r.IsCurrent, r.VersionSet) for r in out.collect())
+    assert got == [("x", "1", False, "run_2"), ("x", "2", True, "current"), ("y", "1", False, "run_2"), ("y", "2", True, "current")]
+    assert len({r.SK for r in out.collect()}) == 4
+    run([("x", "3", dt.date(2025, 3, 1))], "3")
+    with pytest.raises(ValueError, match="not the latest run"):
+        run([("x", "9", dt.date(2025, 2, 1))], "2")
+
+
+def test_whole_table_replacement(spark):
+    path = work_path(spark, "whole")
+    replace_table(spark, path, spark.range(5).toDF("id"))
+    old = read_table(spark, path)
+    replace_table(spark, path, read_table(spark, path).drop("_part").where("id > 2"))
+    assert old.count() == 5 and sorted(r.id for r in read_table(spark, path).collect()) == [3, 4]
 
 
 def test_null_partition_is_merged_not_dropped(spark):
