@@ -17,7 +17,3 @@ def half_up_share(part: Column, total: Column, decimal: bool = False, digits: in
         return F.round(F.try_divide(num, total.cast("decimal(20,0)")), digits).cast("double")
     return F.round(F.try_divide(part * 100, total), digits)
 
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``CASE WHEN den = 0 THEN NULL ELSE num / den END``."""
-    return F.when(den == 0, F.lit(None)).otherwise(num / den)

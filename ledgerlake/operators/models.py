@@ -169,6 +169,30 @@ def classification_report(pred: DataFrame, actual: str = "Actual", predicted: st
                        F.col("support").cast("long").alias("support"))
 
 
+def gradients(model: PipelineModel, rows: DataFrame, digits: int = 4, c: float = 1.0) -> DataFrame:
+    """(input, gradient) of the fitted objective at its optimum, per input and for the intercept.
+
+    For the linear model the mean of residual times input, for the logistic model
+    that plus the penalty's ``w / (c n)``, each divided by the input's root mean
+    square: 0 for a right fit.
+    """
+    inputs = model.stages[0].getInputCols()
+    fitted = model.stages[-1]
+    logistic = hasattr(fitted, "interceptVector")
+    used = rows.where(scorable(inputs) & F.col("label").isNotNull())
+    out = model.transform(used)
+    guess = vector_to_array("probability")[1] if logistic else F.col("prediction")
+    n = F.count(F.lit(1))
+    parts = []
+    for name, w in [*zip(inputs, fitted.coefficients.toArray()), ("Intercept", 0.0)]:
+        x = F.lit(1.0) if name == "Intercept" else F.col(name)
+        penalty = F.lit(float(w) / c) / n if logistic else F.lit(0.0)
+        size = F.greatest(F.sqrt(F.avg(x * x)), F.lit(1e-12))
+        parts.append(F.struct(F.lit(name).alias("input"),
+                              (F.round((F.avg(x * (guess - F.col("label"))) + penalty) / size, digits) + 0.0).alias("gradient")))
+    return out.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+
+
 def r2_score(df: DataFrame, y: str, p: str) -> DataFrame:
     """``1 - SSE/SST`` in one aggregate pass over the rows with both values.
 

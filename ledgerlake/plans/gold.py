@@ -94,6 +94,7 @@ def country_laundering_rate(fact: DataFrame, customer_dim: DataFrame) -> DataFra
     return _share(g, ["Country"], "LaunderingRate")
 
 
+# The names under which the views are read (their spelling is the contract).
 GOLD_VIEWS = {
     "account_type_launderingrate": ("fa", account_type_laundering_rate),
     "Uganda_Fraud": ("fc", country_fraud_share),

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import models
+from ..session import materialize as write_once
 from ..sources.tables import append_table, overwrite_table
 
 
@@ -22,6 +24,9 @@ class ModelRun:
     predictions: DataFrame
     metrics: DataFrame
     coefficients: DataFrame | None = None
+    confusion: DataFrame | None = None
+    report: DataFrame | None = None
+    model: PipelineModel | None = None
 
 
 def _metrics(job: str, pairs: list[tuple[str, DataFrame, str]]) -> DataFrame:
@@ -38,10 +43,10 @@ def fraud_job(features: DataFrame, seed: int = 42) -> ModelRun:
     inp = models.model_input(features, "IsFraud")
     train, test = models.split_for_models(inp, seed=seed)
     model = models.fit_classifier(train)
-    pred = models.classifier_predictions(model, test)
+    pred = write_once(models.classifier_predictions(model, test), "fraud-predictions")
     acc = models.accuracy(pred)
-    return ModelRun(pred, _metrics("fraud_classifier", [("accuracy", acc, "accuracy")]),
-                    models.coefficients(model))
+    return ModelRun(pred, _metrics("fraud_classifier", [("accuracy", acc, "accuracy")]), models.coefficients(model),
+                    models.confusion_matrix(pred), models.classification_report(pred), model)
 
 
 def risk_job(features: DataFrame, seed: int = 42) -> ModelRun:
@@ -49,9 +54,9 @@ def risk_job(features: DataFrame, seed: int = 42) -> ModelRun:
     inp = models.model_input(features, "RiskScore")
     train, test = models.split_for_models(inp, seed=seed)
     model = models.fit_regressor(train)
-    pred = models.regressor_predictions(model, test)
+    pred = write_once(models.regressor_predictions(model, test), "risk-predictions")
     r2 = models.r2_score(pred, "ActualRiskScore", "PredictedRiskScore")
-    return ModelRun(pred, _metrics("risk_regressor", [("r2", r2, "r2")]), models.coefficients(model))
+    return ModelRun(pred, _metrics("risk_regressor", [("r2", r2, "r2")]), models.coefficients(model), model=model)
 
 
 def forecast_job(features: DataFrame) -> ModelRun:
@@ -63,7 +68,10 @@ def forecast_job(features: DataFrame) -> ModelRun:
                                                       ("intercept", fit, "intercept")]))
 
 
-def publish_run(run: ModelRun, predictions_table: str, metrics_table: str) -> None:
-    """Overwrite the prediction table, append the run's metrics."""
+def publish_run(run: ModelRun, predictions_table: str, metrics_table: str, model_path: str | None = None) -> None:
+    """Overwrite the prediction table, append the run's metrics and, with
+    ``model_path``, save the fitted pipeline there (MLlib's own format)."""
     overwrite_table(run.predictions, predictions_table)
     append_table(run.metrics, metrics_table)
+    if model_path and run.model is not None:
+        run.model.write().overwrite().save(model_path)

@@ -22,12 +22,13 @@ from ..operators.features import transaction_features
 from ..operators.keys import assign_keys, in_test, split_hash
 from ..operators.lookup import asof_lookup, current_lookup, left_lookup
 from ..operators.merge import scd2_close
-from ..schemas import LINEAGE
+from ..schemas import FEATURE_COLUMNS, LINEAGE
 from ..session import work_path
 from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
 from ..sources.tables import publish
 from ..streaming.incremental import load_incremental
 from . import driver, gold, silver
+from .bronze import BRONZE_TABLES
 from .rejects import reject_counts, run_rejects
 from .oracle import ACCT_PATTERNS, CUST_PATTERNS, cte, initcap, parse, share2, sql
 
@@ -642,6 +643,77 @@ def q_model_coefficients(spark, d):
     return out
 
 
+SPLIT_TEST = "('0x' || substr(md5('42:' || TransactionID), 1, 8))::BIGINT < 858993459"
+SCORABLE = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
+
+
+@register("fraud_test_rows", sql(f"""
+SELECT TransactionID, CAST(IsFraud AS BIGINT) AS Actual, {SCORABLE} AS HasPrediction FROM features
+WHERE IsFraud IS NOT NULL AND {SPLIT_TEST}""", "features"))
+def q_fraud_test_rows(spark, d):
+    """The classifier's prediction table: every labelled test row, scored where its inputs are complete."""
+    inp = models.model_input(features(spark, d), "IsFraud")
+    train, test = models.split_for_models(inp)
+    pred = models.classifier_predictions(models.fit_classifier(train), test)
+    return pred.select("TransactionID", "Actual", (F.col("Predicted").isNotNull() & F.col("PredictedProb").isNotNull()).alias("HasPrediction"))
+
+
+@register("risk_test_rows", sql(f"""
+SELECT TransactionID, CAST(RiskScore AS DOUBLE) AS ActualRiskScore, {SCORABLE} AS HasPrediction FROM features
+WHERE RiskScore IS NOT NULL AND {SPLIT_TEST}""", "features"))
+def q_risk_test_rows(spark, d):
+    """The regressor's prediction table, like ``fraud_test_rows``."""
+    inp = models.model_input(features(spark, d), "RiskScore")
+    train, test = models.split_for_models(inp)
+    pred = models.regressor_predictions(models.fit_regressor(train), test)
+    return pred.select("TransactionID", "ActualRiskScore", F.col("PredictedRiskScore").isNotNull().alias("HasPrediction"))
+
+
+@register("fit_gradients", f"""
+SELECT m AS model, i AS input, 0.0::DOUBLE AS gradient FROM (SELECT unnest(['IsFraud', 'RiskScore']) AS m),
+  (SELECT unnest({[*FEATURE_COLUMNS, 'Intercept']}) AS i)""")
+def q_fit_gradients(spark, d):
+    """Both fits are optimal: the gradient of their objective is 0 for each input."""
+    out = None
+    for label, fit in (("IsFraud", models.fit_classifier), ("RiskScore", models.fit_regressor)):
+        train, _ = models.split_for_models(models.model_input(features(spark, d), label))
+        g = models.gradients(fit(train), train).withColumn("model", F.lit(label))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+# ============================ bronze loads (B1) =================================
+
+_BRONZE = {"customers": ("customer_raw", "c_raw2", "customer"), "accounts": ("account_raw", "a_raw", "account"),
+           "transactions": ("transaction_raw", "t_raw", "transaction")}
+
+
+def _bronze(name: str) -> None:
+    table, block, kind = _BRONZE[name]
+    schema, lineage = BRONZE_TABLES[table]
+    columns = ", ".join(schema.fieldNames())
+    extra = ", true AS HasLineage" if lineage else ""
+
+    def load(spark, d):
+        """Two file drops, two runs: each file is loaded once, with lineage for customers."""
+        raw = {"customer": lambda: driver.customer_raw_batches(spark, d)[2], "account": lambda: driver.account_raw(spark, d),
+               "transaction": lambda: driver.transaction_raw(spark, d)}[kind]().select(*schema.fieldNames())
+        landing, root = work_path(spark, f"landing-{name}"), work_path(spark, f"bronze-{name}")
+        late = F.pmod(F.xxhash64(*schema.fieldNames()), F.lit(2)) == 1
+        out = None
+        for drop, hit in (("1", ~late), ("2", late)):
+            (raw.where(hit).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/drop={drop}"))
+            out = load_incremental(spark, landing, schema, f"{root}/table", f"{root}/checkpoint", recursive=True, lineage=lineage)
+        flag = [(F.col("IngestionDate").isNotNull() & F.col("SourceFile").contains("drop=")).alias("HasLineage")] if lineage else []
+        return out.select(*schema.fieldNames(), *flag)
+
+    register(f"bronze_{name}", sql(f"SELECT {columns}{extra} FROM {block}", block))(load)
+
+
+for _name in _BRONZE:
+    _bronze(_name)
+
 # ============================ at-scale storage variants ========================
 
 

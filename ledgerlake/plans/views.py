@@ -6,9 +6,13 @@ ignored), and no view carries an ORDER BY: readers sort in their own query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .layers import SilverLayer, run_features, run_gold
+from ..sources.tables import overwrite_table
+from .bronze import ingest_bronze
+from .layers import SilverLayer, run_features, run_gold, run_silver_partitioned
+from .model_jobs import ModelRun, forecast_job, fraud_job, publish_run, risk_job
 
 
 def register_views(layer: SilverLayer, prefix: str = "", home: str | None = None) -> dict[str, DataFrame]:
@@ -21,3 +25,48 @@ def register_views(layer: SilverLayer, prefix: str = "", home: str | None = None
     for name, df in views.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
     return views
+
+
+# The names under which the model jobs' tables are read.
+PREDICTION_TABLES = {"fraud": "fraud_predictions", "risk": "risk_score_predictions", "forecast": "fraud_forecast"}
+METRICS_TABLE = "model_metrics"
+
+
+def publish_layer(layer: SilverLayer, database: str, home: str | None = None) -> list[str]:
+    """Store the silver tables, the seven gold views and ``Transaction_Features`` as
+    tables of ``database``, so that the next scheduled job reads them by name."""
+    spark = layer.fact.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    tables: dict[str, DataFrame] = {"customer_dim": layer.customer_dim, "account_dim": layer.account_dim,
+                                    "transaction_fact": layer.fact}
+    if layer.rejects is not None:
+        tables["rejects"] = layer.rejects
+    tables.update(run_gold(layer))
+    tables["Transaction_Features"] = run_features(layer, **({"home": home} if home else {}))
+    names = []
+    for name, df in tables.items():
+        overwrite_table(df, f"{database}.{name}")
+        names.append(f"{database}.{name}")
+    return names
+
+
+def sorted_view(df: DataFrame) -> DataFrame:
+    """A gold view in the order its readers want: the largest measure first (NULL
+    last), equal ones by the group columns."""
+    measure = df.columns[-1]
+    return df.orderBy(F.col(measure).desc_nulls_last(), *df.columns[:-1])
+
+
+def run_all(spark: SparkSession, landing: dict[str, str], root: str, database: str, run_id: str,
+            home: str | None = None) -> dict[str, ModelRun]:
+    """One scheduled run from the landing folders to the models: bronze loads,
+    partitioned silver tables, gold views and features by name, three model jobs
+    whose predictions are replaced and whose metrics are appended."""
+    bronze = ingest_bronze(spark, landing, f"{root}/bronze")
+    layer = run_silver_partitioned(bronze.customer_raw, bronze.account_raw, bronze.transaction_raw, f"{root}/silver", run_id)
+    publish_layer(layer, database, home)
+    features = spark.table(f"{database}.Transaction_Features")
+    runs = {"fraud": fraud_job(features), "risk": risk_job(features), "forecast": forecast_job(features)}
+    for key, run in runs.items():
+        publish_run(run, f"{database}.{PREDICTION_TABLES[key]}", f"{database}.{METRICS_TABLE}", f"{root}/models/{key}")
+    return runs

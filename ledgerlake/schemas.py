@@ -1,4 +1,7 @@
-"""Table schemas of the three layers."""
+"""Table schemas of the three layers.
+
+Fixed values: column names and types are the tables' contract.
+"""
 
 from __future__ import annotations
 

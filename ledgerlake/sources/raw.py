@@ -35,11 +35,6 @@ def add_columns(df: DataFrame, fields: T.StructType) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Append rows whose schema gained columns (missing ones become NULL)."""
-    return old.unionByName(new, allowMissingColumns=True)
-
-
 def backfill_nulls(df: DataFrame, values: dict[str, Column | object],
                    guard: str | None = None) -> DataFrame:
     """``UPDATE t SET c = v WHERE guard IS NULL`` as a projection.

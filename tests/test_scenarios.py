@@ -246,10 +246,9 @@ def test_partitioned_fact_equals_snapshot(layers, spark, tmp_path_factory):
 
 
 def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
-    import os
-
     from ledgerlake.plans.layers import upsert_customer_dim_partitioned
     from ledgerlake.session import work_path
+    from ledgerlake.sources.tables import versions
     base = tmp_path_factory.mktemp("pdim")
     b1 = _customers(spark, base, "cust_a", ["c1", "c3", "c4", "c5", "c6", "c8"], "2025-04-01 10:00:00")
     b2 = _customers(spark, base, "cust_b", ["c2", "c7"], "2025-04-02 10:00:00")
@@ -263,8 +262,7 @@ def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
     assert len(rows) == 6 and rows == first
     assert ("C005", "Brian K", D(2025, 2, 2), D(2025, 3, 5), False, 4) in rows
     assert ("C005", "Brian K ", D(2025, 3, 5), None, True, 6) in rows
-    parts = sorted(p for p in os.listdir(path.replace("file:", "")) if p.startswith("VersionSet="))
-    assert parts == ["VersionSet=current", "VersionSet=run_2"]
+    assert sorted(versions(spark, path)[-1].parts) == ["current", "run_2"]
 
 
 def test_salted_fact_job_equals_plain(layers, spark, tmp_path_factory):
@@ -292,3 +290,32 @@ def test_partitioned_runs_equal_snapshot_runs(layers, spark, tmp_path_factory):
         want_df, got_df = getattr(ab, name), getattr(got, name)
         want = sorted(tuple(r) for r in want_df.collect())
         assert sorted(tuple(r) for r in got_df.select(*want_df.columns).collect()) == want, name
+
+
+def test_full_run_publishes_tables_by_name(spark, tmp_path_factory):
+    """Landing folders to models in one run; the next job reads everything by name."""
+    from ledgerlake.plans.views import run_all, sorted_view
+    base = tmp_path_factory.mktemp("full-run")
+    for name, text in (("customers", customers_csv("c1", "c3", "c4", "c5", "c6", "c8")), ("accounts", ACCOUNTS), ("transactions", TRANSACTIONS)):
+        (base / name).mkdir()
+        (base / name / "part-0.csv").write_text(text)
+    landing = {"customer_raw": str(base / "customers"), "account_raw": str(base / "accounts"), "transaction_raw": str(base / "transactions")}
+    runs = run_all(spark, landing, str(base / "lake"), "full_run", "1")
+    other = spark.newSession()
+    views = run_gold(run_silver(*(spark.read.schema(s).parquet(str(base / "lake" / "bronze" / t)) for t, s in (
+        ("customer_raw", CUSTOMER_RAW.add("IngestionDate", "timestamp").add("SourceFile", "string")),
+        ("account_raw", ACCOUNT_RAW), ("transaction_raw", TRANSACTION_RAW)))))
+    for name, view in views.items():
+        assert sorted(map(tuple, other.table(f"full_run.{name}").collect()), key=repr) == sorted(map(tuple, view.collect()), key=repr)
+    assert other.table("full_run.Transaction_Features").count() > 0
+    assert other.table("full_run.fraud_predictions").count() == runs["fraud"].predictions.count()
+    assert {r.job for r in other.table("full_run.model_metrics").collect()} == {"fraud_classifier", "risk_regressor", "fraud_forecast"}
+    assert runs["fraud"].confusion is not None and runs["fraud"].report.count() == 5
+    rates = [r[-1] for r in sorted_view(other.table("full_run.Country_LaunderingRate")).collect()]
+    assert rates == sorted(rates, reverse=True)
+    rejects = other.table("full_run.rejects").groupBy("TableName", "Rule").count().collect()
+    assert rejects and {r.TableName for r in rejects} <= {"customer", "account", "transaction"}
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(str(base / "lake" / "models" / "risk")).stages[-1].numFeatures == 5
+    run_all(spark, landing, str(base / "lake"), "full_run", "2")  # nothing new: same tables, metrics appended
+    assert spark.table("full_run.model_metrics").count() == 10
