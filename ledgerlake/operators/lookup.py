@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _salt(fact: DataFrame, dim: DataFrame, salt: int) -> tuple[DataFrame, DataFrame, Column | None]:
+def salted(fact: DataFrame, dim: DataFrame, salt: int) -> tuple[DataFrame, DataFrame, Column | None]:
     if salt <= 1:
         return fact, dim, None
     f = fact.withColumn("_fs", F.pmod(F.xxhash64(*fact.columns), F.lit(salt)))
@@ -33,7 +33,7 @@ def current_lookup(df: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
     sort-merge).
     """
     d = dim.where(F.col(current_col)).select(F.col(key).alias("_lk"), *cols)
-    f, d, extra = _salt(df, d, salt)
+    f, d, extra = salted(df, d, salt)
     cond = f[key] == d["_lk"]
     return f.join(d, cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")
 
@@ -53,7 +53,7 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, date_col: str,
     dk = dim_key or key
     d = dim.select(F.col(dk).alias("_ak"), F.col(start_col).alias("_as"),
                    F.col(end_col).alias("_ae"), *cols)
-    f, d, extra = _salt(fact, d, salt)
+    f, d, extra = salted(fact, d, salt)
     dt = f[date_col]
     cond = ((f[key] == d["_ak"]) & (dt >= d["_as"]) & ((dt <= d["_ae"]) | d["_ae"].isNull()))
     if extra is not None:
@@ -66,6 +66,6 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
     """``fact LEFT JOIN dim ON fact.key = dim.key`` bringing ``cols``."""
     dk = dim_key or key
     d = dim.select(F.col(dk).alias("_lk"), *cols)
-    f, d, extra = _salt(fact, d, salt)
+    f, d, extra = salted(fact, d, salt)
     cond = f[key] == d["_lk"]
     return f.join(d, cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")
