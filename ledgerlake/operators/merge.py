@@ -2,12 +2,10 @@
 
 Row-level MERGE does not exist for plain parquet tables, so a merge here is a
 DataFrame plan that the caller publishes as a new snapshot
-(:func:`ledgerlake.sources.tables.publish`).  Each merge is one full outer
-equi join on the business key (both inputs shuffled once on that key, at most
-one row per key on each side, so nothing fans out and no key is hot); the
-joined rows are materialized once when surrogate keys must be issued.
-``scd2_close`` and ``scd2_new_versions`` are the two halves of the SCD2 merge
-as separate operators (the reference's MERGE and INSERT statements).
+(:func:`ledgerlake.sources.tables.publish`).  Every join is an equi join on the
+business key with at most one row per key on each side, so nothing fans out and
+no key is hot.  ``scd2_close`` and ``scd2_new_versions`` are the two halves of
+the SCD2 merge (the reference's MERGE and INSERT statements).
 """
 
 from __future__ import annotations
@@ -31,11 +29,11 @@ def _without_null_keys(source: DataFrame, key: str, quarantine: bool) -> DataFra
     return source.where(F.col(key).isNotNull()) if quarantine else source
 
 
-def _freeze(df: DataFrame, freeze: bool) -> DataFrame:
-    """Materialize the joined rows once (written to the shared work folder):
-    both halves of a merge read the same rows, and neither the target nor the
-    source plan runs twice."""
-    return materialize(df, "merge") if freeze else df
+def _once(source: DataFrame, freeze: bool) -> DataFrame:
+    """Write the batch once to the shared work folder: both halves of a merge read
+    the same rows and the source plan doesn't run twice.  The target, which may be
+    far larger, is never copied."""
+    return materialize(source, "merge-source") if freeze else source
 
 
 def fact_upsert(target: DataFrame, source: DataFrame, key: str,
@@ -60,27 +58,21 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, sk_col: str,
     """Overwrite-in-place dimension: matched rows keep their surrogate key and
     take the source values; new keys get ``max(sk)+1 ...`` in key order.
 
-    Plan: one full outer join of target and source on the key, materialized
-    once; rows with a key pass through, rows without get keys from
-    :func:`assign_keys` (offsets from per-partition counts).
+    Plan: the batch is written once; the target meets it in a left join, the
+    batch meets the target's keys in an anti join, and only the new rows are
+    written again by :func:`assign_keys`.
     """
-    src = _without_null_keys(source, key, quarantine_null_keys)
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = src.select(key, *update_cols).withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    from_s = F.col("s._in_s").isNotNull()
-    cols = []
-    for c in target.columns:
-        if c == key:
-            cols.append(F.when(from_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        elif c in update_cols:
-            cols.append(F.when(from_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        else:
-            cols.append(F.col(f"t.{c}").alias(c))
-    merged = _freeze(j.select(*cols, F.col("t._in_t").isNull().alias("_new")), freeze)
-    kept = merged.where(~F.col("_new")).drop("_new")
-    fresh = assign_keys(merged.where(F.col("_new")).drop("_new", sk_col), [key], sk_col,
-                        start=max_key(target, sk_col), num_partitions=num_partitions)
+    src = _once(_without_null_keys(source, key, quarantine_null_keys).select(key, *update_cols), freeze)
+    t = target.alias("t")
+    s = src.withColumn("_in_s", F.lit(True)).alias("s")
+    hit = F.col("s._in_s").isNotNull()
+    kept = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(*[
+        F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in update_cols else F.col(f"t.{c}").alias(c)
+        for c in target.columns])
+    new = src.join(target.select(F.col(key).alias("_known")), F.col(key) == F.col("_known"), "left_anti")
+    new = new.select(*[F.col(c) if c in src.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                       for c in target.columns if c != sk_col])
+    fresh = assign_keys(new, [key], sk_col, start=max_key(target, sk_col), num_partitions=num_partitions)
     return kept.unionByName(fresh.select(*target.columns))
 
 
@@ -101,11 +93,11 @@ def scd2_close(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     Returns the whole target; changed current versions are closed with the
     source's effective date as their end date.
     """
-    t = target.alias("t")
-    s = source.select(key, *tracked, effective_col).alias("s")
-    cond = (F.col(f"t.{key}") == F.col(f"s.{key}")) & F.col(f"t.{current_col}")
-    joined = t.join(s, cond, "left")
-    changed = F.col(f"s.{key}").isNotNull() & _changed(tracked, null_safe)
+    is_cur = F.coalesce(F.col(current_col), F.lit(False))
+    t = target.where(is_cur).alias("t")
+    s = source.select(key, *tracked, effective_col).withColumn("_in_s", F.lit(True)).alias("s")
+    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
+    changed = F.col("s._in_s").isNotNull() & _changed(tracked, null_safe)
     if require_newer:
         changed = changed & F.coalesce(F.col(f"s.{effective_col}") > F.col(f"t.{start_col}"), F.lit(False))
     out = []
@@ -116,7 +108,7 @@ def scd2_close(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
             out.append(F.when(changed, F.lit(False)).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
-    return joined.select(*out)
+    return target.where(~is_cur).unionByName(joined.select(*out))  # closed history passes through
 
 
 def scd2_new_versions(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str],
@@ -152,38 +144,18 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     overrides the largest existing key (when ``target`` holds only part of
     the table, e.g. its current versions).
 
-    Plan: closed history passes through untouched; current versions and the
-    source meet in one full outer equi join on the key (at most one row per
-    key on each side), materialized once and read twice: once for the
-    (possibly closed) current versions, once for the new versions, which get
-    surrogate keys from :func:`assign_keys`.
+    Plan: the batch is written once; :func:`scd2_close` joins it to the current
+    versions (closed history passes through untouched) and
+    :func:`scd2_new_versions` joins the current versions' keys and tracked columns
+    to it; both joins are equi joins with at most one row per key on each side.
+    Only the opened versions are written again, by :func:`assign_keys`.
     """
-    src = _without_null_keys(source, key, quarantine_null_keys)
-    is_cur = F.coalesce(F.col(current_col), F.lit(False))
-    hist = target.where(~is_cur)
-    t = target.where(is_cur).withColumn("_in_t", F.lit(True)).alias("t")
-    s = src.select(key, *tracked, effective_col).withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    # presence markers, not key nullness: a NULL-key source row is still a row
-    has_t, has_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
-    changed = has_t & has_s & _changed(tracked, null_safe)
-    if require_newer:
-        changed = changed & F.coalesce(F.col(f"s.{effective_col}") > F.col(f"t.{start_col}"), F.lit(False))
-    cols = [F.col(f"t.{c}").alias(c) for c in target.columns]
-    cols += [F.col(f"s.{key}").alias("_s_key"), F.col(f"s.{effective_col}").alias("_s_eff")]
-    cols += [F.col(f"s.{c}").alias(f"_s_{c}") for c in tracked]
-    flags = [has_t.alias("_has_t"), changed.alias("_chg"), (has_s & (~has_t | changed)).alias("_open")]
-    m = _freeze(j.select(*cols, *flags), freeze)
-    chg = F.col("_chg")
-    current = m.where(F.col("_has_t")).select(*[
-        (F.when(chg, F.col("_s_eff")).otherwise(F.col(c)).alias(c) if c == end_col else
-         F.when(chg, F.lit(False)).otherwise(F.col(c)).alias(c) if c == current_col else F.col(c))
-        for c in target.columns])
-    opened = m.where(F.col("_open")).select(
-        F.col("_s_key").alias(key), *[F.col(f"_s_{c}").alias(c) for c in tracked],
-        F.col("_s_eff").alias(start_col), F.lit(None).cast("date").alias(end_col),
-        F.lit(True).alias(current_col))
+    src = _once(_without_null_keys(source, key, quarantine_null_keys).select(key, *tracked, effective_col), freeze)
+    flags = dict(effective_col=effective_col, start_col=start_col, current_col=current_col, null_safe=null_safe,
+                 require_newer=require_newer)
+    closed = scd2_close(target, src, key, tracked, end_col=end_col, **flags)
+    opened = scd2_new_versions(target, src, key, tracked, **flags).select(
+        "*", F.lit(None).cast(target.schema[end_col].dataType).alias(end_col), F.lit(True).alias(current_col))
     start = key_start if key_start is not None else max_key(target, sk_col)
-    opened = assign_keys(opened, [key, start_col], sk_col, start=start,
-                         num_partitions=num_partitions)
-    return hist.unionByName(current).unionByName(opened.select(*target.columns))
+    opened = assign_keys(opened, [key, start_col], sk_col, start=start, num_partitions=num_partitions)
+    return closed.unionByName(opened.select(*target.columns))
