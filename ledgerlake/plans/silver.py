@@ -123,14 +123,18 @@ def typed_fact(deduped: DataFrame) -> DataFrame:
     return out.select(*FACT_COLUMNS)
 
 
+#: Tasks over which the jobs deal the facts of one customer or account in the lookups.
+FACT_SALT = 4
+
+
 def fact_source(raw: DataFrame, customer_dim: DataFrame, account_dim: DataFrame,
-                salt: int = 1) -> DataFrame:
+                salt: int = FACT_SALT) -> DataFrame:
     """The merge source: parsed, looked up, one row per transaction, typed."""
     return typed_fact(dedup_transactions(stage_transactions(raw, customer_dim, account_dim, salt)))
 
 
 def fact_job(target: DataFrame | None, raw: DataFrame, customer_dim: DataFrame,
-             account_dim: DataFrame, salt: int = 1) -> DataFrame:
+             account_dim: DataFrame, salt: int = FACT_SALT) -> DataFrame:
     spark = raw.sparkSession
     tgt = target if target is not None else empty(spark, TRANSACTION_FACT)
     return fact_upsert(tgt, fact_source(raw, customer_dim, account_dim, salt), "TransactionID")
