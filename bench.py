@@ -4,9 +4,10 @@ Prints one JSON line:
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 ``silver_build`` is the materialization of the silver layer (customer SCD2 in
-two runs, account SCD1, fact upsert with as-of lookup); the other queries read
-the published silver tables, as the reference's gold views read silver
-tables.  Each query is forced with a ``noop`` write (full evaluation, no
+three runs, account SCD1, fact upsert with as-of lookup) and ``features_build``
+that of the feature table; gold views, trend and models read those published
+tables, as the reference's jobs read theirs, and every job query (merges,
+lookups, features) runs its own work.  Each query is forced with a ``noop`` write (full evaluation, no
 driver collect).  A warm-up pass runs the same plans on the smallest sibling
 folder first, so the timed pass measures steady-state throughput rather
 than JVM start-up and code generation.
@@ -30,7 +31,7 @@ def main() -> None:
     from ledgerlake.session import get_session
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, extra={"spark.driver.memory": "16g"})
 
-    from ledgerlake.plans import driver
+    from ledgerlake.plans import driver, registry
     from ledgerlake.plans.registry import QUERIES
 
     # Warm-up outside the timed section: the same plans on the smallest sibling
@@ -51,6 +52,9 @@ def main() -> None:
     t0 = time.time()
     driver.silver_tables(spark, sf_dir)
     times["silver_build"] = round(time.time() - t0, 3)
+    t0 = time.time()
+    registry.features(spark, sf_dir)
+    times["features_build"] = round(time.time() - t0, 3)
 
     for name, fn in QUERIES.items():
         if only and name not in only:

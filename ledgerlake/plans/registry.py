@@ -114,7 +114,9 @@ def q_clean_text(spark, d):
 
 @register("typed_fact", sql(f"SELECT {FACT_OUT} FROM fact", "fact"))
 def q_typed_fact(spark, d):
-    return S(spark, d).fact
+    """The fact job itself, over the published dimensions."""
+    s = S(spark, d)
+    return silver.fact_job(None, s.transaction_raw, s.customer_dim, s.account_dim)
 
 
 # ============================ sources (S1-S10) =================================
@@ -217,7 +219,9 @@ def q_surrogate_keys(spark, d):
 
 @register("scd2_merge", sql("SELECT * FROM dim2", "dim2"))
 def q_scd2_merge(spark, d):
-    return S(spark, d).customer_dim
+    """The third customer run itself, over the published second one."""
+    s = S(spark, d)
+    return silver.customer_job(s.customer_dim_1, s.customer_raw[2])
 
 
 @register("scd2_close", sql("SELECT * FROM dim1_closed", "dim1_closed"))
@@ -478,7 +482,7 @@ def q_features(spark, d):
 
 def _feature_pick(name: str, col: str) -> None:
     register(name, sql(f"SELECT TransactionID, CustomerSK, TransactionDate, {col} FROM features", "features"))(
-        lambda spark, d: rounded_ratio(features(spark, d)).select("TransactionID", "CustomerSK", "TransactionDate", col))
+        lambda spark, d: feature_view(spark, d).select("TransactionID", "CustomerSK", "TransactionDate", col))
 
 
 _feature_pick("rolling_count_7d", "TxnCount_Last_7_Days")
