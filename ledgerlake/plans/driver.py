@@ -12,7 +12,7 @@ projection of them (SURVEY section 7.4):
 * customer observations <- ``orders`` x ``customer`` x ``nation``: one raw
   customer row per order (RiskCategory = priority, KYCStatus = status,
   EffectiveDate = order date; one in 199 without CustomerID, two customers in
-  50 share a name), loaded in three batches split at 1995-01-01 and 1998-01-01
+  50 share a name), loaded in three batches split at 1996-06-01 and 1998-01-01
 * accounts <- ``customer``: c_custkey + 1000000 -> AccountID (one in 97 NULL),
   c_mktsegment -> AccountType; one account in 7 has a second row with another
   open date and type
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from . import silver
 
 # Fixed values of the mapping (mirrored by the oracle SQL).
-FIRST_SPLIT_DATE = "1995-01-01"
+FIRST_SPLIT_DATE = "1996-06-01"
 BATCH_SPLIT_DATE = "1998-01-01"
-BATCH0_INGESTED = "1995-01-01 00:00:00"
+BATCH0_INGESTED = "1996-06-01 00:00:00"
 BATCH1_INGESTED = "1998-01-01 00:00:00"
 BATCH2_INGESTED = "2001-09-01 00:00:00"
 ACCOUNT_OFFSET = 1_000_000

@@ -103,12 +103,12 @@ FROM orders JOIN c_attr a ON o_custkey = a.c_custkey""")
 
 _C_COLS = "CustomerID, CustomerName, Country, RiskCategory, KYCStatus, Occupation, EffectiveDate"
 cte("c_raw0", ("c_obs",), f"""
-SELECT {_C_COLS}, TIMESTAMP '1995-01-01 00:00:00' AS IngestionDate, 'driver/orders' AS SourceFile
-FROM c_obs WHERE true_date < DATE '1995-01-01'""")
+SELECT {_C_COLS}, TIMESTAMP '1996-06-01 00:00:00' AS IngestionDate, 'driver/orders' AS SourceFile
+FROM c_obs WHERE true_date < DATE '1996-06-01'""")
 cte("c_raw1", ("c_obs", "c_raw0"), f"""
 SELECT * FROM c_raw0 UNION ALL
 SELECT {_C_COLS}, TIMESTAMP '1998-01-01 00:00:00', 'driver/orders'
-FROM c_obs WHERE true_date >= DATE '1995-01-01' AND true_date < DATE '1998-01-01'""")
+FROM c_obs WHERE true_date >= DATE '1996-06-01' AND true_date < DATE '1998-01-01'""")
 cte("c_raw2", ("c_obs", "c_raw1"), f"""
 SELECT * FROM c_raw1 UNION ALL
 SELECT {_C_COLS}, TIMESTAMP '2001-09-01 00:00:00', 'driver/orders'
