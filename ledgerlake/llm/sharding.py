@@ -28,10 +28,14 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return order
 
 
-def shuffle_records(df: DataFrame, seed: int = 7, bucket_bytes: int = 8 << 20, text_col: str = "text") -> tuple[DataFrame, list[str]]:
+#: Rows of the table of bucket sizes up to which it is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def shuffle_records(df: DataFrame, seed: int = 7, bucket_bytes: int = 8 << 20, text_col: str = "text") -> tuple[DataFrame, list[str], int]:
     """All rows and columns of ``df`` plus (bucket, slot in the bucket), written once to the shared folder.
 
-    Returns the written table and the names of the two added columns.
+    Returns the written table, the names of the two added columns and the number of buckets.
     """
     bucket, turn, place = fresh(df, "bucket", "turn", "place")
     rows = df.withColumn(place, F.monotonically_increasing_id())
@@ -49,7 +53,7 @@ def shuffle_records(df: DataFrame, seed: int = 7, bucket_bytes: int = 8 << 20, t
     schema = StructType([*df.schema.fields, StructField(bucket, LongType()), StructField(place, LongType())])
     path = shared_path(df.sparkSession, "buckets")
     rows.groupBy(bucket).applyInArrow(permute, schema).write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path), [bucket, place]
+    return df.sparkSession.read.schema(schema).parquet(path), [bucket, place], buckets
 
 
 def shard(df: DataFrame, shards: int = 8, seed: int = 7, bucket_bytes: int = 8 << 20, text_col: str = "text") -> DataFrame:
@@ -65,12 +69,14 @@ def shard(df: DataFrame, shards: int = 8, seed: int = 7, bucket_bytes: int = 8 <
     bucket.  An empty table gives an empty result.
     """
     df = df.drop(*[c for c in df.columns if c.lower() in ("shard", "slot")])
-    written, (bucket, place) = shuffle_records(df, seed, bucket_bytes, text_col)
+    written, (bucket, place), buckets = shuffle_records(df, seed, bucket_bytes, text_col)
     sizes = written.groupBy(bucket).agg(F.count("*").alias("rows"))
     total = sizes.agg(F.sum("rows")).first()[0] or 0
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
     (first,) = fresh(written, "first")
     starts = sizes.select(bucket, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(first))
+    if buckets <= BROADCAST_ROWS:  # else Spark joins by shuffle
+        starts = F.broadcast(starts)
     at = F.col(place) + F.col(first)
     k = F.expr(f"((`{place}` + `{first}`) * {shards}L) div {max(total, 1)}L")
     start = F.expr(f"({total}L * `shard` + {shards - 1}L) div {shards}L")  # first place of the shard, rounded up
