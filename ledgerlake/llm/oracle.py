@@ -35,6 +35,32 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+OP9 = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+cost AS (
+  SELECT *, ceil(length(role || text) / 4.0)::BIGINT + 4 AS tokens,
+    length(regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+      + length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) + 20 AS chars FROM said),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS pos, sum(tokens) OVER w - tokens AS before, sum((tokens > 384)::INT) OVER w AS large FROM cost
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+span AS (
+  SELECT conv_id, min(pos) AS first, min(before) AS at FROM placed
+  GROUP BY conv_id, large, CASE WHEN tokens > 384 THEN -1 ELSE before // 384 END),
+opening AS (SELECT conv_id, tokens AS kept FROM placed WHERE pos = 0 AND role = 'system'),
+again AS (
+  SELECT p.conv_id, p.pos, count(*) AS times FROM placed p JOIN span s ON p.conv_id = s.conv_id AND s.first > p.pos
+  LEFT JOIN opening o ON o.conv_id = p.conv_id
+  WHERE (p.pos = 0 AND p.role = 'system') OR s.at - p.before <= 256 - coalesce(o.kept, 0) GROUP BY ALL)
+SELECT p.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars * (1 + coalesce(times, 0)))::BIGINT AS formatted_chars
+FROM placed p LEFT JOIN again USING (conv_id, pos) GROUP BY p.conv_id
+"""
+
 OP10 = """
 WITH line AS (
   SELECT doc_id, pos, l, length(l) >= 20 AS long_line,
@@ -54,4 +80,4 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_removed,
 FROM edge GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op7_top_k": OP7, "op10_line_dedup": OP10}
+ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op7_top_k": OP7, "op9_chat_formatting": OP9, "op10_line_dedup": OP10}
