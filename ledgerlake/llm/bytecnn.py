@@ -18,7 +18,7 @@ from .common import fresh, quoted, texts
 
 WIDTH, STRIDE, EMBED, FILTERS, HIDDEN = 16, 4, 8, 32, 16
 #: Bytes of one slab of chunks while scoring.
-SLAB = 1 << 19
+SLAB = 1 << 17
 
 Weights = dict[str, np.ndarray]
 
