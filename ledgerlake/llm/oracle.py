@@ -80,4 +80,71 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_removed,
 FROM edge GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op7_top_k": OP7, "op9_chat_formatting": OP9, "op10_line_dedup": OP10}
+
+def url_filter(depth: int = 8, branches: int = 16) -> str:
+    """The template tree with its levels written out."""
+    steps = [r"""
+label AS (SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+page AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(url, '://[^/?#]*/[^?#]*?([0-9]{1,18})(?:\.html)?/?(?:[?#]|$)', 1) AS number FROM page),
+cutup AS (SELECT *, CASE WHEN path = '' THEN [] ELSE string_split(substr(path, 2), '/') END AS raw FROM part),
+shaped AS (
+  SELECT c.page_id, host, path, l.good,
+    list_concat(list_transform(raw[:DEPTH], lambda s: CASE WHEN length(s) > 64 THEN '*' ELSE regexp_replace(s, '[0-9]+', '#', 'g') END),
+                CASE WHEN len(raw) > DEPTH THEN ['**'] ELSE [] END) AS shape
+  FROM cutup c LEFT JOIN label l ON l.doc_id = TRY_CAST(number AS BIGINT)),
+shapes AS MATERIALIZED (
+  SELECT host, shape, coalesce(sum((good = 1)::INT), 0)::DOUBLE AS good, count(good)::DOUBLE AS labelled FROM shaped GROUP BY 1, 2),
+prior AS (SELECT (coalesce(sum(good), 0) + 10.0 * 0.5) / (coalesce(sum(labelled), 0) + 10.0) AS p FROM shapes),
+hosts AS (SELECT host, (sum(good) + 10.0 * any_value(p)) / (sum(labelled) + 10.0) AS purity FROM shapes, prior GROUP BY 1),
+t0 AS MATERIALIZED (SELECT s.*, purity, '' AS template FROM shapes s JOIN hosts USING (host))""".replace("DEPTH", str(depth))]
+    for k in range(depth + 1):
+        steps.append(f"""
+here{k} AS MATERIALIZED (SELECT *, shape[{k + 1}] AS segment FROM t{k}),
+kid{k} AS MATERIALIZED (
+  SELECT host, template, segment, sum(good) AS good, sum(labelled) AS labelled, any_value(purity) AS parent
+  FROM here{k} WHERE segment IS NOT NULL GROUP BY 1, 2, 3),
+wide{k} AS MATERIALIZED (
+  SELECT host, template, (sum(good) + 10.0 * any_value(parent)) / (sum(labelled) + 10.0) AS wild FROM kid{k} GROUP BY 1, 2
+  HAVING count(*) > {branches}),
+near{k} AS (
+  SELECT *, CASE WHEN labelled > 0 THEN good / labelled END AS share FROM kid{k} ANTI JOIN wide{k} USING (host, template)),
+step{k} AS (
+  SELECT *, lag(good) OVER w AS good0, lag(labelled) OVER w AS labelled0 FROM near{k}
+  WINDOW w AS (PARTITION BY host, template ORDER BY share NULLS LAST, segment)),
+test{k} AS (
+  SELECT *, coalesce(CASE WHEN labelled > 0 AND labelled0 > 0 THEN
+      (good / labelled - good0 / labelled0) * (good / labelled - good0 / labelled0) > 1.96 * 1.96 * ((good + good0) / (labelled + labelled0))
+        * (1 - (good + good0) / (labelled + labelled0)) * (1 / labelled + 1 / labelled0) END, false)::INT AS cut FROM step{k}),
+branch{k} AS (
+  SELECT *, sum(cut) OVER (PARTITION BY host, template ORDER BY share NULLS LAST, segment ROWS UNBOUNDED PRECEDING) AS branch FROM test{k}),
+merged{k} AS MATERIALIZED (
+  SELECT host, template, string_agg(segment, '|' ORDER BY segment) AS label, list(segment) AS segments,
+    (sum(good) + 10.0 * any_value(parent)) / (sum(labelled) + 10.0) AS own FROM branch{k} GROUP BY host, template, branch),
+own{k} AS (SELECT host, template, unnest(segments) AS segment, label, own FROM merged{k}),
+t{k + 1} AS MATERIALIZED (
+  SELECT h.host, h.shape, h.good, h.labelled,
+    CASE WHEN h.segment IS NULL THEN h.purity ELSE coalesce(wild, own) END AS purity,
+    CASE WHEN h.segment IS NULL THEN h.template ELSE h.template || '/' || CASE WHEN wild IS NULL THEN label ELSE '*' END END AS template
+  FROM here{k} h LEFT JOIN wide{k} w ON w.host = h.host AND w.template = h.template
+  LEFT JOIN own{k} o ON o.host = h.host AND o.template = h.template AND o.segment = h.segment)""")
+    return "WITH" + ",".join(steps) + f""",
+ruled AS (
+  SELECT page_id, host, path, shape, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM shaped)
+SELECT page_id, r.host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN purity < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled r LEFT JOIN t{depth + 1} t ON t.host = r.host AND t.shape = r.shape
+"""
+
+
+ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op7_top_k": OP7, "op9_chat_formatting": OP9, "op10_line_dedup": OP10,
+                          "op11_url_filter": url_filter()}

@@ -11,11 +11,11 @@ from . import oracle
 from .common import read
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file that the contracts name."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file that the contracts name."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +96,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
 
 
+#: Rules of the url contract: verdict, host and beginning of the path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document whose number its url holds; that document's quality label is the page's."""
+    from .urlfilter import judge_urls
+
+    marked = (read(spark, sf_dir, "labels").where("doc_id is not null and quality is not null")
+              .groupBy(F.col("doc_id").alias("shown")).agg(F.min("quality").alias("good")))
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(F.coalesce("url", F.lit("")), r"://[^/?#]*/[^?#]*?([0-9]{1,18})(?:\.html)?/?(?:[?#]|$)", 1)
+    labelled = pages.withColumn("shown", F.when(number != "", number.cast("long"))).join(marked, "shown", "left")
+    return judge_urls(labelled, URL_RULES, "good").select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact deviation is cast to long, which raises where it doesn't fit (ANSI mode)."""
+    from .whitening import whiten
+
+    return whiten(read(spark, sf_dir, "embeddings"), 8).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align
+
+    return align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_suffix_array_dedup, op3_decontamination, op4_sharding, op5_packing,
-                            op6_token_counts, op7_top_k, op8_simhash, op9_chat_formatting, op10_line_dedup)}
+                            op6_token_counts, op7_top_k, op8_simhash, op9_chat_formatting, op10_line_dedup,
+                            op11_url_filter, op12_embedding_whitening, op13_cross_tokenizer_alignment)}
 
 ORACLE: dict[str, str] = oracle.ORACLE
