@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import ACCOUNT_RAW, CUSTOMER_RAW, TRANSACTION_RAW
-from ..streaming.incremental import load_incremental
+from ..streaming.incremental import load_incremental, quarantined
 
 
 @dataclass
@@ -20,6 +23,7 @@ class BronzeLayer:
     customer_raw: DataFrame
     account_raw: DataFrame
     transaction_raw: DataFrame
+    quarantine: DataFrame | None = None  # (TableName, RawFile, RawLine) of the malformed lines
 
 
 # table name -> (schema, lineage columns)
@@ -36,12 +40,15 @@ def ingest_bronze(spark: SparkSession, landing: dict[str, str], bronze_root: str
 
     ``landing`` maps table name to its landing folder; tables and their stream
     checkpoints live under ``bronze_root`` (a shared filesystem path).  Files
-    loaded by an earlier run are skipped.
+    loaded by an earlier run are skipped.  Lines with too few or too many fields or an
+    unclosed quote are kept apart from the tables, in ``quarantine``.
     """
-    out = {}
+    out, held = {}, []
     for name, (schema, lineage) in BRONZE_TABLES.items():
+        path = f"{bronze_root.rstrip('/')}/{name}"
         out[name] = load_incremental(
-            spark, landing[name], schema, f"{bronze_root.rstrip('/')}/{name}",
+            spark, landing[name], schema, path,
             f"{bronze_root.rstrip('/')}/_checkpoints/{name}", lineage=lineage,
-            max_files_per_trigger=max_files_per_trigger)
-    return BronzeLayer(out["customer_raw"], out["account_raw"], out["transaction_raw"])
+            max_files_per_trigger=max_files_per_trigger, quarantine=True)
+        held.append(quarantined(spark, path).select(F.lit(name.removesuffix("_raw")).alias("TableName"), "RawFile", "RawLine"))
+    return BronzeLayer(out["customer_raw"], out["account_raw"], out["transaction_raw"], reduce(DataFrame.unionByName, held))

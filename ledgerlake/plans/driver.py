@@ -183,8 +183,8 @@ class Silver:
         self.spark, self.sf_dir = spark, sf_dir
         self.customer_raw = customer_raw_batches(spark, sf_dir)
         self.customer_dim_0 = keep(silver.customer_job(None, self.customer_raw[0]), "customer_dim_0")
-        self.customer_dim_1 = keep(silver.customer_job(self.customer_dim_0, self.customer_raw[1]), "customer_dim_1")
-        self.customer_dim = keep(silver.customer_job(self.customer_dim_1, self.customer_raw[2]), "customer_dim")
+        self.customer_dim_1 = keep(silver.customer_job(self.customer_dim_0, self.customer_raw[1], since=BATCH0_INGESTED), "customer_dim_1")
+        self.customer_dim = keep(silver.customer_job(self.customer_dim_1, self.customer_raw[2], since=BATCH1_INGESTED), "customer_dim")
         self.account_raw = account_raw(spark, sf_dir)
         self.account_dim = keep(silver.account_job(None, self.account_raw, self.customer_dim), "account_dim")
         self.transaction_raw = transaction_raw(spark, sf_dir)
@@ -192,15 +192,14 @@ class Silver:
                          "transaction_fact")
 
 
-def folder_state(spark: SparkSession, sf_dir: str) -> str:
-    """A digest of the input files' names, sizes and modification times (file listing only)."""
-    parts = [table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-             for name in ("orders", "customer", "nation")]
-    files = parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
-    return str(files.agg(F.sum(F.xxhash64("*").cast("decimal(38,0)")), F.count("*")).first())
+def folder_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Paths, sizes and modification times of the input files (a listing: no file is opened)."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "customer", "nation")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return tuple(sorted(map(tuple, files.collect())))
 
 
-_BUILT: dict[tuple[str, str], tuple[str, Silver]] = {}
+_BUILT: dict[tuple[str, str], tuple[tuple, Silver]] = {}
 
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> Silver:

@@ -28,9 +28,17 @@ def _pre(fact: DataFrame, key: str, value: str, *fact_keys) -> DataFrame:
     return fact.groupBy(key, *fact_keys).agg(F.count(value).alias("_w"))
 
 
+# Each view comes in two steps: the fact reduced to (dimension key, group) counts, and ``..._of``
+# those counts.  The second step also takes counts that were added up from stored partials
+# (``plans.incremental``).
+
+
 def account_type_laundering_rate(fact: DataFrame, account_dim: DataFrame) -> DataFrame:
     """Share of laundering-flagged (non-NULL) rows by account type."""
-    pre = _pre(fact, "AccountSK", "IsLaundered")
+    return account_type_rate_of(_pre(fact, "AccountSK", "IsLaundered"), account_dim)
+
+
+def account_type_rate_of(pre: DataFrame, account_dim: DataFrame) -> DataFrame:
     j = pre.join(account_dim.select("AccountSK", "AccountType"), "AccountSK")
     g = j.groupBy("AccountType").agg(F.sum("_w").alias("_n"))
     return _share(g, ["AccountType"], "LaunderingRate")
@@ -39,7 +47,11 @@ def account_type_laundering_rate(fact: DataFrame, account_dim: DataFrame) -> Dat
 def country_fraud_share(fact: DataFrame, customer_dim: DataFrame,
                         excluded: str = DEFAULT_EXCLUDED_COUNTRY) -> DataFrame:
     """Share by Country x IsFraud with one country left out (decimal ``*100.0`` form)."""
-    pre = _pre(fact, "CustomerSK", "IsFraud", "IsFraud")
+    return country_fraud_share_of(_pre(fact, "CustomerSK", "IsFraud", "IsFraud"), customer_dim, excluded)
+
+
+def country_fraud_share_of(pre: DataFrame, customer_dim: DataFrame,
+                           excluded: str = DEFAULT_EXCLUDED_COUNTRY) -> DataFrame:
     dim = customer_dim.where(F.col("Country") != F.lit(excluded)).select("CustomerSK", "Country")
     g = pre.join(dim, "CustomerSK").groupBy("Country", "IsFraud").agg(F.sum("_w").alias("_n"))
     return _share(g, ["Country", "IsFraud"], "RiskCategoryRate", decimal=True)
@@ -47,7 +59,10 @@ def country_fraud_share(fact: DataFrame, customer_dim: DataFrame,
 
 def laundering_by_channel(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
     """Share by Channel x KYCStatus."""
-    pre = _pre(fact, "CustomerSK", "IsLaundered", "Channel")
+    return channel_rate_of(_pre(fact, "CustomerSK", "IsLaundered", "Channel"), customer_dim)
+
+
+def channel_rate_of(pre: DataFrame, customer_dim: DataFrame) -> DataFrame:
     g = (pre.join(customer_dim.select("CustomerSK", "KYCStatus"), "CustomerSK")
          .groupBy("Channel", "KYCStatus").agg(F.sum("_w").alias("_n")))
     return _share(g, ["Channel", "KYCStatus"], "LaunderingRate")
@@ -55,7 +70,10 @@ def laundering_by_channel(fact: DataFrame, customer_dim: DataFrame) -> DataFrame
 
 def country_fraud_volume(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
     """COUNT(IsFraud) by Country x IsFraud."""
-    pre = _pre(fact, "CustomerSK", "IsFraud", "IsFraud")
+    return country_fraud_volume_of(_pre(fact, "CustomerSK", "IsFraud", "IsFraud"), customer_dim)
+
+
+def country_fraud_volume_of(pre: DataFrame, customer_dim: DataFrame) -> DataFrame:
     return (pre.join(customer_dim.select("CustomerSK", "Country"), "CustomerSK")
             .groupBy("Country", "IsFraud").agg(F.sum("_w").alias("FraudCount")))
 
@@ -69,6 +87,10 @@ def riskscore_by_weekday(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
     dow = F.date_format("TransactionDate", "E")
     pre = (fact.groupBy("CustomerSK", dow.alias("DayOfWeek"))
            .agg(F.sum("RiskScore").alias("_s"), F.count("RiskScore").alias("_c")))
+    return riskscore_by_weekday_of(pre, customer_dim)
+
+
+def riskscore_by_weekday_of(pre: DataFrame, customer_dim: DataFrame) -> DataFrame:
     j = pre.join(customer_dim.select("CustomerSK", F.col("CustomerName").alias("Name")), "CustomerSK")
     g = j.groupBy("Name", "DayOfWeek").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
     mean = F.when(F.col("_c") > 0, F.col("_s").cast("double") / F.col("_c").cast("double"))
@@ -78,7 +100,10 @@ def riskscore_by_weekday(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
 def laundering_by_account_kyc(fact: DataFrame, account_dim: DataFrame,
                               customer_dim: DataFrame) -> DataFrame:
     """Share by AccountType x KYCStatus through fact -> account -> customer."""
-    pre = _pre(fact, "AccountSK", "IsLaundered")
+    return account_kyc_rate_of(_pre(fact, "AccountSK", "IsLaundered"), account_dim, customer_dim)
+
+
+def account_kyc_rate_of(pre: DataFrame, account_dim: DataFrame, customer_dim: DataFrame) -> DataFrame:
     acc = account_dim.select("AccountSK", F.col("CustomerSK").alias("_acsk"), "AccountType")
     cus = customer_dim.select(F.col("CustomerSK").alias("_acsk"), "KYCStatus")
     g = (pre.join(acc, "AccountSK").join(cus, "_acsk")
@@ -88,7 +113,10 @@ def laundering_by_account_kyc(fact: DataFrame, account_dim: DataFrame,
 
 def country_laundering_rate(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
     """Share of laundering-flagged rows by customer country."""
-    pre = _pre(fact, "CustomerSK", "IsLaundered")
+    return country_rate_of(_pre(fact, "CustomerSK", "IsLaundered"), customer_dim)
+
+
+def country_rate_of(pre: DataFrame, customer_dim: DataFrame) -> DataFrame:
     g = (pre.join(customer_dim.select("CustomerSK", "Country"), "CustomerSK")
          .groupBy("Country").agg(F.sum("_w").alias("_n")))
     return _share(g, ["Country"], "LaunderingRate")

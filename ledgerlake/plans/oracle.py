@@ -66,10 +66,14 @@ def _changed(t: str, s: str) -> str:
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
+#: Blocks that are computed once, however often later ones name them.
+COMPUTED: set[str] = set()
 
 
-def cte(name: str, deps: tuple[str, ...], body: str) -> None:
+def cte(name: str, deps: tuple[str, ...], body: str, computed: bool = False) -> None:
     CTES[name] = (deps, body)
+    if computed:
+        COMPUTED.add(name)
 
 
 # ---- bronze mapping ---------------------------------------------------------
@@ -283,5 +287,61 @@ def sql(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body.strip()
-    parts = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    parts = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in COMPUTED else ''}({CTES[n][1]}\n)" for n in order)
     return f"WITH {parts}\n{body.strip()}"
+
+
+# ---- closed-form fits -------------------------------------------------------------
+#
+# The elimination of ``operators.closed_form`` written out: one CTE per pivot, columns
+# a_i_j and b_i; then the unknowns from the last to the first.
+
+def elimination(name: str, source: str, n: int) -> list[str]:
+    """CTEs that solve the system in the one row of ``source`` (a_i_j, b_i); ``{name}_x`` has x0, x1, ..."""
+    cells = [f"a_{i}_{j}" for i in range(n) for j in range(n)] + [f"b_{i}" for i in range(n)]
+    steps = [f"{name}_0 AS (SELECT {', '.join(cells)}, {', '.join(f'a_{i}_{i} AS d_{i}' for i in range(n))} FROM {source})"]
+    diagonal = ", ".join(f"d_{i}" for i in range(n))
+    for k in range(n):
+        sound = f"a_{k}_{k} > 1e-12::DOUBLE * d_{k}"
+        factor = [f"CASE WHEN {sound} THEN a_{i}_{k} / a_{k}_{k} ELSE 0.0::DOUBLE END AS f_{i}" for i in range(k + 1, n)]
+        change = [f"a_{i}_{j} - f_{i} * a_{k}_{j} AS a_{i}_{j}" if i > k and j >= k else f"a_{i}_{j}" for i in range(n) for j in range(n)]
+        change += [f"b_{i} - f_{i} * b_{k} AS b_{i}" if i > k else f"b_{i}" for i in range(n)]
+        steps.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT {', '.join(change)}, {diagonal} FROM (SELECT *{', ' if factor else ''}{', '.join(factor)} FROM {name}_{k}))")
+    source = f"{name}_{n}"
+    for k in range(n - 1, -1, -1):
+        rest = f"b_{k}" + "".join(f" - a_{k}_{j} * x{j}" for j in range(k + 1, n))
+        known = "".join(f", x{j}" for j in range(k + 1, n))
+        steps.append(f"{name}_x{k if k else ''} AS MATERIALIZED (SELECT {', '.join(cells)}, {diagonal}{known}, CASE WHEN a_{k}_{k} > 1e-12::DOUBLE * d_{k} "
+                     f"THEN ({rest}) / a_{k}_{k} ELSE 0.0::DOUBLE END AS x{k} FROM {source})")
+        source = f"{name}_x{k if k else ''}"
+    return steps
+
+
+def linear_fit(rows: str, inputs) -> list[str]:
+    """CTE ``ols`` with x0.. (coefficients by input) and ``icept``, from ``rows`` (label and inputs as DECIMAL(18,6) in c0.., c_n)."""
+    k = len(inputs)
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1 if i < k else i)]
+    sums = ", ".join([f"sum(c{i}) AS s{i}" for i in range(k + 1)] + [f"sum(CAST(c{i} AS DECIMAL(19,6)) * CAST(c{j} AS DECIMAL(19,6))) AS q_{i}_{j}" for i, j in pairs])
+    means = ", ".join(f"CAST(s{i} AS DOUBLE) / n AS m{i}" for i in range(k + 1))
+    cov = [f"CAST(q_{min(i, j)}_{max(i, j)} AS DOUBLE) / n - m{min(i, j)} * m{max(i, j)} AS a_{i}_{j}" for i in range(k) for j in range(k)]
+    cov += [f"CAST(q_{i}_{k} AS DOUBLE) / n - m{i} * m{k} AS b_{i}" for i in range(k)]
+    return [f"ols_sums AS MATERIALIZED (SELECT count(*)::DOUBLE AS n, {sums} FROM {rows})", f"ols_means AS (SELECT *, {means} FROM ols_sums)",
+            f"ols_cov AS MATERIALIZED (SELECT {', '.join(cov)} FROM ols_means)", *elimination("ols_e", "ols_cov", k),
+            f"ols AS MATERIALIZED (SELECT x.*, m{k}{''.join(f' - x{i} * m{i}' for i in range(k))} AS icept FROM ols_e_x x, ols_means)"]
+
+
+def logistic_fit(rows: str, inputs, steps: int) -> list[str]:
+    """CTE ``logit`` with w0 (intercept), w1.. after Newton steps, from ``rows`` (label ``y`` and inputs c0.. as DOUBLE)."""
+    k = len(inputs)
+    names = ["1.0::DOUBLE", *(f"c{i}" for i in range(k))]
+    out = [f"newton_0 AS (SELECT {', '.join(f'0.0::DOUBLE AS w{i}' for i in range(k + 1))})"]
+    for t in range(steps):
+        z = "w0" + "".join(f" + w{i + 1} * c{i}" for i in range(k))
+        grad = [f"sum(r * {names[i]}) + any_value({f'w{i}' if i else '0.0::DOUBLE'}) AS b_{i}" for i in range(k + 1)]
+        hess = [f"sum(v * {names[min(i, j)]} * {names[max(i, j)]}){' + 1.0' if i == j and i else ''} AS a_{i}_{j}" for i in range(k + 1) for j in range(k + 1)]
+        out.append(f"newton_p{t} AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({z}))) AS p FROM {rows}, newton_{t})")
+        out.append(f"newton_h{t} AS MATERIALIZED (SELECT {', '.join(grad + hess)} FROM (SELECT *, p - y AS r, p * (1.0::DOUBLE - p) AS v FROM newton_p{t}))")
+        out += elimination(f"newton_e{t}", f"newton_h{t}", k + 1)
+        out.append(f"newton_{t + 1} AS MATERIALIZED (SELECT {', '.join(f'w{i} - x{i} AS w{i}' for i in range(k + 1))} FROM newton_{t}, newton_e{t}_x)")
+    out.append(f"logit AS (SELECT * FROM newton_{steps})")
+    return out

@@ -7,30 +7,33 @@ decimals leave as DOUBLE and integers as BIGINT so both engines agree on types.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import (ACCOUNT_DATE_PATTERNS, CUSTOMER_DATE_PATTERNS, INVALID_OPEN_DATE,
                                TRANSACTION_DATE_PATTERNS, VALID_OPEN_DATE, clean_name, parse_amount,
                                parse_date, quality_label, title_only, title_trimmed)
-from ..operators import models
+from ..operators import closed_form, models
 from ..operators.dedup import latest_per_key
 from ..operators.features import transaction_features
+from ..operators.interval_index import asof_lookup_indexed
 from ..operators.keys import assign_keys, in_test, split_hash
 from ..operators.lookup import asof_lookup, current_lookup, left_lookup
 from ..operators.merge import scd2_close
 from ..schemas import FEATURE_COLUMNS, LINEAGE
 from ..session import work_path
 from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
-from ..sources.tables import publish
-from ..streaming.incremental import load_incremental
-from . import driver, gold, silver
+from ..sources.tables import alter_add_columns, append_by_name, append_table, overwrite_table, publish, read_partitions, replace_partitions
+from ..streaming.incremental import load_incremental, quarantined
+from . import driver, gold, incremental, silver
 from .bronze import BRONZE_TABLES
+from .layers import by_month
 from .rejects import reject_counts, run_rejects
-from .oracle import ACCT_PATTERNS, CUST_PATTERNS, cte, initcap, parse, share2, sql
+from .oracle import ACCT_PATTERNS, CUST_PATTERNS, cte, initcap, linear_fit, logistic_fit, parse, share2, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -219,15 +222,15 @@ def q_surrogate_keys(spark, d):
 
 @register("scd2_merge", sql("SELECT * FROM dim2", "dim2"))
 def q_scd2_merge(spark, d):
-    """The third customer run itself, over the published second one."""
+    """The third customer run itself, over the published second one: it stages the third load only."""
     s = S(spark, d)
-    return silver.customer_job(s.customer_dim_1, s.customer_raw[2])
+    return silver.customer_job(s.customer_dim_1, s.customer_raw[2], since=driver.BATCH1_INGESTED)
 
 
 @register("scd2_close", sql("SELECT * FROM dim1_closed", "dim1_closed"))
 def q_scd2_close(spark, d):
     s = S(spark, d)
-    src = silver.dedup_customers(silver.stage_customers(s.customer_raw[2]))
+    src = silver.dedup_customers(silver.stage_customers(silver.newer_loads(s.customer_raw[2], driver.BATCH1_INGESTED)))
     from ..schemas import CUSTOMER_TRACKED
     return scd2_close(s.customer_dim_1, src, "CustomerID", CUSTOMER_TRACKED)
 
@@ -361,6 +364,30 @@ def q_asof_lookup(spark, d):
     return j.select("TransactionID", "TransactionDate", "CustomerSK", F.col("_asof_start").alias("StartDate"))
 
 
+cte("nation_orders", (), """
+SELECT o_orderkey, c_nationkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders JOIN customer ON o_custkey = c_custkey""")
+cte("nation_versions", ("nation_orders",), """
+SELECT k, d AS StartDate, lead(d) OVER (PARTITION BY k ORDER BY d) AS EndDate, n AS Orders
+FROM (SELECT k, d, count(*) AS n FROM nation_orders GROUP BY k, d)""")
+
+
+@register("asof_many_versions", sql("""
+SELECT o.o_orderkey, o.QueryDate, v.StartDate, v.Orders FROM (
+  SELECT o_orderkey, k, d + CAST(o_orderkey % 41 - 20 AS INTEGER) AS QueryDate FROM nation_orders) o
+LEFT JOIN nation_versions v ON v.k = o.k AND o.QueryDate >= v.StartDate AND (o.QueryDate <= v.EndDate OR v.EndDate IS NULL)""",
+                                    "nation_orders", "nation_versions"))
+def q_asof_many_versions(spark, d):
+    """As-of lookup where every key (a nation) has a version for each day with orders: hundreds
+    to thousands of versions and a fact for each order, up to 20 days off its date."""
+    o, c = driver.table(spark, d, "orders"), driver.table(spark, d, "customer")
+    rows = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("k"), F.col("o_orderdate").cast("date").alias("d"))
+    per_day = rows.groupBy("k", "d").agg(F.count("*").alias("Orders"))
+    versions = per_day.select("k", F.col("d").alias("StartDate"), F.lead("d").over(Window.partitionBy("k").orderBy("d")).alias("EndDate"), "Orders")
+    facts = rows.select("o_orderkey", "k", F.date_add("d", (F.pmod("o_orderkey", F.lit(41)) - 20).cast("int")).alias("QueryDate"))
+    found = asof_lookup_indexed(facts, versions, "k", "QueryDate", ["Orders"])
+    return found.select("o_orderkey", "QueryDate", F.col("_asof_start").alias("StartDate"), "Orders")
+
+
 @register("left_lookup", sql("""
 SELECT p.TransactionID, p.AccountID, a.AccountSK FROM t_parsed p LEFT JOIN acct a ON p.AccountID = a.AccountID""",
                              "t_parsed", "acct"))
@@ -597,58 +624,96 @@ def q_r2(spark, d):
     return r.select(F.round("r2", 6).alias("r2"), "n")
 
 
-# ============================ models (rows-only checks) ========================
+# ============================ models (M3-M5, M9-M13, M17) ======================
+
+SPLIT_TEST = "('0x' || substr(md5('42:' || TransactionID), 1, 8))::BIGINT < 858993459"
+SCORABLE = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
+_INPUTS = len(FEATURE_COLUMNS)
+
+
+def _blocks(steps: list[str], *deps: str) -> None:
+    """Register written-out CTEs; each needs the one before it."""
+    last = deps
+    for step in steps:
+        name, computed, body = re.fullmatch(r"(\w+) AS (MATERIALIZED )?\((.*)\)", step, re.S).groups()
+        cte(name, last, body, bool(computed))
+        last = (*deps, name)
+
+
+def _model_rows(name: str, label: str, kind: str) -> None:
+    """Labelled rows with complete inputs (``name``_train without the test rows), inputs with six decimals."""
+    inputs = ", ".join(f"CAST({c} AS DECIMAL(18,6)){kind} AS c{i}" for i, c in enumerate(FEATURE_COLUMNS))
+    cte(name, ("features",), f"""
+SELECT TransactionID, CAST({label} AS BIGINT) AS Actual, CAST({label} AS BIGINT)::DOUBLE AS y, CAST(CAST({label} AS BIGINT) AS DECIMAL(18,6)) AS c{_INPUTS},
+  {inputs}, {SCORABLE} AS Usable, {SPLIT_TEST} AS InTest FROM features WHERE {label} IS NOT NULL""", computed=True)
+    cte(f"{name}_train", (name,), f"SELECT * FROM {name} WHERE Usable AND NOT InTest")
+
+
+_model_rows("risk_rows", "RiskScore", "")
+_model_rows("fraud_rows", "IsFraud", "::DOUBLE")
+_blocks(linear_fit("risk_rows_train", FEATURE_COLUMNS), "risk_rows_train")
+_blocks(logistic_fit("fraud_rows_train", FEATURE_COLUMNS, closed_form.NEWTON_STEPS), "fraud_rows_train")
+cte("risk_predictions", ("risk_rows", "ols"), f"""
+SELECT TransactionID, Actual::DOUBLE AS ActualRiskScore,
+  CASE WHEN Usable THEN round(icept{''.join(f' + x{i} * CAST(c{i} AS DOUBLE)' for i in range(_INPUTS))}, 4) END AS PredictedRiskScore
+FROM risk_rows, ols WHERE InTest""")
+cte("fraud_scores", ("fraud_rows", "logit"), f"""
+SELECT TransactionID, Actual, Usable, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(w0{''.join(f' + w{i + 1} * c{i}' for i in range(_INPUTS))}))) AS p
+FROM fraud_rows, logit WHERE InTest""")
+cte("fraud_predictions", ("fraud_scores",), """
+SELECT TransactionID, Actual, CASE WHEN Usable THEN CAST(p > 0.5 AS BIGINT) END AS Predicted, CASE WHEN Usable THEN round(p, 4) END AS PredictedProb
+FROM fraud_scores""")
+
+
+def fraud_fit(spark: SparkSession, d: str):
+    train, test = models.split_for_models(models.model_input(features(spark, d), "IsFraud"))
+    return closed_form.fit_logistic(train), test
+
+
+def risk_fit(spark: SparkSession, d: str):
+    train, test = models.split_for_models(models.model_input(features(spark, d), "RiskScore"))
+    return closed_form.fit_linear(train), test
 
 
-@register("fraud_classifier")
+@register("fraud_classifier", sql("SELECT * FROM fraud_predictions", "fraud_predictions"))
 def q_fraud_classifier(spark, d):
-    inp = models.model_input(features(spark, d), "IsFraud")
-    train, test = models.split_for_models(inp)
-    model = models.fit_classifier(train)
-    return models.classifier_predictions(model, test)
+    """The prediction table of the logistic fit."""
+    return closed_form.logistic_predictions(*fraud_fit(spark, d))
 
 
-@register("risk_regressor")
+@register("risk_regressor", sql("SELECT * FROM risk_predictions", "risk_predictions"))
 def q_risk_regressor(spark, d):
-    inp = models.model_input(features(spark, d), "RiskScore")
-    train, test = models.split_for_models(inp)
-    model = models.fit_regressor(train)
-    return models.regressor_predictions(model, test)
+    """The prediction table of the linear fit."""
+    return closed_form.linear_predictions(*risk_fit(spark, d))
 
 
-@register("model_metrics")
+@register("model_metrics", sql("""
+SELECT 'classifier_accuracy' AS metric, round(avg(CAST(Actual = Predicted AS BIGINT)), 6) AS value FROM fraud_predictions
+UNION ALL SELECT 'regressor_r2', round(1 - sum((ActualRiskScore - PredictedRiskScore) ^ 2) / (var_pop(ActualRiskScore) * count(*)), 6)
+  FROM risk_predictions WHERE PredictedRiskScore IS NOT NULL
+UNION ALL SELECT 'trend_r2', round(regr_r2(FraudVolume, DayIndex), 6) FROM daily_ix""", "fraud_predictions", "risk_predictions", "daily_ix"))
 def q_model_metrics(spark, d):
     """One (metric, value) row per run: classifier accuracy, regressor R², trend R²."""
-    f = features(spark, d)
-    inp_c = models.model_input(f, "IsFraud")
-    tr_c, te_c = models.split_for_models(inp_c)
-    pc = models.classifier_predictions(models.fit_classifier(tr_c), te_c)
-    inp_r = models.model_input(f, "RiskScore")
-    tr_r, te_r = models.split_for_models(inp_r)
-    pr = models.regressor_predictions(models.fit_regressor(tr_r), te_r)
-    trend = models.trend_fit(models.with_day_index(models.daily_flag_volume(f)))
-    acc = models.accuracy(pc).select(F.lit("classifier_accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    pc = closed_form.logistic_predictions(*fraud_fit(spark, d))
+    pr = closed_form.linear_predictions(*risk_fit(spark, d))
+    trend = models.trend_fit(models.with_day_index(models.daily_flag_volume(features(spark, d))))
+    acc = models.accuracy(pc).select(F.lit("classifier_accuracy").alias("metric"), F.round("accuracy", 6).alias("value"))
     r2 = models.r2_score(pr, "ActualRiskScore", "PredictedRiskScore").select(
-        F.lit("regressor_r2").alias("metric"), F.col("r2").alias("value"))
-    tr = trend.select(F.lit("trend_r2").alias("metric"), F.col("r2").alias("value"))
-    return acc.unionByName(r2).unionByName(tr)
+        F.lit("regressor_r2").alias("metric"), F.round("r2", 6).alias("value"))
+    return acc.unionByName(r2).unionByName(trend.select(F.lit("trend_r2").alias("metric"), F.col("r2").alias("value")))
 
 
-@register("model_coefficients")
-def q_model_coefficients(spark, d):
-    """Coefficient per input (2 digits) and intercept of both fitted models."""
-    f = features(spark, d)
-    out = None
-    for label, fit in (("IsFraud", models.fit_classifier), ("RiskScore", models.fit_regressor)):
-        inp = models.model_input(f, label)
-        train, _ = models.split_for_models(inp)
-        c = models.coefficients(fit(train)).withColumn("model", F.lit(label))
-        out = c if out is None else out.unionByName(c)
-    return out
+def _fit_rows(model: str, source: str, names) -> str:
+    return " UNION ALL ".join(f"SELECT '{model}' AS model, '{f}' AS feature, round({x}, 4) AS coefficient FROM {source}" for f, x in names)
 
 
-SPLIT_TEST = "('0x' || substr(md5('42:' || TransactionID), 1, 8))::BIGINT < 858993459"
-SCORABLE = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
+@register("model_coefficients", sql(
+    _fit_rows("IsFraud", "logit", [*((c, f"w{i + 1}") for i, c in enumerate(FEATURE_COLUMNS)), ("Intercept", "w0")]) + " UNION ALL "
+    + _fit_rows("RiskScore", "ols", [*((c, f"x{i}") for i, c in enumerate(FEATURE_COLUMNS)), ("Intercept", "icept")]), "logit", "ols"))
+def q_model_coefficients(spark, d):
+    """Coefficient per input (4 digits) and intercept of both fits."""
+    parts = [closed_form.fit_table(spark, fit(spark, d)[0]).withColumn("model", F.lit(m)) for m, fit in (("IsFraud", fraud_fit), ("RiskScore", risk_fit))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("fraud_test_rows", sql(f"""
@@ -718,6 +783,43 @@ def _bronze(name: str) -> None:
 for _name in _BRONZE:
     _bronze(_name)
 
+
+_LINE = "concat_ws(',', coalesce(AccountID, ''), CustomerID, AccountType, Currency, OpenDate)"
+cte("account_lines", ("a_raw",), f"""
+SELECT CAST(CustomerID AS BIGINT) % 23 AS kind, coalesce(AccountID, '') AS id, CustomerID, AccountType, Currency, OpenDate, {_LINE} AS line,
+  CASE CAST(CustomerID AS BIGINT) % 23 WHEN 5 THEN concat_ws(',', coalesce(AccountID, ''), CustomerID, AccountType, Currency)
+    WHEN 6 THEN {_LINE} || ',extra' WHEN 7 THEN concat_ws(',', coalesce(AccountID, ''), CustomerID, AccountType, Currency, '"' || OpenDate)
+    WHEN 8 THEN concat_ws(',', coalesce(AccountID, ''), CustomerID, '"' || AccountType, Currency, OpenDate) END AS broken
+FROM a_raw""")
+
+
+@register("bronze_quarantine", sql("""
+SELECT broken IS NOT NULL AS Quarantined, coalesce(broken, line) AS Line, broken IS NOT NULL AS HasFile, count(*) AS Rows
+FROM account_lines GROUP BY 1, 2, 3""", "account_lines"))
+def q_bronze_quarantine(spark, d):
+    """Two drops of account files with lines of too few and too many fields and with unclosed
+    quotes: whole lines are loaded, the others kept with their text and file."""
+    columns = BRONZE_TABLES["account_raw"][0].fieldNames()
+    raw = driver.account_raw(spark, d)
+    kind = F.pmod(F.col("CustomerID").cast("long"), F.lit(23))
+    field = {c: F.coalesce(F.col(c), F.lit("")) for c in columns}
+    line = lambda **new: F.concat_ws(",", *[new.get(c, field[c]) for c in columns])
+    quoted = lambda c, end="": F.concat(F.lit('"'), field[c], F.lit(end))
+    text = (F.when(kind == 5, F.concat_ws(",", *[field[c] for c in columns[:-1]])).when(kind == 6, F.concat(line(), F.lit(",extra")))
+            .when(kind == 7, line(OpenDate=quoted("OpenDate"))).when(kind == 8, line(AccountType=quoted("AccountType")))
+            .when(kind == 9, line(AccountType=quoted("AccountType", '"'))).otherwise(line()))
+    lines = raw.select(text.alias(",".join(columns)), (F.pmod(F.xxhash64(*columns), F.lit(2)) == 1).alias("late"))
+    landing, root = work_path(spark, "landing-lines"), work_path(spark, "bronze-lines")
+    for drop, hit in (("1", ~F.col("late")), ("2", F.col("late"))):
+        (lines.where(hit).drop("late").write.option("header", True).option("sep", "\x01").option("quote", "").option("emptyValue", "")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/drop={drop}"))
+        good = load_incremental(spark, landing, BRONZE_TABLES["account_raw"][0], f"{root}/table", f"{root}/checkpoint", recursive=True, quarantine=True)
+    bad = quarantined(spark, f"{root}/table")
+    out = good.select(F.lit(False).alias("Quarantined"), line().alias("Line"), F.lit(False).alias("HasFile"))
+    out = out.unionByName(bad.select(F.lit(True).alias("Quarantined"), F.col("RawLine").alias("Line"), F.col("RawFile").contains("drop=").alias("HasFile")))
+    return out.groupBy("Quarantined", "Line", "HasFile").agg(F.count("*").alias("Rows"))
+
+
 # ============================ at-scale storage variants ========================
 
 
@@ -746,18 +848,140 @@ def q_fact_upsert_partitioned(spark, d):
 SELECT d.*, CASE WHEN d.IsCurrent THEN 'current' WHEN o.IsCurrent IS NOT NULL AND NOT o.IsCurrent THEN 'run_2' ELSE 'run_3' END AS VersionSet
 FROM dim2 d LEFT JOIN dim1 o ON d.CustomerSK = o.CustomerSK""", "dim2", "dim1"))
 def q_scd2_merge_partitioned(spark, d):
-    """The customer dimension's three runs into a version-set-partitioned table:
-    current versions in one partition, the versions a run closes in another.  Run
-    3 first sees a part of its load only and is repeated with all of it."""
+    """The customer dimension's three runs into a history table: current versions apart
+    from those that each run closed, every run reading the loads after the one before.
+    Run 3 first sees a part of its load only and is repeated with all of it."""
     from .layers import upsert_customer_dim_partitioned
     s = S(spark, d)
     path = work_path(spark, "customer-dim-versions")
     upsert_customer_dim_partitioned(s.customer_raw[0], path, "1")
-    upsert_customer_dim_partitioned(s.customer_raw[1], path, "2")
+    upsert_customer_dim_partitioned(s.customer_raw[1], path, "2", since=driver.BATCH0_INGESTED)
     part = s.customer_raw[2].where(F.length("CustomerID") < 3)
-    upsert_customer_dim_partitioned(part, path, "3")
-    return upsert_customer_dim_partitioned(s.customer_raw[2], path, "3")
+    upsert_customer_dim_partitioned(part, path, "3", since=driver.BATCH1_INGESTED)
+    return upsert_customer_dim_partitioned(s.customer_raw[2], path, "3", since=driver.BATCH1_INGESTED)
+
+
+# ============================ incremental features and gold =====================
+
+#: Months that the incremental queries change after the tables were built.
+LATE_MONTHS = {"1996-03", "1997-11"}
+
+
+def _late(fact: DataFrame) -> DataFrame:
+    """The fact before a third of the transactions of two months came in."""
+    late = F.col("TransactionMonth").isin(*LATE_MONTHS) & (F.pmod(F.xxhash64("TransactionID"), F.lit(3)) == 0)
+    return fact.where(~F.coalesce(late, F.lit(False)))
+
+
+def _stored_fact(spark: SparkSession, fact: DataFrame) -> tuple[DataFrame, str]:
+    path = work_path(spark, "fact-months")
+    fact.hint("rebalance", "TransactionMonth").write.partitionBy("TransactionMonth").parquet(path)
+    return read_partitions(spark, path, "TransactionMonth"), path
+
+
+@register("features_incremental", sql("SELECT * FROM features", "features"))
+def q_features_incremental(spark, d):
+    """The feature table after late facts in two months: only the months they reach are computed anew."""
+    s, home = S(spark, d), driver.DRIVER_HOME_COUNTRY
+    whole, path = by_month(s.fact), work_path(spark, "features-by-month")
+    stored, at = _stored_fact(spark, _late(whole))
+    incremental.build_features(stored, s.customer_dim, path, home)
+    now = replace_partitions(whole.where(F.col("TransactionMonth").isin(*LATE_MONTHS)), at, "TransactionMonth", LATE_MONTHS)
+    return rounded_ratio(incremental.refresh_features(now, s.customer_dim, LATE_MONTHS, path, home).drop("TransactionMonth"))
+
+
+_GOLD_SQL = {"account_type_launderingrate": ("share_by_one_key", "AccountType", "NULL", "LaunderingRate"),
+             "Uganda_Fraud": ("share_filtered", "Country", "CAST(IsFraud AS VARCHAR)", "RiskCategoryRate"),
+             "luandering_channel": ("share_by_two_keys", "Channel", "KYCStatus", "LaunderingRate"),
+             "Country_FraudVol": ("group_count", "Country", "CAST(IsFraud AS VARCHAR)", "FraudCount"),
+             "riskscore_dow": ("avg_by_dow", "Name", "DayOfWeek", "AvgRiskScore"),
+             "luandering_account": ("share_three_way", "AccountType", "KYCStatus", "LaunderingRate"),
+             "Country_LaunderingRate": ("share_by_country", "Country", "NULL", "LaunderingRate")}
+
+
+def _gold_view(view: str) -> str:
+    """The oracle of a gold view as a block of its own, in the long form (View, G1, G2, Value)."""
+    key, g1, g2, value = _GOLD_SQL[view]
+    body = ORACLE[key]
+    inner = body[body.rindex("\nSELECT ") + 1 :] if body.startswith("WITH") else body
+    cte(f"gold_{key}", ("fact", "dim2", "acct"), inner)
+    return f"SELECT '{view}' AS View, {g1} AS G1, {g2} AS G2, CAST({value} AS DOUBLE) AS Value FROM gold_{key}"
+
 
+_GOLD_LONG = [_gold_view(v) for v in _GOLD_SQL]
+_GOLD_LONG.append("SELECT 'daily', CAST(Date AS VARCHAR), NULL, CAST(FraudVolume AS DOUBLE) FROM daily")
+
+
+@register("gold_incremental", sql(" UNION ALL ".join(_GOLD_LONG), *(f"gold_{k[0]}" for k in _GOLD_SQL.values()), "daily"))
+def q_gold_incremental(spark, d):
+    """All gold views and the daily volume from stored partials, after late, moved and deleted facts.
+
+    The partials are built of a fact that lacks late rows of two months, holds a fifth of
+    1995-05 forty days too early and rows of 1995-08 that were deleted since."""
+    s = S(spark, d)
+    whole, path = by_month(s.fact), work_path(spark, "gold-partials")
+    month, chance = F.col("TransactionMonth"), F.pmod(F.xxhash64("TransactionID"), F.lit(5))
+    early = (month == "1995-05") & (chance == 0)
+    before = _late(whole).withColumn("TransactionDate", F.when(early, F.date_sub("TransactionDate", 40)).otherwise(F.col("TransactionDate")))
+    before = by_month(before.unionByName(whole.where((month == "1995-08") & (chance == 1)).withColumn("TransactionID", F.concat(F.lit("gone "), "TransactionID"))))
+    touched = LATE_MONTHS | {"1995-03", "1995-04", "1995-05", "1995-08"}
+    stored, at = _stored_fact(spark, before)
+    incremental.build_partials(stored, path)
+    now = replace_partitions(whole.where(month.isin(*touched)), at, "TransactionMonth", touched)
+    partials = incremental.refresh_partials(now, touched, path)
+    views = incremental.gold_from_partials(partials, s.customer_dim, s.account_dim, driver.DRIVER_EXCLUDED_COUNTRY)
+    out = incremental.daily_volume_from_partials(partials).select(
+        F.lit("daily").alias("View"), F.col("Date").cast("string").alias("G1"), F.lit(None).cast("string").alias("G2"), F.col("FraudVolume").cast("double").alias("Value"))
+    for name, v in views.items():
+        g = [F.col(c).cast("string") for c in v.columns[:-1]]
+        out = out.unionByName(v.select(F.lit(name).alias("View"), g[0].alias("G1"), (g[1] if len(g) > 1 else F.lit(None).cast("string")).alias("G2"),
+                                       F.col(v.columns[-1]).cast("double").alias("Value")))
+    return out
+
+
+# ============================ stored tables and views (S7-S9, S11, O1) ==========
+
+
+def fresh_database(spark: SparkSession, name: str) -> str:
+    """A new database whose tables lie in the shared work folder."""
+    path = work_path(spark, name)
+    db = "ledgerlake_" + re.sub(r"\W", "_", path.rsplit("/", 1)[-1])
+    spark.sql(f"CREATE DATABASE `{db}` LOCATION '{path}'")
+    return db
+
+
+@register("alter_append", sql("""
+SELECT CustomerID, CustomerName, CASE WHEN IngestionDate > TIMESTAMP '1998-01-01' THEN SourceFile END AS SourceFile FROM c_raw2""", "c_raw2"))
+def q_alter_append(spark, d):
+    """A stored table altered between two appends: rows stored before read NULL in the new column."""
+    raw = driver.customer_raw_batches(spark, d)
+    name, columns = f"{fresh_database(spark, 'altered')}.customer_raw", ["CustomerID", "CustomerName"]
+    append_table(raw[1].select(*columns), name)
+    alter_add_columns(spark, name, LINEAGE)
+    newest = silver.newer_loads(raw[2], driver.BATCH1_INGESTED)
+    return append_by_name(newest.select("SourceFile", *columns), name).select(*columns, "SourceFile")
+
+
+@register("stored_views", sql(" UNION ALL ".join(
+    f"SELECT '{v}' AS View, Position, G1, G2, Value FROM (SELECT *, row_number() OVER (ORDER BY Value DESC NULLS LAST, G1 NULLS FIRST, G2 NULLS FIRST) AS Position "
+    f"FROM ({_gold_view(v)}))" for v in _GOLD_SQL), *(f"gold_{k[0]}" for k in _GOLD_SQL.values())))
+def q_stored_views(spark, d):
+    """The seven stored views over catalog tables, read by another session, with each row's place."""
+    from .views import VIEW_SQL, create_gold_views
+    s = S(spark, d)
+    db = fresh_database(spark, "views")
+    for name, df in (("customer_dim", s.customer_dim), ("account_dim", s.account_dim), ("transaction_fact", s.fact)):
+        overwrite_table(df, f"{db}.{name}")
+    create_gold_views(spark, db, driver.DRIVER_EXCLUDED_COUNTRY)
+    out = None
+    for name in VIEW_SQL:
+        v = spark.table(f"{db}.{name}")
+        g, value = v.columns[:-1], v.columns[-1]
+        place = F.row_number().over(Window.orderBy("_place"))  # one row per group, in the view's own order
+        rows = v.withColumn("_place", F.monotonically_increasing_id()).select(F.lit(name).alias("View"), place.alias("Position"), F.col(g[0]).cast("string").alias("G1"),
+                        (F.col(g[1]).cast("string") if len(g) > 1 else F.lit(None).cast("string")).alias("G2"), F.col(value).cast("double").alias("Value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 # ============================ rejected rows ====================================
 

@@ -38,10 +38,14 @@ def rejected(table: str, raw: DataFrame) -> DataFrame:
             .select(F.lit(table).alias("TableName"), "Rule", "Row"))
 
 
-def run_rejects(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw: DataFrame) -> DataFrame:
-    """The rejected rows of one run over the three raw tables."""
-    return reduce(DataFrame.unionByName, (rejected("customer", customer_raw), rejected("account", account_raw),
-                                          rejected("transaction", transaction_raw)))
+def run_rejects(customer_raw: DataFrame, account_raw: DataFrame, transaction_raw: DataFrame,
+                quarantine: DataFrame | None = None) -> DataFrame:
+    """The rejected rows of one run over the three raw tables, and the malformed lines
+    that the bronze load kept apart (``quarantine``: TableName, RawFile, RawLine)."""
+    parts = [rejected("customer", customer_raw), rejected("account", account_raw), rejected("transaction", transaction_raw)]
+    if quarantine is not None:
+        parts.append(quarantine.select("TableName", F.lit("malformed_line").alias("Rule"), F.to_json(F.struct("RawFile", "RawLine")).alias("Row")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Named views over a run, for users who query the layers with SQL.
 
 Temp views are always replaced (a changed definition is never silently
-ignored), and no view carries an ORDER BY: readers sort in their own query.
+ignored).  Stored views are SQL over the catalog's tables and carry the order in
+which the reference shows them.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import overwrite_table
 from .bronze import ingest_bronze
+from .gold import DEFAULT_EXCLUDED_COUNTRY
 from .layers import SilverLayer, run_features, run_gold, run_silver_partitioned
 from .model_jobs import ModelRun, forecast_job, fraud_job, publish_run, risk_job
 
@@ -32,22 +34,77 @@ PREDICTION_TABLES = {"fraud": "fraud_predictions", "risk": "risk_score_predictio
 METRICS_TABLE = "model_metrics"
 
 
+#: The gold views as SQL over the catalog's silver tables ({db}, {excluded} and {home} are filled in); the
+#: order is that of ``sorted_view``.
+VIEW_SQL = {
+    "account_type_launderingrate": """
+SELECT AccountType, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
+  SELECT a.AccountType, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK GROUP BY 1)
+ORDER BY LaunderingRate DESC NULLS LAST, AccountType""",
+    "Uganda_Fraud": """
+SELECT Country, IsFraud, CAST(round(try_divide(CAST(n AS DECIMAL(20,0)) * 100.0, CAST(sum(n) OVER () AS DECIMAL(20,0))), 2) AS DOUBLE) AS RiskCategoryRate FROM (
+  SELECT c.Country, f.IsFraud, count(f.IsFraud) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
+  WHERE c.Country <> '{excluded}' GROUP BY 1, 2)
+ORDER BY RiskCategoryRate DESC NULLS LAST, Country, IsFraud""",
+    "luandering_channel": """
+SELECT Channel, KYCStatus, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
+  SELECT f.Channel, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1, 2)
+ORDER BY LaunderingRate DESC NULLS LAST, Channel, KYCStatus""",
+    "Country_FraudVol": """
+SELECT c.Country, f.IsFraud, count(f.IsFraud) AS FraudCount FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
+GROUP BY 1, 2 ORDER BY FraudCount DESC NULLS LAST, Country, IsFraud""",
+    "riskscore_dow": """
+SELECT c.CustomerName AS Name, date_format(f.TransactionDate, 'E') AS DayOfWeek, round(avg(f.RiskScore), 0) AS AvgRiskScore
+FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
+GROUP BY 1, 2 ORDER BY AvgRiskScore DESC NULLS LAST, Name, DayOfWeek""",
+    "luandering_account": """
+SELECT AccountType, KYCStatus, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
+  SELECT a.AccountType, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK
+  JOIN {db}.customer_dim c ON a.CustomerSK = c.CustomerSK GROUP BY 1, 2)
+ORDER BY LaunderingRate DESC NULLS LAST, AccountType, KYCStatus""",
+    "Country_LaunderingRate": """
+SELECT Country, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
+  SELECT c.Country, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1)
+ORDER BY LaunderingRate DESC NULLS LAST, Country""",
+}
+
+
+def create_gold_views(spark: SparkSession, database: str, excluded: str = DEFAULT_EXCLUDED_COUNTRY) -> list[str]:
+    """``CREATE OR REPLACE VIEW`` of the seven gold views over the database's silver tables.
+
+    The views are stored in the catalog, so other sessions and later jobs read them by
+    name, and they follow their tables.  The window over all groups runs on one row
+    per group of a few attributes; a reader's own ORDER BY replaces the view's.
+    """
+    db, names = f"`{database}`", []
+    for name, body in VIEW_SQL.items():
+        if spark.catalog.tableExists(f"{database}.{name}") and spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+            spark.sql(f"DROP TABLE {db}.`{name}`")  # an earlier release stored a table of that name
+        text = body.replace("{db}", db).replace("{excluded}", excluded.replace("'", "''"))
+        spark.sql(f"CREATE OR REPLACE VIEW {db}.`{name}` AS {text}")
+        names.append(f"{database}.{name}")
+    return names
+
+
 def publish_layer(layer: SilverLayer, database: str, home: str | None = None) -> list[str]:
-    """Store the silver tables, the seven gold views and ``Transaction_Features`` as
-    tables of ``database``, so that the next scheduled job reads them by name."""
+    """Store the silver tables and ``Transaction_Features`` as tables of ``database`` and the
+    seven gold views as views over them, so that the next scheduled job reads them by name.
+
+    Readers of a gold view see the silver tables as they are; none is a copy that
+    a later step of the run has yet to replace.
+    """
     spark = layer.fact.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     tables: dict[str, DataFrame] = {"customer_dim": layer.customer_dim, "account_dim": layer.account_dim,
                                     "transaction_fact": layer.fact}
     if layer.rejects is not None:
         tables["rejects"] = layer.rejects
-    tables.update(run_gold(layer))
     tables["Transaction_Features"] = run_features(layer, **({"home": home} if home else {}))
     names = []
     for name, df in tables.items():
         overwrite_table(df, f"{database}.{name}")
         names.append(f"{database}.{name}")
-    return names
+    return names + create_gold_views(spark, database)
 
 
 def sorted_view(df: DataFrame) -> DataFrame:
@@ -63,7 +120,8 @@ def run_all(spark: SparkSession, landing: dict[str, str], root: str, database: s
     partitioned silver tables, gold views and features by name, three model jobs
     whose predictions are replaced and whose metrics are appended."""
     bronze = ingest_bronze(spark, landing, f"{root}/bronze")
-    layer = run_silver_partitioned(bronze.customer_raw, bronze.account_raw, bronze.transaction_raw, f"{root}/silver", run_id)
+    layer = run_silver_partitioned(bronze.customer_raw, bronze.account_raw, bronze.transaction_raw, f"{root}/silver", run_id,
+                                   bronze.quarantine)
     publish_layer(layer, database, home)
     features = spark.table(f"{database}.Transaction_Features")
     runs = {"fraud": fraud_job(features), "risk": risk_job(features), "forecast": forecast_job(features)}

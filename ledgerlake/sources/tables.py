@@ -9,9 +9,9 @@ them, and a lost executor only recomputes from the last snapshot.
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
-from functools import reduce
+import re
+from collections.abc import Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,142 +58,147 @@ def create_if_absent(spark: SparkSession, name: str, schema, location: str | Non
     return spark.table(name)
 
 
+def alter_add_columns(spark: SparkSession, name: str, fields: StructType) -> DataFrame:
+    """``ALTER TABLE name ADD COLUMNS``: those of ``fields`` that the stored table lacks (by name, whatever the case).
+
+    No file is rewritten: rows stored before read NULL in the new columns, later
+    appends fill them.
+    """
+    have = {c.lower() for c in spark.table(name).columns}
+    missing = [f for f in fields.fields if f.name.lower() not in have]
+    if missing:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in missing)})")
+    return spark.table(name)
+
+
+def append_by_name(df: DataFrame, name: str) -> DataFrame:
+    """Append rows to a stored table by column name; columns that the table has and ``df`` lacks are NULL.
+    Columns that the table lacks raise (``alter_add_columns`` adds them first)."""
+    table = df.sparkSession.table(name)
+    have, known = {c.lower(): c for c in df.columns}, {c.lower() for c in table.columns}
+    if extra := [c for c in df.columns if c.lower() not in known]:
+        raise ValueError(f"{name} has no columns {extra}")
+    rows = df.select(*[(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+    rows.write.insertInto(name)
+    return df.sparkSession.table(name)
+
+
 def replace_empty(spark: SparkSession, name: str, schema) -> DataFrame:
     """``CREATE OR REPLACE TABLE`` of an empty typed table (the reference's reset)."""
     spark.createDataFrame([], schema).write.mode("overwrite").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
-# ---- partitioned tables kept across runs ---------------------------------------
+# ---- tables kept across runs ----------------------------------------------------
 #
-# A table is a folder with data folders (one per run, never changed once written)
-# and a manifest: one row per partition naming the data folder that holds it now.
-# A run writes its partitions into a new data folder and then appends the next
-# version of the manifest as one file.  Readers take the largest version, so a run
-# that stops anywhere before that last step leaves the table as it was.
-
-_MANIFEST = "version long, run_id string, part string, folder string"
-
+# Plain partitioned parquet folders.  A month-like table is changed by overwriting the
+# partitions a batch touches; a table that is rebuilt as a whole keeps one snapshot per
+# run (``run=<id>``), of which readers take the latest.
 
-@dataclass
-class Version:
-    """One version of a table: its number, the run that wrote it and partition -> data folder."""
-    number: int
-    run_id: str | None
-    parts: dict[str | None, str]
 
-
-def versions(spark: SparkSession, path: str) -> list[Version]:
-    """All versions, oldest first (empty when there is no table).  The manifest has
-    a row per partition and version."""
+def read_partitions(spark: SparkSession, path: str, part_col: str) -> DataFrame | None:
+    """The table at ``path``; partition values are text, whatever their folder names look
+    like.  None when there is no table."""
     try:
-        rows = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").collect()
+        found = spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return []
-    out: dict[int, Version] = {}
-    for r in rows:
-        v = out.setdefault(r.version, Version(r.version, r.run_id, {}))
-        if r.folder is not None:
-            v.parts[r.part] = r.folder
-    return [out[k] for k in sorted(out)]
-
-
-def scan(spark: SparkSession, path: str, version: Version, part_col: str, parts=None, schema=None) -> DataFrame:
-    """The rows of a version; ``parts`` restricts the scan to some partitions (static
-    pruning), ``schema`` is that of a table that may have no partition at all."""
-    by: dict[str, list] = {}
-    for part, folder in version.parts.items():
-        if parts is None or part in parts:
-            by.setdefault(folder, []).append(part)
-    if not version.parts:
-        return spark.createDataFrame([], schema)
-    if not by:  # none of the wanted partitions exists: no rows of the same columns
-        folder = next(iter(version.parts.values()))
-        return _data(spark, path, folder, part_col).limit(0)
-    scans = [_data(spark, path, folder, part_col).where(_among(part_col, values))
-             for folder, values in sorted(by.items())]
-    return reduce(DataFrame.unionByName, scans)
-
-
-def _data(spark: SparkSession, path: str, folder: str, part_col: str) -> DataFrame:
-    """A data folder; partition values are text, whatever their folder names look like."""
-    return spark.read.schema(_text_part(spark.read.parquet(f"{path}/data/{folder}").schema, part_col)).parquet(f"{path}/data/{folder}")
-
-
-def _text_part(schema: StructType, part_col: str) -> StructType:
-    return StructType([StructField(f.name, StringType()) if f.name == part_col else f for f in schema.fields])
-
-
-def _among(part_col: str, values: list) -> Column:
+        return None
+    fields = [StructField(f.name, StringType()) if f.name == part_col else f for f in found.schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def among(part_col: str, values: Sequence[str | None]) -> Column:
+    """Whether the partition is one of ``values`` (NULL included); prunes the scan's partitions."""
     known = [v for v in values if v is not None]
     hit = F.col(part_col).isin(known) if known else F.lit(False)
     return hit | F.col(part_col).isNull() if None in values else hit  # isin never matches NULL
 
 
-def _write_data(df: DataFrame, path: str, part_col: str) -> tuple[str, list]:
-    """Write a new data folder; returns its name and the partitions it holds."""
-    folder = uuid.uuid4().hex
-    _by_partition(df, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(f"{path}/data/{folder}")
-    written = df.sparkSession.read.schema(_text_part(df.schema, part_col)).parquet(f"{path}/data/{folder}")  # may be empty
-    return folder, [r[0] for r in written.select(part_col).distinct().collect()]  # one value per partition
-
+def distinct_values(df: DataFrame, col: str) -> set[str | None]:
+    """The partition values of ``df`` (months, runs: as many as the table has folders)."""
+    return {r[0] for r in df.select(col).distinct().collect()}
 
-def _commit(spark: SparkSession, path: str, version: Version) -> None:
-    """Append a version to the manifest as one file: the step that publishes a run."""
-    rows = [(version.number, version.run_id, part, folder) for part, folder in version.parts.items()]
-    rows = rows or [(version.number, version.run_id, None, None)]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
+def replace_partitions(df: DataFrame, path: str, part_col: str, parts: Sequence[str | None]) -> DataFrame:
+    """Overwrite the partitions ``parts`` of the table at ``path`` with ``df``; returns the table.
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, part_col: str,
-                      merge, run_id: str | None = None) -> DataFrame:
-    """Upsert ``source`` into the table at ``path`` partitioned by ``part_col``,
-    rewriting only the partitions the batch touches.
+    ``df`` may be computed from the same table: it is written to the work folder
+    first.  Its partitions replace the old ones; of ``parts``, those it has no row
+    for come out empty.  Other partitions are neither read nor written.
+    """
+    spark = df.sparkSession
+    staged = materialize(df.withColumn(part_col, F.col(part_col).cast("string")), "partitions")
+    held = distinct_values(staged, part_col)
+    if extra := held - set(parts):
+        raise ValueError(f"rows for partitions outside the replaced ones: {sorted(map(str, extra))}")
+    (_by_partition(staged, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+    known = read_partitions(spark, path, part_col)
+    folders = partition_folders(known, part_col) if known is not None else set()
+    for part in (set(parts) - held) & folders:
+        folder = "__HIVE_DEFAULT_PARTITION__" if part is None else quote(part, safe=" -_.,")
+        staged.drop(part_col).limit(0).write.mode("overwrite").parquet(f"{path}/{part_col}={folder}")
+    return read_partitions(spark, path, part_col) or staged
+
+
+def partition_folders(table: DataFrame, part_col: str) -> set[str | None]:
+    """Partition values by the names of the table's files (a listing, no row is read)."""
+    names = {m[1] for f in table.inputFiles() if (m := re.search(f"/{re.escape(part_col)}=([^/]*)/", f))}
+    return {None if n == "__HIVE_DEFAULT_PARTITION__" else unquote(unquote(n)) for n in names}
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, part_col: str) -> tuple[DataFrame, set[str | None]]:
+    """Upsert ``source`` by ``key`` into the table at ``path`` partitioned by ``part_col``;
+    returns the table and the partitions that were rewritten.
 
     Touched are the batch's own values of ``part_col`` and the partitions that now
-    hold a key of the batch (a row that moves must leave its old partition, which
-    may come out empty).  Finding the latter reads only the key column;
-    ``merge(target_slice, source)`` is any of the DataFrame merges and reads only
-    the touched partitions.  The source is written once and read from there.  The
-    merged partitions go to a new data folder and the next manifest drops the
-    touched partitions from the old one, so neither a moved key nor a run that
-    stops half way leaves a row twice or loses one.
+    hold a key of the batch (a row that moves must leave its old partition, which may
+    come out empty).  Finding the latter reads only the key column.  A touched
+    partition's new rows are its rows whose key the batch doesn't have, and the
+    batch's; so a run that stopped between two partitions is mended by repeating it.
     """
     source = materialize(source.withColumn(part_col, F.col(part_col).cast("string")), "source")
-    known = versions(spark, path)
-    if not known or not known[-1].parts:
-        folder, parts = _write_data(merge(source.limit(0), source), path, part_col)
-        new = Version(known[-1].number + 1 if known else 0, run_id, dict.fromkeys(parts, folder))
-    else:
-        last = known[-1]
-        target = scan(spark, path, last, part_col)
-        keys = source.select(key).distinct()
-        moved = target.select(key, part_col).join(keys, key, "left_semi").select(part_col)
-        touched = {r[0] for r in source.select(part_col).union(moved).distinct().collect()}  # partition values
-        held = scan(spark, path, last, part_col, touched)
-        folder, parts = _write_data(merge(held.select(*target.columns), source.select(*target.columns)), path, part_col)
-        rest = {p: f for p, f in last.parts.items() if p not in touched}
-        new = Version(last.number + 1, run_id, rest | dict.fromkeys(parts, folder))
-    _commit(spark, path, new)
-    return scan(spark, path, new, part_col, schema=source.schema)
-
-
-def replace_table(spark: SparkSession, path: str, df: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Publish ``df`` as the whole table at ``path`` (one partition); the old rows
-    stay readable until the new version is complete."""
-    folder, parts = _write_data(df.withColumn("_part", F.lit("all")), path, "_part")
-    known = versions(spark, path)
-    new = Version(known[-1].number + 1 if known else 0, run_id, dict.fromkeys(parts, folder))
-    _commit(spark, path, new)
-    return scan(spark, path, new, "_part", schema=df.withColumn("_part", F.lit("all")).schema).drop("_part")
-
-
-def read_table(spark: SparkSession, path: str, part_col: str = "_part") -> DataFrame | None:
-    """The table's latest version, or None when there is no row."""
-    known = versions(spark, path)
-    return scan(spark, path, known[-1], part_col) if known and known[-1].parts else None
+    own = distinct_values(source, part_col)
+    target = read_partitions(spark, path, part_col)
+    if target is None:
+        return replace_partitions(source, path, part_col, own), own
+    keys = source.select(key)
+    touched = own | distinct_values(target.select(key, part_col).join(keys, key, "left_semi"), part_col)
+    kept = target.where(among(part_col, touched)).join(keys, key, "left_anti")
+    return replace_partitions(kept.select(*source.columns).unionByName(source), path, part_col, touched), touched
+
+
+def runs(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the runs that have a snapshot at ``path``, in text order."""
+    table = read_partitions(spark, path, "run")
+    return sorted(r for r in partition_folders(table, "run") if r is not None) if table is not None else []
+
+
+def read_run(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame | None:
+    """A run's snapshot, by default the latest one's; None when there is none."""
+    known = runs(spark, path)
+    if not known:
+        return None
+    return read_partitions(spark, path, "run").where(F.col("run") == (run_id or known[-1])).drop("run")
+
+
+def run_before(spark: SparkSession, path: str, run_id: str) -> str | None:
+    """The run that ``run_id`` starts from.  The latest run may be repeated, an older one is refused."""
+    known = runs(spark, path)
+    if known and run_id < known[-1]:
+        raise ValueError(f"run {run_id!r} is not the latest run of {path}")
+    before = [r for r in known if r < run_id]
+    return before[-1] if before else None
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Publish ``df`` as the snapshot of a run (again, if the run is repeated): one folder,
+    complete with its last step.  Earlier snapshots stay readable."""
+    staged = materialize(df, "run")  # it may be computed from the snapshot it replaces
+    staged.hint("rebalance").write.mode("overwrite").parquet(f"{path}/run={quote(run_id, safe=' -_.,')}")
+    return read_run(df.sparkSession, path, run_id)
 
 
 def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
@@ -203,39 +208,40 @@ def _by_partition(df: DataFrame, part_col: str) -> DataFrame:
     return df.hint("rebalance", part_col)
 
 
-CURRENT_PARTITION = "current"
-
+def upsert_history(spark: SparkSession, path: str, run_id: str, merge, sk_col: str, current_col: str = "IsCurrent") -> DataFrame:
+    """One run of a history-keeping table: ``current`` holds a snapshot of the current versions
+    per run, ``closed`` the versions that each run closed.
 
-def upsert_history_partitioned(spark: SparkSession, path: str, source: DataFrame, run_id: str,
-                               merge, sk_col: str, current_col: str = "IsCurrent",
-                               part_col: str = "VersionSet") -> DataFrame:
-    """History-keeping upsert into a table partitioned by version set.
-
-    Current versions live in partition ``current``; the versions a run closes go
-    to a new partition ``run_<run_id>``.  Each run reads only the current partition
-    (plus one narrow scan of the key column for the largest key);
-    ``merge(current_versions, source, key_start)`` is the SCD2 merge.  Older
-    history partitions are never rewritten.  Repeating the latest run starts again
-    from the table as it was before that run, so its result is that of running
-    once; an older run id is refused.
+    ``merge(current_versions or None, key_start)`` is the SCD2 merge; it reads the current
+    versions before the run only, and closed ones are never read again (but their key
+    column, for the largest key) nor rewritten.  The closed versions are written before
+    the current ones, so a run that stops in between is mended by repeating it, and
+    a repeated run starts from the tables before it.  Returns all versions with
+    ``VersionSet``: ``current`` or the ``run_<id>`` that closed them.
     """
-    run_part = f"run_{run_id}"
-    known = versions(spark, path)
-    number = known[-1].number + 1 if known else 0
-    while known and known[-1].run_id == run_id:
-        known.pop()
-    if any(v.run_id == run_id for v in known):
-        raise ValueError(f"run {run_id!r} is not the latest run of {path}")
-    if known and known[-1].parts:
-        base = known[-1]
-        table = scan(spark, path, base, part_col)
-        current = scan(spark, path, base, part_col, {CURRENT_PARTITION}).drop(part_col)
-        merged = merge(current, source, F.coalesce(table.agg(F.max(sk_col)).scalar(), F.lit(0)))
-        rest = {p: f for p, f in base.parts.items() if p != CURRENT_PARTITION}
-    else:
-        merged, rest = merge(None, source, F.lit(0)), {}
-    part = F.when(F.col(current_col), F.lit(CURRENT_PARTITION)).otherwise(F.lit(run_part))
-    folder, parts = _write_data(merged.withColumn(part_col, part), path, part_col)
-    new = Version(number, run_id, rest | dict.fromkeys(parts, folder))
-    _commit(spark, path, new)
-    return scan(spark, path, new, part_col, schema=merged.withColumn(part_col, part).schema)
+    before = run_before(spark, f"{path}/current", run_id)
+    current = read_run(spark, f"{path}/current", before) if before is not None else None
+    start = F.lit(0)
+    if current is not None:
+        largest = current.agg(F.max(sk_col)).first()[0] or 0
+        closed = _closed(spark, path, before)
+        if closed is not None:
+            largest = max(largest, closed.agg(F.max(sk_col)).first()[0] or 0)
+        start = F.lit(largest)
+    merged = materialize(merge(current, start), "history")
+    is_current = F.coalesce(F.col(current_col), F.lit(False))
+    write_run(merged.where(~is_current), f"{path}/closed", run_id)
+    write_run(merged.where(is_current), f"{path}/current", run_id)
+    return read_history(spark, path)
+
+
+def _closed(spark: SparkSession, path: str, last: str) -> DataFrame | None:
+    table = read_partitions(spark, f"{path}/closed", "run")
+    return table.where(F.col("run") <= last) if table is not None else None
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All versions after the latest complete run."""
+    last = runs(spark, f"{path}/current")[-1]
+    now = read_run(spark, f"{path}/current", last).withColumn("VersionSet", F.lit("current"))
+    return now.unionByName(_closed(spark, path, last).withColumn("VersionSet", F.concat(F.lit("run_"), "run")).drop("run"))

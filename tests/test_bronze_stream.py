@@ -51,3 +51,26 @@ def test_later_drop_with_more_columns(spark):
     spark.createDataFrame([("2", "b", "c")], "id string, v string, w string").write.parquet(f"{landing}/drop=2")
     out = load_incremental(spark, landing, "id string, v string, w string", target, ckpt, fmt="parquet", recursive=True, lineage=True)
     assert sorted((r.id, r.v, r.w, r.SourceFile is not None) for r in out.collect()) == [("1", "a", None, False), ("2", "b", "c", True)]
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    """Too few and too many fields, unclosed quotes: quarantined with file and line, counted, loaded once."""
+    from ledgerlake.plans.rejects import reject_counts, run_rejects
+
+    land = {n: tmp_path / n for n in ("customer_raw", "account_raw", "transaction_raw")}
+    for p in land.values():
+        p.mkdir()
+    (land["customer_raw"] / "c.csv").write_text(customers_csv("c1", "c3"))
+    (land["transaction_raw"] / "t.csv").write_text(TRANSACTIONS)
+    header = "AccountID,CustomerID,AccountType,Currency,OpenDate\n"
+    bad = ["A2,C1,Savings,UGX", "A3,C1,Savings,UGX,01/01/2024,x", 'A4,C1,"Savings,UGX,01/01/2024', 'A5,C1,Savings,UGX,"01/01/2024']
+    (land["account_raw"] / "one.csv").write_text(header + 'A1,C1,"Savings, fixed",UGX,01/01/2024\n\n' + "\n".join(bad[:2]) + "\n")
+    (land["account_raw"] / "two.csv").write_text(header + "\n".join(bad[2:]) + '\nA6,C1,"Mo""bile",UGX,01/02/2024\nA7,,,,\n')
+    root, dirs = work_path(spark, "bronze-bad"), {k: str(v) for k, v in land.items()}
+    for _ in range(2):
+        b = ingest_bronze(spark, dirs, root)
+        assert sorted((r.AccountID, r.AccountType) for r in b.account_raw.collect()) == [("A1", "Savings, fixed"), ("A6", '"Mo""bile"'), ("A7", None)]
+        held = sorted((r.TableName, r.RawFile.rsplit("/", 1)[-1], r.RawLine) for r in b.quarantine.collect())
+        assert held == sorted(("account", "one.csv" if i < 2 else "two.csv", line) for i, line in enumerate(bad))
+    counts = {(r.TableName, r.Rule): r.Rows for r in reject_counts(run_rejects(b.customer_raw, b.account_raw, b.transaction_raw, b.quarantine)).collect()}
+    assert counts["account", "malformed_line"] == 4 and ("customer", "malformed_line") not in counts

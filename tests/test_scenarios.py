@@ -248,7 +248,7 @@ def test_partitioned_fact_equals_snapshot(layers, spark, tmp_path_factory):
 def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
     from ledgerlake.plans.layers import upsert_customer_dim_partitioned
     from ledgerlake.session import work_path
-    from ledgerlake.sources.tables import versions
+    from ledgerlake.sources.tables import runs
     base = tmp_path_factory.mktemp("pdim")
     b1 = _customers(spark, base, "cust_a", ["c1", "c3", "c4", "c5", "c6", "c8"], "2025-04-01 10:00:00")
     b2 = _customers(spark, base, "cust_b", ["c2", "c7"], "2025-04-02 10:00:00")
@@ -262,7 +262,7 @@ def test_partitioned_customer_dim_keeps_history_files(spark, tmp_path_factory):
     assert len(rows) == 6 and rows == first
     assert ("C005", "Brian K", D(2025, 2, 2), D(2025, 3, 5), False, 4) in rows
     assert ("C005", "Brian K ", D(2025, 3, 5), None, True, 6) in rows
-    assert sorted(versions(spark, path)[-1].parts) == ["current", "run_2"]
+    assert runs(spark, f"{path}/current") == runs(spark, f"{path}/closed") == ["1", "2"]
 
 
 def test_salted_fact_job_equals_plain(layers, spark, tmp_path_factory):
