@@ -34,9 +34,9 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def table_bytes(df: DataFrame, *cols: str) -> int:
-    """Sum of the UTF-8 / binary lengths of ``cols`` over all rows (one narrow pass)."""
-    total = sum((F.coalesce(F.octet_length(quoted(c)), F.lit(0)).cast("long") for c in cols), F.lit(0).cast("long"))
+def table_bytes(df: DataFrame, *cols: str, per_row: int = 0) -> int:
+    """Sum of the UTF-8 / binary lengths of ``cols`` over all rows (one narrow pass), and ``per_row`` for each row."""
+    total = sum((F.coalesce(F.octet_length(quoted(c)), F.lit(0)).cast("long") for c in cols), F.lit(per_row).cast("long"))
     return df.agg(F.sum(total)).first()[0] or 0
 
 

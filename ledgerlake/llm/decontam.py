@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, quoted
+from .common import materialize, quoted, table_bytes
 
 #: Everything that is no word character: ASCII other than 0-9, A-Z and a-z.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Rows of a benchmark-sized table up to which it is broadcast; beyond, Spark joins by shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes of words of a benchmark-sized table up to which it is broadcast; beyond, Spark joins by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def lower_ascii(text: Column) -> Column:
@@ -30,9 +30,14 @@ def raw_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), _GAP), "")
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table counted at ``rows`` rows, if that is within the bound."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def is_small(table: DataFrame, *word_cols: str) -> bool:
+    """Whether a written table's rows and the bytes of its words are within the broadcast bound (a word may be a whole text)."""
+    return table.count() <= BROADCAST_ROWS and table_bytes(table, *word_cols) <= BROADCAST_BYTES
+
+
+def small(df: DataFrame, measured: bool) -> DataFrame:
+    """Broadcast a table (or its narrower projection) that was measured to be small."""
+    return F.broadcast(df) if measured else df
 
 
 def benchmark_words(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,7 +48,7 @@ def benchmark_words(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
                        "benchmark-words")
 
 
-def build_index(df: DataFrame, vocabulary: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+def build_index(df: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The stored index: (doc, doc_id, n_words, pos, word).
 
     ``word`` is a benchmark word.  Each document's first row is kept whatever its
@@ -51,10 +56,10 @@ def build_index(df: DataFrame, vocabulary: DataFrame, rows: int, id_col: str, te
     """
     words = df.select(F.monotonically_increasing_id().alias("doc"), quoted(id_col).alias("doc_id"), raw_words(quoted(text_col)).alias("words"))
     each = words.select("doc", "doc_id", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("pos", "raw"))
-    # lower() also lowers letters beyond A-Z, so other than plain ASCII words are compared again
+    # lower() is cheaper and does the same to words of ASCII alone
     plain = F.octet_length("raw") == F.char_length("raw")
-    known = small(vocabulary.select("word", F.lower("word").alias("low")), rows)
-    index = (each.join(known, (F.lower("raw") == F.col("low")) & (plain | (lower_ascii(F.col("raw")) == F.col("word"))), "left")
+    known = small(vocabulary.select("word"), is_small(vocabulary, "word"))
+    index = (each.join(known, F.when(plain, F.lower("raw")).otherwise(lower_ascii(F.col("raw"))) == F.col("word"), "left")
              .where(F.col("word").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
              .select("doc", "doc_id", "n_words", "pos", "word"))
     return materialize(index, "postings")
@@ -77,13 +82,14 @@ def windows_by_rarity(words: DataFrame, postings: DataFrame, size: int, depth: i
     return sets.select("item", "length", *(F.get("rare", F.lit(j))[c].alias(f"{c}{j + 1}") for j in range(depth) for c in ("k", "word"))).distinct()
 
 
-def alignments(index: DataFrame, rare: DataFrame, rows: int, depth: int) -> DataFrame:
+def alignments(index: DataFrame, rare: DataFrame, depth: int) -> DataFrame:
     """(doc, item, at): where the shifted postings of a window's rarest words all meet."""
     postings = index.select("doc", "pos", "word").where(F.col("word").isNotNull())
-    found = (postings.join(small(rare, rows), F.col("word") == F.col("word1"))
+    measured = is_small(rare, *(f"word{j}" for j in range(1, depth + 1)))
+    found = (postings.join(small(rare, measured), F.col("word") == F.col("word1"))
              .withColumn("at", F.col("pos") - F.col("k1")).drop("pos", "word"))
     for j in range(2, depth + 1):
-        own = (postings.join(small(rare.select(F.col(f"word{j}").alias("word")).distinct(), rows), "word", "left_semi")
+        own = (postings.join(small(rare.select(F.col(f"word{j}").alias("word")).distinct(), measured), "word", "left_semi")
                .select(F.col("doc").alias("doc_j"), F.col("pos").alias("pos_j"), F.col("word").alias("word_j")))
         short = found.where(F.col(f"word{j}").isNull())  # windows of fewer words
         met = (found.join(own, (F.col("doc") == F.col("doc_j")) & (F.col("at") + F.col(f"k{j}") == F.col("pos_j"))
@@ -115,16 +121,15 @@ def proximity_matches(df: DataFrame, benchmark: DataFrame, slop: int, size: int
     to the rarest one.  Empty, null and repeated rows as in ``contamination``."""
     words = benchmark_words(benchmark, item_col, text_col)
     vocabulary = materialize(words.select("word").distinct(), "vocabulary")
-    n = vocabulary.count()
-    index = build_index(df, vocabulary, n, id_col, text_col)
+    index = build_index(df, vocabulary, id_col, text_col)
     postings = index.select("doc", "pos", "word").where(F.col("word").isNotNull())
     rare = materialize(windows_by_rarity(words, postings, size, terms), "rare")
-    rows = rare.count()
-    found = (postings.join(small(rare, rows), F.col("word") == F.col("word1"))
+    measured = is_small(rare, *(f"word{j}" for j in range(1, terms + 1)))
+    found = (postings.join(small(rare, measured), F.col("word") == F.col("word1"))
              .withColumn("at", F.col("pos") - F.col("k1")).drop("pos", "word"))
     for j in range(2, terms + 1):
         # equal cells of slop + 1 positions, or neighbouring ones, hold all displacements up to slop
-        own = (postings.join(small(rare.select(F.col(f"word{j}").alias("word")).distinct(), rows), "word", "left_semi")
+        own = (postings.join(small(rare.select(F.col(f"word{j}").alias("word")).distinct(), measured), "word", "left_semi")
                .select(F.col("doc").alias("doc_j"), F.col("pos").alias("pos_j"), F.col("word").alias("word_j"),
                        F.floor(F.col("pos") / (slop + 1)).alias("cell")))
         goal = F.col("at") + F.col(f"k{j}")
@@ -151,13 +156,14 @@ def contamination(df: DataFrame, benchmark: DataFrame, size: int = 13, depth: in
     text are not read; an empty table of documents gives an empty result, an empty
     benchmark no hits.
 
-    Broadcast are only tables made of benchmark words, behind a count.
+    Only A-Z are lowered: other letters whose lower case is ASCII (the Kelvin sign) stay as they are.
+    Broadcast are only tables made of benchmark words, behind a count of rows and bytes.
     """
     words = benchmark_words(benchmark, item_col, text_col)
     vocabulary = materialize(words.select("word").distinct(), "vocabulary")
-    index = build_index(df, vocabulary, vocabulary.count(), id_col, text_col)
+    index = build_index(df, vocabulary, id_col, text_col)
     rare = materialize(windows_by_rarity(words, index.where(F.col("word").isNotNull()), size, depth), "rare")
-    hits = materialize(phrase_hits(index, words, alignments(index, rare, rare.count(), depth), size), "hits")
+    hits = materialize(phrase_hits(index, words, alignments(index, rare, depth), size), "hits")
     n_hit = (hits.select("doc", F.explode(F.sequence("start", "stop")).alias("pos")).distinct()
              .groupBy("doc").agg(F.count("*").alias("n_hit")))
     ids = words.select("item", "item_id").distinct()

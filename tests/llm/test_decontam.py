@@ -103,3 +103,24 @@ def test_plan_has_no_python(spark):
     _, _, d, b = frames(spark)
     plan = contamination(d, b)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("PythonUDF", "MapInArrow", "MapInPandas"))
+
+
+def test_letters_that_only_lower_to_ascii(spark):
+    """The Kelvin and Angstrom signs are no k and no a-ring: one row per document, no false items."""
+    docs = [(1, "zz 300k"), (2, "k alpha beta"), (3, "300\u212a and more"), (4, "\u212b x"), (5, "\u212A alpha beta"), (6, "K ALPHA")]
+    items = [(1, "300\u212a"), (2, "\u212a alpha beta"), (3, "k alpha"), (4, "\u00e5 x"), (5, "\u212b x")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in contamination(d, i).collect())
+    assert got == plain(docs, items)
+
+
+def test_words_beyond_the_broadcast_bound(spark, monkeypatch):
+    from ledgerlake.llm import decontam
+
+    docs, items = tables()
+    docs.append((900, "\u65e5" * 5000 + " the"))
+    items = [*items, (900, "\u65e5" * 5000)]
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 2000)
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in contamination(d, i).collect()), key=repr)
+    assert got == plain(docs, items)
