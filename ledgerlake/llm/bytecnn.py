@@ -149,10 +149,12 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_rows: int, max_by
                   seed: int = 1) -> tuple[list[bytes], list[int]]:
     """A seeded sample of labelled texts outside the held-out fold.
 
-    At most ``max_rows`` texts and ``max_bytes`` bytes come to the driver: the
-    sample is cut at the row where the running size passes ``max_bytes``.  A
-    document labelled several times takes its smallest label; of several rows
-    with one id, the one with the smallest text hash is taken.
+    At most ``max_rows`` texts and ``max_bytes`` bytes come to the driver: a text
+    that doesn't fit into what is left of ``max_bytes`` is left out, the rows behind it
+    are not.  Labelled rows of which none fits raise.  A document labelled several
+    times takes its smallest label; of several rows with one id, the one with the
+    smallest text hash is taken.  A null text is an empty one; null ids and labels
+    take no part; no labelled row at all gives two empty lists.
     """
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
@@ -163,11 +165,13 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_rows: int, max_by
              .groupBy("doc_id", "quality").agg(F.min(F.struct("h", "size")).alias("one")).collect())
     keep, total = {}, 0
     for r in sorted(sizes, key=lambda r: (hash_order(r.doc_id, seed), r.doc_id)):
+        if total + r.one.size > max_bytes:
+            continue
         total += r.one.size
-        if total > max_bytes:
-            break
         keep[r.doc_id] = (r.quality, r.one.h)
     if not keep:
+        if sizes:
+            raise ValueError(f"none of {len(sizes)} labelled texts fits into max_bytes={max_bytes}")
         return [], []
     spark = documents.sparkSession
     wanted = spark.createDataFrame([(d, h) for d, (_, h) in keep.items()], "doc_id long, h long")
@@ -184,7 +188,11 @@ def hash_order(doc_id: int, seed: int) -> int:
 
 def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 16 << 20, seed: int = 1,
         **options) -> Weights:
-    """Weights learned from a bounded sample of labelled rows (``training_rows``)."""
+    """Weights learned from a bounded sample of labelled rows (``training_rows``).
+
+    Without any labelled row (empty tables, null labels) nothing is learned and the
+    seeded start weights are returned; an empty text is learned like any other.
+    """
     items, marks = training_rows(documents, labels, max_rows, max_bytes, seed)
     return train(items, marks, seed=seed, **options)
 

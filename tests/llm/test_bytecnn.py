@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import bytecnn as cnn
@@ -94,3 +95,14 @@ def test_sample_bounds_and_empty_tables(spark):
     weights = fit(df, labels.limit(0))
     assert score_documents(df.limit(0), weights).count() == 0
     assert score_documents(df, weights).count() == df.count()
+
+
+def test_a_long_text_does_not_end_the_sample(spark):
+    rows = [(i, "x" * (20_000 if i == 5 else 300), i % 2) for i in range(1, 50)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    fold = {r[0] for r in df.select("doc_id").where(~cnn.held_out(F.col("doc_id"))).collect()}
+    items, _ = cnn.training_rows(df, labels, 100, 16_000)
+    assert len(items) == len(fold - {5})
+    with pytest.raises(ValueError, match="none of"):
+        cnn.training_rows(df, labels, 100, 200)
