@@ -30,6 +30,8 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
 
 #: Rows of the table of bucket sizes up to which it is broadcast.
 BROADCAST_ROWS = 500_000
+#: What a row counts in a bucket besides its text.
+ROW_BYTES = 64
 
 
 def shuffle_records(df: DataFrame, seed: int = 7, bucket_bytes: int = 8 << 20, text_col: str = "text") -> tuple[DataFrame, list[str], int]:
@@ -39,7 +41,7 @@ def shuffle_records(df: DataFrame, seed: int = 7, bucket_bytes: int = 8 << 20, t
     """
     bucket, turn, place = fresh(df, "bucket", "turn", "place")
     rows = df.withColumn(place, F.monotonically_increasing_id())
-    buckets = max(1, -(-table_bytes(df, text_col) // bucket_bytes))
+    buckets = max(1, -(-table_bytes(df, text_col, per_row=ROW_BYTES) // bucket_bytes))
     rows = (rows.withColumn(turn, F.xxhash64(F.lit(seed), place))
             .withColumn(bucket, F.pmod(turn, F.lit(buckets))))
     names = [*df.columns, bucket, place]
@@ -64,7 +66,8 @@ def shard(df: DataFrame, shards: int = 8, seed: int = 7, bucket_bytes: int = 8 <
     A row's place in the input decides its bucket (the input must be a stable
     scan), so neither a frequent id nor a third of all rows being equal makes a
     bucket hot; null ids and texts, empty and repeated rows are rows like any
-    other.  A bucket holds about ``bucket_bytes`` of text at any scale; a single
+    other.  A bucket holds about ``bucket_bytes`` at any scale, a
+    row counting its text and a fixed cost (so rows without text fill buckets, too); a single
     longer text is one row of it.  The table of bucket sizes has one row per
     bucket.  An empty table gives an empty result.
     """

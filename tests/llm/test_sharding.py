@@ -52,3 +52,12 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == {0: 18, 1: 17, 2: 17, 3: 17}
     assert shard(df.limit(0)).count() == 0
+
+
+def test_rows_without_text_fill_buckets(spark):
+    from ledgerlake.llm.sharding import shuffle_records
+
+    df = spark.range(200_000).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text")
+    written, (bucket, _), buckets = shuffle_records(df, bucket_bytes=1 << 20)
+    assert buckets == 13 and written.groupBy(bucket).count().agg(F.max("count")).first()[0] < 25_000
+    assert shard(df, 8, bucket_bytes=1 << 20).groupBy("shard").count().collect() == shard(df, 8, bucket_bytes=1 << 20).groupBy("shard").count().collect()
