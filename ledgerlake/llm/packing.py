@@ -68,6 +68,10 @@ def ids_of(path: str) -> Ids:
     return Ids(path)
 
 
+#: What a document counts in a group besides its text.
+ROW_BYTES = 64
+
+
 class SumOfSquares:
     """Places items of 1 to ``capacity - 1`` units into windows, online."""
 
@@ -142,11 +146,12 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
     Texts are tokenized where they are read and only ids are shuffled.  Groups
     are dealt by a hash of the document and its place in the input (which must
     be a stable scan), so a document repeated any number of times is spread over
-    all groups; a group holds about ``group_bytes`` of text at any scale, and a
-    document longer than that is one (larger) group member.
+    all groups; a group holds about ``group_bytes`` at any scale (a document
+    counts its text and a fixed cost), and a document longer than that is one
+    (larger) group member.
     """
     kind = df.select(quoted(id_col)).schema[0].dataType.simpleString()
-    groups = max(1, -(-table_bytes(df, text_col) // group_bytes))
+    groups = max(1, -(-table_bytes(df, text_col, per_row=ROW_BYTES) // group_bytes))
     rows = df.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"),
                      F.monotonically_increasing_id().alias("place"))
     close = np.array([end_id], "<u4").tobytes()
