@@ -47,6 +47,8 @@ def blocks(rows: DataFrame, block_rows: int) -> DataFrame:
             for a in range(0, batch.num_rows, block_rows):
                 part = batch.slice(a, block_rows)
                 ids, m = part.column(0).to_numpy(), matrix(part.column(1))
+                if float(np.abs(m.astype(np.float64)).max(initial=0)) ** 2 * m.shape[1] >= 2**63:
+                    raise OverflowError("vector components are too large: their scores would not fit a long")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes()], pa.binary()) for x in (ids, m, m.max(axis=0), m.min(axis=0))]
                     + [pa.array([m.shape[1]], pa.int32())], names=["ids", "weights", "high", "low", "terms"])
@@ -122,7 +124,8 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block
     are candidates one by one; of several query rows with one id the smallest
     vector is the query.  Null vectors or ids and null or non-finite components
     take no part; shorter vectors count as filled up with zeros; other columns
-    are not read.  An empty table gives an empty result.
+    are not read.  An empty table gives an empty result.  Finite components so large
+    that a score might not fit a long raise.
 
     Queries go through the index slab by slab: a slab holds at most
     ``slab_bytes`` of query vectors (at least one block), which is all that the

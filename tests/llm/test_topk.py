@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.topk import Best, search, top_k
@@ -63,3 +64,9 @@ def test_large_products_stay_exact():
     best = Best(np.array([-1]), 1)
     search(q, [(np.array([4, 5]), m, m.max(axis=0), m.min(axis=0))], best)
     assert best.found[0] == [(-((1 << 67) + 2), 5)]
+
+
+def test_too_large_components_raise(spark):
+    df = spark.createDataFrame([(0, [1e300, 0.0]), (50, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="would not fit a long"):
+        got(df)
