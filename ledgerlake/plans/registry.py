@@ -24,8 +24,9 @@ from ..operators.interval_index import asof_lookup_indexed
 from ..operators.keys import assign_keys, in_test, split_hash
 from ..operators.lookup import asof_lookup, current_lookup, left_lookup
 from ..operators.merge import scd2_close
-from ..schemas import FEATURE_COLUMNS, LINEAGE
+from ..schemas import ACCOUNT_DIM, CUSTOMER_DIM, CUSTOMER_TRACKED, FEATURE_COLUMNS, LINEAGE
 from ..session import work_path
+from ..sources.buckets import scd1_bucketed, scd2_bucketed, upsert_bucketed
 from ..sources.raw import add_columns, backfill_nulls, read_raw, with_lineage
 from ..sources.tables import alter_add_columns, append_by_name, append_table, overwrite_table, publish, read_partitions, replace_partitions
 from ..streaming.incremental import load_incremental, quarantined
@@ -231,7 +232,6 @@ def q_scd2_merge(spark, d):
 def q_scd2_close(spark, d):
     s = S(spark, d)
     src = silver.dedup_customers(silver.stage_customers(silver.newer_loads(s.customer_raw[2], driver.BATCH1_INGESTED)))
-    from ..schemas import CUSTOMER_TRACKED
     return scd2_close(s.customer_dim_1, src, "CustomerID", CUSTOMER_TRACKED)
 
 
@@ -861,6 +861,60 @@ def q_scd2_merge_partitioned(spark, d):
     return upsert_customer_dim_partitioned(s.customer_raw[2], path, "3", since=driver.BATCH1_INGESTED)
 
 
+def fresh_database(spark: SparkSession, name: str) -> str:
+    """A new database whose tables lie in the shared work folder."""
+    path = work_path(spark, name)
+    db = "ledgerlake_" + re.sub(r"\W", "_", path.rsplit("/", 1)[-1])
+    spark.sql(f"CREATE DATABASE `{db}` LOCATION '{path}'")
+    return db
+
+
+# ============================ bucketed tables (S13, S14, S16) ===================
+
+#: Buckets of the registered queries' tables; at volume a bucket is a join task's share of the target.
+BUCKETS = 16
+
+
+@register("fact_upsert_bucketed", sql(f"SELECT {FACT_OUT} FROM fact_merged", "fact_merged"))
+def q_fact_upsert_bucketed(spark, d):
+    """The two deliveries of ``fact_upsert`` into a table bucketed by TransactionID: the second joins
+    it without shuffling it."""
+    s = S(spark, d)
+    raw = driver.transaction_raw(spark, d, keep_true_date=True)
+    b1 = raw.where(F.col("_true_date") < F.lit("1998-01-01").cast("date")).drop("_true_date")
+    b2 = (raw.where(F.col("_true_date") >= F.lit("1997-07-01").cast("date")).drop("_true_date")
+          .withColumn("RiskScore", F.concat("RiskScore", F.lit("0"))))
+    name = f"{fresh_database(spark, 'bucketed')}.transaction_fact"
+    for run, batch in (("1", b1), ("2", b2)):
+        out = upsert_bucketed(silver.fact_source(batch, s.customer_dim, s.account_dim), name, run, "TransactionID", BUCKETS)
+    return out
+
+
+@register("scd1_merge_bucketed", sql("SELECT * FROM acct_merged", "acct_merged"))
+def q_scd1_merge_bucketed(spark, d):
+    """The two deliveries of ``scd1_merge`` into a table bucketed by AccountID."""
+    s = S(spark, d)
+    raw = driver.account_raw(spark, d)
+    early = (driver.table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+             .select(F.col("o_custkey").cast("string").alias("CustomerID")))
+    name = f"{fresh_database(spark, 'bucketed')}.account_dim"
+    for run, batch in (("1", raw.join(early, "CustomerID", "left_semi")), ("2", raw.withColumn("AccountType", F.lower("AccountType")))):
+        source = silver.dedup_accounts(silver.stage_accounts(batch, s.customer_dim))
+        out = scd1_bucketed(source, silver.empty(spark, ACCOUNT_DIM), name, run, "AccountID", "AccountSK",
+                            ["CustomerSK", "AccountType", "Currency", "OpenDate"], BUCKETS)
+    return out
+
+
+@register("scd2_merge_bucketed", sql("SELECT * FROM dim2", "dim2"))
+def q_scd2_merge_bucketed(spark, d):
+    """The customer dimension's three runs into a table bucketed by CustomerID, each reading one load."""
+    s, name = S(spark, d), f"{fresh_database(spark, 'bucketed')}.customer_dim"
+    for run, (raw, since) in enumerate(zip(s.customer_raw, (None, driver.BATCH0_INGESTED, driver.BATCH1_INGESTED))):
+        source = silver.dedup_customers(silver.stage_customers(silver.newer_loads(raw, since)))
+        out = scd2_bucketed(source, silver.empty(spark, CUSTOMER_DIM), name, str(run), "CustomerID", CUSTOMER_TRACKED, "CustomerSK", BUCKETS)
+    return out
+
+
 # ============================ incremental features and gold =====================
 
 #: Months that the incremental queries change after the tables were built.
@@ -942,14 +996,6 @@ def q_gold_incremental(spark, d):
 # ============================ stored tables and views (S7-S9, S11, O1) ==========
 
 
-def fresh_database(spark: SparkSession, name: str) -> str:
-    """A new database whose tables lie in the shared work folder."""
-    path = work_path(spark, name)
-    db = "ledgerlake_" + re.sub(r"\W", "_", path.rsplit("/", 1)[-1])
-    spark.sql(f"CREATE DATABASE `{db}` LOCATION '{path}'")
-    return db
-
-
 @register("alter_append", sql("""
 SELECT CustomerID, CustomerName, CASE WHEN IngestionDate > TIMESTAMP '1998-01-01' THEN SourceFile END AS SourceFile FROM c_raw2""", "c_raw2"))
 def q_alter_append(spark, d):
