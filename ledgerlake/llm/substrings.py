@@ -10,11 +10,11 @@ segments whose anchor with that many bytes before or after it occurs in one docu
 only cannot hold a repeat and are left out; equal segments are reduced to
 one string with its smallest id.  The remaining strings form shards.  Each shard's
 suffixes are sorted once; the shards' Burrows-Wheeler transforms are then merged by
-interleave refinement: starting from all of one shard before all of the other, each
-pass stably sorts the interleaved symbols and so settles the order by one byte more,
-without sorting suffixes again.  The pass in which two neighbours part is the length
-of their common prefix; after ``size`` passes the intervals that are left are the
-repeated strings, and each takes the smallest id of its members.
+interleave refinement: each pass prepends a byte to the intervals that hold suffixes
+of several shards and so settles the order by one byte more, without sorting suffixes
+again.  The pass in which an interval parts is the length of the common prefix; after
+``size`` passes the intervals that are left are the strings that the shards share, and each
+takes the smallest id of its members.
 """
 
 from __future__ import annotations
@@ -92,9 +92,9 @@ def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return data[np.cumsum(at)]
 
 
-def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, begins): a sort of ``keys`` and where each run of equal keys begins in it."""
-    order = np.argsort(keys, kind="stable")
+def groups(keys: np.ndarray, kind: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, begins): a sort of ``keys`` (``kind`` "stable" keeps equal ones in order) and where each run of equal keys begins in it."""
+    order = np.argsort(keys, kind=kind)
     s = keys[order]
     return order, np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
 
@@ -142,7 +142,7 @@ def segments(docs: list[tuple[int, int, bytes]], size: int, bins: int):
     sent[order] = ids[owner][order] == least
     bin_of = ((grams[anchor] >> np.uint64(11)) % np.uint64(bins)).astype(np.int64)
     origin = (stops - lengths)[owner]
-    by_bin, starts = groups(bin_of)
+    by_bin, starts = groups(bin_of, "stable")
     pack = zstandard.ZstdCompressor(level=3)
     for chosen in np.split(by_bin, starts[1:]):
         known, local = np.unique(owner[chosen], return_inverse=True)
@@ -158,58 +158,110 @@ def segments(docs: list[tuple[int, int, bytes]], size: int, bins: int):
 
 # ---- merging Burrows-Wheeler transforms ------------------------------------------------------
 
+#: Symbols (9 bits each) that are compared at once before the passes begin.
+HEAD = 7
+
 
 class Shard:
-    """Suffixes in order and their Burrows-Wheeler transform; symbol 0 ends a string."""
+    """One shard's suffixes in the order of their first ``depth`` symbols: ``order`` (their numbers),
+    ``bwt`` (the symbol before each; 0 before a string's first), ``back`` (the place of the
+    suffix that begins with that symbol), ``head`` (their first ``HEAD`` symbols) and
+    ``begins`` (where the classes of equal first ``depth`` symbols begin)."""
 
-    def __init__(self, order: np.ndarray, bwt: np.ndarray, strings: int):
-        self.order, self.bwt, self.strings = order, bwt, strings
+    def __init__(self, order: np.ndarray, bwt: np.ndarray, head: np.ndarray, begins: np.ndarray):
+        self.order, self.bwt, self.head, self.begins = order, bwt, head, begins
+        self.back = np.empty(len(bwt), np.int32)  # a shard has far fewer than 2**31 symbols
+        self.back[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
 
 
 def shard_of(symbols: np.ndarray, origin: int, depth: int) -> Shard:
-    """Sort the suffixes of one shard by their first ``depth`` symbols or more (prefix doubling).
+    """Sort the suffixes of one shard once, by their first ``depth`` symbols (prefix doubling).
 
     ``symbols``: strings, each ended by 0.  Suffixes are numbered from ``origin``.
     """
     n = len(symbols)
     ends = np.flatnonzero(symbols == 0)
     left = np.repeat(ends, np.diff(np.append(-1, ends))) - np.arange(n)  # symbols before the end
-    rank, h = symbols.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    head, h = np.zeros(n, np.int64), min(HEAD, depth)
+    for k in range(h):
+        head <<= 9
+        m = max(0, n - k)
+        head[:m] |= np.where(left[:m] >= k, symbols[k:], 0)  # nothing after the end of a string
+    order, begins = groups(head)
+    rank = numbers(order, begins)
     while h < depth:
+        step = min(h, depth - h)  # the last step reaches ``depth`` by overlapping
         further = np.zeros(n, np.int64)
-        further[: n - h] = rank[h:]
-        further[left < h] = 0  # nothing after the end of a string
-        key = rank * (int(rank.max()) + 1) + further
-        order, begins = groups(key)
-        rank, h = numbers(order, begins), 2 * h
+        further[: max(0, n - step)] = rank[step:]
+        further[left < step] = 0
+        order, begins = groups(rank * (int(rank.max(initial=0)) + 1) + further)
+        rank, h = numbers(order, begins), h + step
     before = np.append(np.uint16(0), symbols[:-1])  # a string begins after another's end
-    return Shard(order + origin, before[order], len(ends))
-
-
-def merge(a: Shard, b: Shard, depth: int) -> tuple[Shard, np.ndarray, np.ndarray]:
-    """The merged shard, the common-prefix length of each suffix with the one before
-    it (``depth`` if it is that or more), and the interval number of each suffix."""
-    n, strings = len(a.bwt) + len(b.bwt), a.strings + b.strings
-    from_b = np.zeros(n, bool)
-    from_b[len(a.bwt):] = True
-    interval, lcp = np.zeros(n, np.int64), np.full(n, depth, np.int64)
-    lcp[:1] = 0
-    symbol = np.empty(n, a.bwt.dtype)
-    for done in range(depth):
-        symbol[~from_b], symbol[from_b] = a.bwt, b.bwt
-        inner = np.flatnonzero(symbol)  # ends of strings come first and stay in their order
-        source = inner[np.argsort(symbol[inner], kind="stable")]
-        s, i = symbol[source], interval[source]
-        new = np.zeros(n, bool)
-        new[strings:] = np.append(True, (s[1:] != s[:-1]) | (i[1:] != i[:-1]))[: n - strings]
-        lcp[new & (lcp == depth)] = done
-        from_b = np.concatenate([np.zeros(a.strings, bool), np.ones(b.strings, bool), from_b[source]])
-        interval = np.cumsum(new)
-    symbol[~from_b], symbol[from_b] = a.bwt, b.bwt
-    order = np.empty(n, np.int64)
-    order[~from_b], order[from_b] = a.order, b.order
-    return Shard(order, symbol, strings), lcp, interval
+    return Shard(order + origin, before[order], head[order], begins)
+
+
+def places(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of the ranges [low, low + count)."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat((low - (ends - count)).astype(np.int32), count)
+
+
+def shared_keys(keys: list[np.ndarray]) -> list[np.ndarray]:
+    """Where each of the sorted lists holds the keys that at least two of them hold: a place
+    for every such key, -1 where a list doesn't have it."""
+    if len(keys) == 2 and all(map(len, keys)):
+        at = np.minimum(np.searchsorted(keys[1], keys[0]), len(keys[1]) - 1)
+        hit = np.flatnonzero(keys[1][at] == keys[0])
+        return [hit, at[hit]]
+    found, times = np.unique(np.concatenate(keys), return_counts=True)
+    found, out = found[times > 1], []
+    for own in keys:
+        at = np.minimum(np.searchsorted(own, found), max(len(own) - 1, 0))
+        out.append(np.where(own[at] == found, at, -1) if len(own) else np.full(len(found), -1))
+    return out
+
+
+def merge(shards: list[Shard], depth: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """Interleave the shards' Burrows-Wheeler transforms up to ``depth`` symbols.
+
+    An interval of the interleaved order is a string; it lies at one range of places in every
+    shard.  A pass prepends a symbol to all intervals: the suffixes of a range that a symbol
+    stands before lie, one symbol longer, at one range again (``back``), so no suffix is
+    sorted anew.  Only intervals with suffixes of several shards are refined: one that
+    has those of a single shard is settled, its order is that shard's own.
+
+    Returns (first places, counts) per shard of the intervals that are left after
+    ``depth`` symbols, a row each, and per shard the length of the prefix that each
+    suffix shares with one of another shard (``depth`` if it is that or more; less than ``HEAD`` counts as 0).
+    """
+    common = [np.zeros(len(s.bwt), np.int16 if depth < 1 << 15 else np.int64) for s in shards]
+    at = min(HEAD, depth)
+    found = []
+    for s in shards:  # the interleave by the first symbols; strings that end there are left out
+        begins = np.flatnonzero(np.append(True, s.head[1:] != s.head[:-1])) if len(s.head) else np.zeros(0, np.int64)
+        counts = np.diff(begins, append=len(s.head))
+        whole = (s.head[begins] & 511) != 0
+        found.append((s.head[begins][whole], begins[whole], counts[whole]))
+    while True:
+        ranges = []
+        for (_, low, count), of in zip(found, shared_keys([f[0] for f in found])):
+            there = of >= 0
+            ranges.append((np.where(there, low[of], 0), np.where(there, count[of], 0)) if len(low) else (np.zeros(len(of), np.int64),) * 2)
+        live = len(ranges[0][0])
+        inside = [places(low, count) for low, count in ranges]
+        for c, p in zip(common, inside):
+            c[p] = at
+        if at == depth or not live:
+            return ranges, common
+        found = []
+        for s, (_, count), p in zip(shards, ranges, inside):
+            symbol, interval = s.bwt[p], np.repeat(np.arange(live, dtype=np.int32), count)
+            order = np.argsort(symbol, kind="stable")
+            order = order[len(symbol) - np.count_nonzero(symbol):]  # a string's first symbol has none before it
+            keys = symbol[order] * np.int64(live) + interval[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+            found.append((keys[first], s.back[p[order[first]]], np.diff(first, append=len(keys))))
+        at += 1
 
 
 def smallest_ids(strings: list[np.ndarray], ids: np.ndarray, size: int, shards: int = 2) -> list[np.ndarray]:
@@ -220,21 +272,25 @@ def smallest_ids(strings: list[np.ndarray], ids: np.ndarray, size: int, shards:
         symbols.append(np.concatenate([np.append(strings[i].astype(np.uint16) + 1, np.uint16(0)) for i in part]))
         owner.append(np.repeat(part, [len(strings[i]) + 1 for i in part]))
     starts = np.cumsum([0] + [len(s) for s in symbols])
-    merged, interval = shard_of(symbols[0], 0, size), None
-    for k in range(1, len(symbols)):
-        merged, _, interval = merge(merged, shard_of(symbols[k], int(starts[k]), size), size)
-    if interval is None:  # a single string: merge with nothing
-        merged, _, interval = merge(merged, Shard(np.zeros(0, np.int64), np.zeros(0, np.uint16), 0), size)
+    made = [shard_of(s, int(at), size) for s, at in zip(symbols, starts)]
     owner = np.concatenate(owner)
     lengths = np.array([len(s) for s in strings]) + 1
     base = np.cumsum(lengths) - lengths
     whole = np.arange(len(owner)) - base[owner] + size < lengths[owner]  # ``size`` bytes are left
-    value = np.where(whole[merged.order], ids[owner[merged.order]], np.iinfo(np.int64).max)
-    begins = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-    least = np.repeat(np.minimum.reduceat(value, begins), np.diff(np.append(begins, len(value))))
-    found = np.empty(len(owner), np.int64)
-    found[merged.order] = least
-    return [found[base[i] : base[i] + max(0, len(strings[i]) - size + 1)] for i in range(len(strings))]
+    value = np.where(whole, ids[owner], np.iinfo(np.int64).max)
+    least = [np.minimum.reduceat(value[s.order], s.begins) for s in made]  # of each shard's own classes
+    if len(made) > 1:
+        ranges, _ = merge(made, size)
+        classes = [np.searchsorted(s.begins, low) for s, (low, _) in zip(made, ranges)]
+        best = np.full(len(ranges[0][0]), np.iinfo(np.int64).max)
+        for own, of, (_, count) in zip(least, classes, ranges):
+            best = np.where(count > 0, np.minimum(best, own[of]), best)
+        for own, of, (_, count) in zip(least, classes, ranges):
+            own[of[count > 0]] = best[count > 0]
+    smallest = np.empty(len(owner), np.int64)
+    for s, own in zip(made, least):
+        smallest[s.order] = np.repeat(own, np.diff(s.begins, append=len(s.order)))
+    return [smallest[base[i] : base[i] + max(0, len(strings[i]) - size + 1)] for i in range(len(strings))]
 
 
 # ---- one bin ---------------------------------------------------------------------------------

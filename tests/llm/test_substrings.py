@@ -62,30 +62,47 @@ def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def naive_order(symbols, depth):
+def suffixes_of(symbols):
+    """Each suffix up to and with the end of its string."""
     ends = [i for i, c in enumerate(symbols) if c == 0]
-    suffix = lambda p: tuple(symbols[p : next(e for e in ends if e >= p) + 1][:depth])
-    return [suffix(p) for p in range(len(symbols))]
-
-
-def test_merge_settles_order_and_common_prefixes():
-    rng = random.Random(3)
-    for _ in range(20):
-        parts = [np.array(sum(([rng.randrange(1, 4) for _ in range(rng.randrange(1, 15))] + [0] for _ in range(rng.randrange(1, 6))), []), np.uint16)
-                 for _ in range(2)]
-        depth = 6
-        merged, lcp, interval = merge(shard_of(parts[0], 0, depth), shard_of(parts[1], len(parts[0]), depth), depth)
-        suffixes = naive_order(parts[0].tolist(), depth) + naive_order(parts[1].tolist(), depth)
-        found = [suffixes[p] for p in merged.order]
-        assert found == sorted(suffixes)
-        for k in range(1, len(found)):
-            same = 0
-            while same < min(len(found[k]), len(found[k - 1])) and found[k][same] == found[k - 1][same] != 0:
-                same += 1
-            if found[k] != found[k - 1]:
-                assert lcp[k] == same and interval[k] != interval[k - 1]
-            else:
-                assert interval[k] == interval[k - 1]
+    return [tuple(symbols[p : next(e for e in ends if e >= p) + 1]) for p in range(len(symbols))]
+
+
+def prefix_shared(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n] != 0:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("count,depth", [(2, 6), (2, 12), (3, 9), (4, 20)])
+def test_merge_settles_intervals_and_common_prefixes(count, depth):
+    rng = random.Random(count * depth)
+    for _ in range(12):
+        parts = [np.array(sum(([rng.randrange(1, 3) for _ in range(rng.randrange(1, 25))] + [0] for _ in range(rng.randrange(1, 6))), []), np.uint16)
+                 for _ in range(count)]
+        shards = [shard_of(p, 0, depth) for p in parts]
+        suffixes = [suffixes_of(p.tolist()) for p in parts]
+        for s, own in zip(shards, suffixes):  # sorted, classes of equal first symbols
+            ordered = [own[p][:depth] for p in s.order]
+            assert ordered == sorted(ordered)
+            assert s.begins.tolist() == [k for k in range(len(ordered)) if not k or ordered[k] != ordered[k - 1]]
+        ranges, common = merge(shards, depth)
+        intervals = {}
+        for k in range(len(ranges[0][0])):
+            strings = {suffixes[j][p][:depth] for j, (low, n) in enumerate(ranges) for p in shards[j].order[low[k] : low[k] + n[k]]}
+            assert len(strings) == 1
+            intervals[strings.pop()] = [int(n[k]) for _, n in ranges]
+        want = {}
+        for j, own in enumerate(suffixes):
+            for x in own:
+                if len(x) > depth:
+                    want.setdefault(x[:depth], [0] * count)[j] += 1
+        assert intervals == {x: n for x, n in want.items() if sum(c > 0 for c in n) > 1}
+        for j, (s, own) in enumerate(zip(shards, suffixes)):
+            for p, length in zip(s.order, common[j]):
+                best = min(depth, max(prefix_shared(own[p], x) for i, other in enumerate(suffixes) if i != j for x in other))
+                assert length == (best if best >= min(substrings.HEAD, depth) else 0)
 
 
 @pytest.mark.parametrize("shards", [1, 2, 3, 5])
