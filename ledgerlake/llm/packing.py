@@ -15,6 +15,8 @@ so that at most one window of a group is padded.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -44,6 +46,7 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.symbols = Tokenizer.from_file(path), byte_symbols()
+        self.cut = self.tokenizer.model.tokenize
         self.cache = WordCache(self.chunk_ids)
 
     def encode(self, text: bytes) -> bytes:
@@ -52,16 +55,21 @@ class Ids:
         return b"".join(b"".join(map(get, chunks(part))) for part in slices(text))
 
     def chunk_ids(self, chunk: bytes) -> bytes:
+        if chunk.isalpha() and chunk.islower():  # ASCII letters stand for themselves
+            return array("I", [t.id for t in self.cut(chunk.decode())]).tobytes()
         if parts := split_tail(chunk):
             return self.cache[parts[0]] + self.cache[parts[1]]
         text = chunk.decode()
         if _PLAIN.issuperset(text):
-            ids = [t.id for t in self.tokenizer.model.tokenize("".join(self.symbols[b] for b in chunk))]
+            ids = [t.id for t in self.cut("".join(self.symbols[b] for b in chunk))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
 
+assert array("I").itemsize == 4 and sys.byteorder == "little"  # identifiers are packed as little-endian 32-bit numbers
+
+
 @lru_cache(maxsize=2)
 def ids_of(path: str) -> Ids:
     """One tokenizer for each Python worker and file."""
