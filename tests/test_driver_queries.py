@@ -8,7 +8,7 @@ import pytest
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 
-ROWS_ONLY = {"fraud_classifier", "risk_regressor", "model_metrics", "model_coefficients"}
+ROWS_ONLY: set[str] = set()  # every query has SQL
 
 
 def test_every_query_matches_oracle(spark):
@@ -47,7 +47,8 @@ def test_plans_scale(spark):
         lines = plan.splitlines()
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
-                child = lines[i + 1].lstrip(" :-+")
+                # projections and the sort of a stored view's order are no rows more
+                child = next(x for x in (b.lstrip(" :-+") for b in lines[i + 1 :]) if not x.startswith(("Project", "Sort ", "Exchange rangepartitioning")))
                 assert child.startswith(("HashAggregate", "ObjectHashAggregate", "SortAggregate")), (name, child)
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import models
 from ledgerlake.plans.layers import run_features, run_gold, run_silver
-from ledgerlake.schemas import ACCOUNT_RAW, CUSTOMER_RAW, TRANSACTION_RAW
+from pyspark.sql.types import StructType
+
+from ledgerlake.schemas import LINEAGE, ACCOUNT_RAW, CUSTOMER_RAW, TRANSACTION_RAW
 from ledgerlake.sources.raw import read_raw, with_lineage
 
 from .sample import ACCOUNTS, TRANSACTIONS, customers_csv
@@ -303,7 +305,7 @@ def test_full_run_publishes_tables_by_name(spark, tmp_path_factory):
     runs = run_all(spark, landing, str(base / "lake"), "full_run", "1")
     other = spark.newSession()
     views = run_gold(run_silver(*(spark.read.schema(s).parquet(str(base / "lake" / "bronze" / t)) for t, s in (
-        ("customer_raw", CUSTOMER_RAW.add("IngestionDate", "timestamp").add("SourceFile", "string")),
+        ("customer_raw", StructType([*CUSTOMER_RAW.fields, *LINEAGE.fields])),
         ("account_raw", ACCOUNT_RAW), ("transaction_raw", TRANSACTION_RAW)))))
     for name, view in views.items():
         assert sorted(map(tuple, other.table(f"full_run.{name}").collect()), key=repr) == sorted(map(tuple, view.collect()), key=repr)
