@@ -53,10 +53,11 @@ def rank_suffixes(suffixes: DataFrame, total: int, partitions: int) -> DataFrame
     return found.unionByName(same).drop("a", "b")
 
 
-def doubled(ranked: DataFrame, h: int) -> DataFrame:
-    """Suffixes with the pair (own rank, rank h lines further); those without a full
-    second half, or whose second half is unique, repeat no run of 2h lines."""
-    further = ranked.select("doc", (F.col("pos") - h).alias("pos"), F.col("rank").alias("b"))
+def doubled(ranked: DataFrame, step: int) -> DataFrame:
+    """Suffixes with the pair (own rank by h lines, that of the suffix ``step`` <= h lines further),
+    which stands for their first h + step lines; those without a full second part, or
+    whose second part is unique, repeat no run of that length."""
+    further = ranked.select("doc", (F.col("pos") - step).alias("pos"), F.col("rank").alias("b"))
     return ranked.withColumnRenamed("rank", "a").join(further, ["doc", "pos"])
 
 
@@ -77,19 +78,21 @@ def later_copies(ranked: DataFrame, lines: int) -> DataFrame:
 def repeated_runs(lines: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
     """(doc, pos, lines): later copies of repeated runs.
 
-    A run counts from ``min_lines`` (a power of two) lines on, or from one line of at
-    least ``min_chars`` characters.
+    A run counts from ``min_lines`` lines on, or from one line of at least
+    ``min_chars`` characters.  Doubling goes on until the ranks hold ``min_lines``
+    lines; the last step overlaps where that is no power of two.
     """
-    if min_lines < 2 or min_lines & (min_lines - 1):
-        raise ValueError("min_lines must be a power of two, at least 2")
+    if min_lines < 2:
+        raise ValueError("min_lines must be at least 2")
     total = lines.count()
     partitions = max(1, -(-total // 2_000_000), int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranked = materialize(rank_suffixes(lines.drop("n"), total, partitions), "suffixes")
     found = later_copies(ranked.where(F.col("size") >= min_chars), 1)
     h = 1
     while h < min_lines:
-        ranked = materialize(rank_suffixes(doubled(ranked, h), total, partitions), "suffixes")
-        h *= 2
+        step = min(h, min_lines - h)
+        ranked = materialize(rank_suffixes(doubled(ranked, step), total, partitions), "suffixes")
+        h += step
     return found.unionByName(later_copies(ranked, min_lines))
 
 
