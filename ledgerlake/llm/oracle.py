@@ -2,6 +2,23 @@
 
 from __future__ import annotations
 
+OP2 = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 49, 0))) AS p FROM doc)),
+early AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
+gone AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM win JOIN early USING (s) WHERE first < doc_id),
+run AS (SELECT doc_id, p, sum((gap IS NULL OR gap > 50)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone),
+span AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM run GROUP BY 1, 2),
+piece AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS since FROM span),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY run) AS body, max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM piece JOIN doc USING (doc_id) GROUP BY 1)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(body || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
 OP3 = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -146,5 +163,5 @@ FROM ruled r LEFT JOIN t{depth + 1} t ON t.host = r.host AND t.shape = r.shape
 """
 
 
-ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op7_top_k": OP7, "op9_chat_formatting": OP9, "op10_line_dedup": OP10,
+ORACLE: dict[str, str] = {"op2_suffix_array_dedup": OP2, "op3_decontamination": OP3, "op7_top_k": OP7, "op9_chat_formatting": OP9, "op10_line_dedup": OP10,
                           "op11_url_filter": url_filter()}

@@ -61,3 +61,22 @@ def test_rows_without_text_fill_buckets(spark):
     written, (bucket, _), buckets = shuffle_records(df, bucket_bytes=1 << 20)
     assert buckets == 13 and written.groupBy(bucket).count().agg(F.max("count")).first()[0] < 25_000
     assert shard(df, 8, bucket_bytes=1 << 20).groupBy("shard").count().collect() == shard(df, 8, bucket_bytes=1 << 20).groupBy("shard").count().collect()
+
+
+def test_against_a_plain_shuffle(spark):
+    """The written order is the plain one: rows into buckets by their hash, a Fisher-Yates shuffle of each, cut into shards."""
+    df = spark.createDataFrame([(i, "x" * (i % 90)) for i in range(300)], "doc_id long, text string").coalesce(1)
+    place = F.monotonically_increasing_id()
+    hashed = [(r.h, r.p, r.doc_id) for r in df.select("doc_id", place.alias("p")).select("doc_id", "p", F.xxhash64(F.lit(7), "p").alias("h")).collect()]
+    size = sum(64 + i % 90 for i in range(300))
+    buckets = -(-size // 4000)
+    order = []
+    for b in range(buckets):
+        own = [d for _, _, d in sorted(x for x in hashed if x[0] % buckets == b)]
+        order += [own[k] for k in fisher_yates(len(own), 7, b)]
+    want = {}
+    for k, d in enumerate(order):
+        s = k * 8 // 300
+        want[d] = (s, k - -(-300 * s // 8))
+    got = {r.doc_id: (r.shard, r.slot) for r in shard(df, 8, bucket_bytes=4000).collect()}
+    assert got == want
