@@ -47,15 +47,16 @@ def _cell(day: Column, block: Column, width: Column) -> Column:
 def cut_plan(dim: DataFrame, key: str, start_col: str, end_col: str, light: int = 16) -> DataFrame:
     """(key, lo, hi, widths) of the keys with over ``light`` versions.
 
-    ``lo`` and ``hi`` are the first and last day that any bound of the key names;
-    ``widths`` maps the blocks that are cut to their cell width.  Its size is bounded by
-    the calendar, not by the versions.
+    ``lo`` and ``hi`` are the first and last day on which a version of the key starts:
+    a version that is valid later is valid on ``hi``, too, so open and far ends need no
+    cells beyond it.  ``widths`` maps the blocks that are cut to their cell width.  Its size
+    is bounded by the calendar, not by the versions.
     """
     v = dim.select(F.col(key).alias("key"), _day(F.col(start_col)).alias("s"), _day(F.col(end_col)).alias("e"))
     v = v.where(F.col("s").isNotNull() & (F.col("e").isNull() | (F.col("e") >= F.col("s"))))
-    keys = (v.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max(F.greatest("s", "e")).alias("hi"))
+    keys = (v.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"))
             .where(F.col("n") > light).drop("n"))
-    cut = (v.join(keys, "key").withColumn("e", F.coalesce("e", "hi"))
+    cut = (v.join(keys, "key").withColumn("e", F.least("e", "hi"))
            .withColumn("block", F.explode(F.sequence(_block(F.col("s")), _block(F.col("e"))))))
     first = F.shiftleft("block", BLOCK_BITS)
     s, e = F.greatest("s", first), F.least("e", first + ((1 << BLOCK_BITS) - 1))
@@ -68,7 +69,7 @@ def cut_plan(dim: DataFrame, key: str, start_col: str, end_col: str, light: int
 
 def index_cells(start: Column, end: Column) -> Column:
     """All cells that an interval covers, of a row that carries its key's plan (lo, hi, widths)."""
-    last = F.coalesce(end, F.col("_hi"))
+    last = F.least(end, F.col("_hi"))  # skips a null end
 
     def of_block(b: Column) -> Column:
         first = F.shiftleft(b, BLOCK_BITS)

@@ -63,6 +63,8 @@ def test_candidates_grow_with_the_facts(spark):
         found = asof_lookup(facts, dim, "ID", "d", ["SK"], how="inner").count()
         assert pairs <= 4 * 100_000 + found, (pairs, found)
         assert rows <= 6 * len(starts)
+    far = [(*r[:3], r[3] or dt.date(9999, 12, 31)) for r in _chain("hot", [5 * i for i in range(1000)])]
+    assert _pairs(facts, _dim(spark, far))[1] <= 6000  # a far end makes no cells
     light = _dim(spark, _chain("hot", [0, 100, 200]))
     assert _pairs(facts, light) == (300_000, 3)  # few versions: the plain join
 
