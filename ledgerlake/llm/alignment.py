@@ -30,11 +30,11 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from .common import materialize, quoted, texts
 
 #: Bytes of text that are aligned as one batch.
-SLAB = 4 << 20
+SLAB = 1 << 20
 #: Tokens of A after which a document goes on in another lane.
 LANE = 1024
 #: Chunks of text, and their characters, beyond which a task forgets the ids it keeps.
-KEPT_CHUNKS, KEPT_BYTES = 600_000, 16 << 20
+KEPT_CHUNKS, KEPT_BYTES = 150_000, 8 << 20
 #: Unknown chunks that are cut in one call.
 RUN = 64
 
