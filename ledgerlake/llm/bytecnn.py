@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted, texts
+from .common import fresh, quoted, text_slices, texts
 
 WIDTH, STRIDE, EMBED, FILTERS, HIDDEN = 16, 4, 8, 32, 16
 #: Bytes of one slab of chunks while scoring.
@@ -213,7 +213,7 @@ def score_documents(df: DataFrame, weights: Weights, threshold: float = 0.3, id_
     k = next(i for i, c in enumerate(names) if c.lower() == text_col.lower())
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, k)):
             found = score(list(texts(batch.column(k))), weights)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.round(6), pa.float64())],
                                              names=[*names, "score"])

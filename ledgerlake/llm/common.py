@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,19 @@ def texts(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
         yield v if v is not None else b""
 
 
+def text_slices(batch: pa.RecordBatch, column: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``size`` bytes of a string column (one row at least)."""
+    if not batch.num_rows:
+        return
+    ends = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype("int64").cumsum()
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(ends.searchsorted(before + size, side="right")))
+        yield batch.slice(first, stop - first)
+        first = stop
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the folder named by ``spark.checkpoint.dir``."""
     return work_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")

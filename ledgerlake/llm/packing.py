@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, table_bytes, texts
+from .common import quoted, table_bytes, text_slices, texts
 from .wordbpe import WordCache, byte_symbols, chunks, slices, split_tail
 
 #: Latin letters in composed lower case: one word, which the BPE model alone can cut.
@@ -166,7 +166,7 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
 
     def tokenize(batches):
         own = ids_of(tokenizer)
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, 1)):
             found = [own.encode(t) + close for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)],
                                              names=["doc_id", "ids", "place"])
