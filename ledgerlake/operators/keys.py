@@ -40,14 +40,25 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str,
                         F.monotonically_increasing_id().alias("_kid"))
     if freeze:
         pos = materialize(pos, "keys")
+    return _numbered(pos, key_col, start).select(key_col, *df.columns)
+
+
+def in_row_order(df: DataFrame, key_col: str) -> DataFrame:
+    """Dense numbers 1 .. n in the order in which the (globally sorted) rows of ``df`` come;
+    the positioned rows are written once, as by :func:`assign_keys`, and no task sees them all."""
+    pos = materialize(df.select("*", F.spark_partition_id().alias("_kp"), F.monotonically_increasing_id().alias("_kid")), "places")
+    return _numbered(pos, key_col, 0).select(key_col, *df.columns)
+
+
+def _numbered(pos: DataFrame, key_col: str, start: int | Column) -> DataFrame:
+    """Positioned rows (partition ``_kp``, id ``_kid``) with their number after ``start``."""
     counts = pos.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
     w = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kp", F.coalesce(F.sum("_kn").over(w), F.lit(0)).alias("_koff"))
     local = F.col("_kid") - F.shiftleft(F.col("_kp").cast("long"), _ROW_BITS)
     start_col = start if isinstance(start, Column) else F.lit(int(start))
-    keyed = (pos.join(F.broadcast(offsets), "_kp")
-             .withColumn(key_col, (F.coalesce(start_col, F.lit(0)) + F.col("_koff") + local + 1).cast("long")))
-    return keyed.select(key_col, *df.columns)
+    return (pos.join(F.broadcast(offsets), "_kp")
+            .withColumn(key_col, (F.coalesce(start_col, F.lit(0)) + F.col("_koff") + local + 1).cast("long")))
 
 
 def max_key(df: DataFrame, key_col: str) -> Column:

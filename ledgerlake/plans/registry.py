@@ -21,7 +21,7 @@ from ..operators import closed_form, models
 from ..operators.dedup import latest_per_key
 from ..operators.features import transaction_features
 from ..operators.interval_index import asof_lookup_indexed
-from ..operators.keys import assign_keys, in_test, split_hash
+from ..operators.keys import assign_keys, in_row_order, in_test, split_hash
 from ..operators.lookup import asof_lookup, current_lookup, left_lookup
 from ..operators.merge import scd2_close
 from ..schemas import ACCOUNT_DIM, CUSTOMER_DIM, CUSTOMER_TRACKED, FEATURE_COLUMNS, LINEAGE
@@ -110,7 +110,7 @@ FROM c_attr a JOIN a_raw r ON CAST(a.c_custkey AS VARCHAR) = r.CustomerID""", "c
 def q_clean_text(spark, d):
     a = driver.customer_attrs(spark, d)
     r = driver.account_raw(spark, d).select(F.col("CustomerID").alias("_c"), "Currency")
-    j = a.join(r, a.c_custkey.cast("string") == F.col("_c"))
+    j = a.join(r.hint("merge"), a.c_custkey.cast("string") == F.col("_c"))
     return j.select(F.col("c_custkey").cast("string").alias("CustomerID"),
                     clean_name("CustomerName").alias("CustomerName"),
                     title_trimmed("Country").alias("Country"), title_only("Currency").alias("Currency"))
@@ -280,7 +280,7 @@ def q_scd1_merge(spark, d):
     raw = driver.account_raw(spark, d)
     early = (driver.table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
              .select(F.col("o_custkey").cast("string").alias("CustomerID")))
-    b1 = raw.join(early, "CustomerID", "left_semi")
+    b1 = raw.join(early.hint("merge"), "CustomerID", "left_semi")
     b2 = raw.withColumn("AccountType", F.lower("AccountType"))
     target = silver.account_job(None, b1, s.customer_dim)
     return silver.account_job(target, b2, s.customer_dim)
@@ -380,7 +380,7 @@ def q_asof_many_versions(spark, d):
     """As-of lookup where every key (a nation) has a version for each day with orders: hundreds
     to thousands of versions and a fact for each order, up to 20 days off its date."""
     o, c = driver.table(spark, d, "orders"), driver.table(spark, d, "customer")
-    rows = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("k"), F.col("o_orderdate").cast("date").alias("d"))
+    rows = o.join(c.hint("merge"), o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("k"), F.col("o_orderdate").cast("date").alias("d"))
     per_day = rows.groupBy("k", "d").agg(F.count("*").alias("Orders"))
     versions = per_day.select("k", F.col("d").alias("StartDate"), F.lead("d").over(Window.partitionBy("k").orderBy("d")).alias("EndDate"), "Orders")
     facts = rows.select("o_orderkey", "k", F.date_add("d", (F.pmod("o_orderkey", F.lit(41)) - 20).cast("int")).alias("QueryDate"))
@@ -835,7 +835,7 @@ def q_fact_upsert_partitioned(spark, d):
     true = F.col("_true_date")
     b1 = raw.where(true < F.lit("1998-01-01").cast("date")).drop("_true_date")
     first = silver.fact_source(b1, s.customer_dim, s.account_dim).select("TransactionID", "TransactionDate")
-    march = first.where(F.date_format("TransactionDate", "yyyy-MM") == "1996-03").select("TransactionID")
+    march = first.where(F.date_format("TransactionDate", "yyyy-MM") == "1996-03").select("TransactionID").hint("merge")
     late = raw.where(true >= F.lit("1997-07-01").cast("date")).join(march, "TransactionID", "left_anti").drop("_true_date")
     moved = b1.join(march, "TransactionID", "left_semi").withColumn("TransactionDate", F.lit("04/01/1997"))
     b2 = late.unionByName(moved).withColumn("RiskScore", F.concat("RiskScore", F.lit("0")))
@@ -898,7 +898,7 @@ def q_scd1_merge_bucketed(spark, d):
     early = (driver.table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
              .select(F.col("o_custkey").cast("string").alias("CustomerID")))
     name = f"{fresh_database(spark, 'bucketed')}.account_dim"
-    for run, batch in (("1", raw.join(early, "CustomerID", "left_semi")), ("2", raw.withColumn("AccountType", F.lower("AccountType")))):
+    for run, batch in (("1", raw.join(early.hint("merge"), "CustomerID", "left_semi")), ("2", raw.withColumn("AccountType", F.lower("AccountType")))):
         source = silver.dedup_accounts(silver.stage_accounts(batch, s.customer_dim))
         out = scd1_bucketed(source, silver.empty(spark, ACCOUNT_DIM), name, run, "AccountID", "AccountSK",
                             ["CustomerSK", "AccountType", "Currency", "OpenDate"], BUCKETS)
@@ -1023,8 +1023,8 @@ def q_stored_views(spark, d):
     for name in VIEW_SQL:
         v = spark.table(f"{db}.{name}")
         g, value = v.columns[:-1], v.columns[-1]
-        place = F.row_number().over(Window.orderBy("_place"))  # one row per group, in the view's own order
-        rows = v.withColumn("_place", F.monotonically_increasing_id()).select(F.lit(name).alias("View"), place.alias("Position"), F.col(g[0]).cast("string").alias("G1"),
+        # groups are as many as the names: their places in the view's own order come without a window over all
+        rows = in_row_order(v, "Position").select(F.lit(name).alias("View"), "Position", F.col(g[0]).cast("string").alias("G1"),
                         (F.col(g[1]).cast("string") if len(g) > 1 else F.lit(None).cast("string")).alias("G2"), F.col(value).cast("double").alias("Value"))
         out = rows if out is None else out.unionByName(rows)
     return out

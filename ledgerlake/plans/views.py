@@ -35,36 +35,36 @@ METRICS_TABLE = "model_metrics"
 
 
 #: The gold views as SQL over the catalog's silver tables ({db}, {excluded} and {home} are filled in); the
-#: order is that of ``sorted_view``.
+#: order is that of ``sorted_view``.  The dimensions grow with the input: they are merged, never broadcast.
 VIEW_SQL = {
     "account_type_launderingrate": """
 SELECT AccountType, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
-  SELECT a.AccountType, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK GROUP BY 1)
+  SELECT /*+ MERGE(a) */ a.AccountType, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK GROUP BY 1)
 ORDER BY LaunderingRate DESC NULLS LAST, AccountType""",
     "Uganda_Fraud": """
 SELECT Country, IsFraud, CAST(round(try_divide(CAST(n AS DECIMAL(20,0)) * 100.0, CAST(sum(n) OVER () AS DECIMAL(20,0))), 2) AS DOUBLE) AS RiskCategoryRate FROM (
-  SELECT c.Country, f.IsFraud, count(f.IsFraud) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
+  SELECT /*+ MERGE(c) */ c.Country, f.IsFraud, count(f.IsFraud) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
   WHERE c.Country <> '{excluded}' GROUP BY 1, 2)
 ORDER BY RiskCategoryRate DESC NULLS LAST, Country, IsFraud""",
     "luandering_channel": """
 SELECT Channel, KYCStatus, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
-  SELECT f.Channel, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1, 2)
+  SELECT /*+ MERGE(c) */ f.Channel, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1, 2)
 ORDER BY LaunderingRate DESC NULLS LAST, Channel, KYCStatus""",
     "Country_FraudVol": """
-SELECT c.Country, f.IsFraud, count(f.IsFraud) AS FraudCount FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
+SELECT /*+ MERGE(c) */ c.Country, f.IsFraud, count(f.IsFraud) AS FraudCount FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
 GROUP BY 1, 2 ORDER BY FraudCount DESC NULLS LAST, Country, IsFraud""",
     "riskscore_dow": """
-SELECT c.CustomerName AS Name, date_format(f.TransactionDate, 'E') AS DayOfWeek, round(avg(f.RiskScore), 0) AS AvgRiskScore
+SELECT /*+ MERGE(c) */ c.CustomerName AS Name, date_format(f.TransactionDate, 'E') AS DayOfWeek, round(avg(f.RiskScore), 0) AS AvgRiskScore
 FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK
 GROUP BY 1, 2 ORDER BY AvgRiskScore DESC NULLS LAST, Name, DayOfWeek""",
     "luandering_account": """
 SELECT AccountType, KYCStatus, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
-  SELECT a.AccountType, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK
+  SELECT /*+ MERGE(a, c) */ a.AccountType, c.KYCStatus, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.account_dim a ON f.AccountSK = a.AccountSK
   JOIN {db}.customer_dim c ON a.CustomerSK = c.CustomerSK GROUP BY 1, 2)
 ORDER BY LaunderingRate DESC NULLS LAST, AccountType, KYCStatus""",
     "Country_LaunderingRate": """
 SELECT Country, round(try_divide(n * 100, sum(n) OVER ()), 2) AS LaunderingRate FROM (
-  SELECT c.Country, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1)
+  SELECT /*+ MERGE(c) */ c.Country, count(f.IsLaundered) AS n FROM {db}.transaction_fact f JOIN {db}.customer_dim c ON f.CustomerSK = c.CustomerSK GROUP BY 1)
 ORDER BY LaunderingRate DESC NULLS LAST, Country""",
 }
 
