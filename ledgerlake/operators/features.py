@@ -53,7 +53,7 @@ def _finish(df: DataFrame, cnt7: Column, avg30: Column, home: str) -> DataFrame:
 def _base(fact: DataFrame, customer_dim: DataFrame, sk: str) -> DataFrame:
     d = customer_dim.select(F.col(sk).alias("_dsk"), F.col("StartDate").alias("_start"))
     f = fact.where(F.col(sk).isNotNull())
-    joined = f.join(d, f[sk] == d["_dsk"], "left")
+    joined = f.join(d.hint("merge"), f[sk] == d["_dsk"], "left")
     # the reference reports the dimension's key
     return joined.drop(sk).withColumnRenamed("_dsk", sk).select(*FACT_COLUMNS, "_start")
 
@@ -78,7 +78,7 @@ def transaction_features(fact: DataFrame, customer_dim: DataFrame,
              .agg(F.count(F.lit(1)).alias("_n"), F.sum("Amount").alias("_s"),
                   F.count("Amount").alias("_na")))
     dim = customer_dim.select(F.col(sk).alias("_dsk"), F.col("StartDate").alias("_start"))
-    daily = daily.join(dim, F.col("_rsk") == F.col("_dsk"), "left")
+    daily = daily.join(dim.hint("merge"), F.col("_rsk") == F.col("_dsk"), "left")
     # by the dimension's key, as the direct window: facts without a version are one group there
     w = Window.partitionBy("_dsk").orderBy(F.datediff(F.col("_rdate"), _epoch()))
     rolled = daily.select(
@@ -88,6 +88,6 @@ def transaction_features(fact: DataFrame, customer_dim: DataFrame,
                    F.sum("_na").over(w.rangeBetween(-30, 0))).alias("_a30"))
     f, d, extra = salted(rows, rolled, salt)
     cond = (f[sk] == d["_rsk"]) & f["TransactionDate"].eqNullSafe(d["_rdate"])
-    joined = f.join(d, cond if extra is None else cond & extra, "inner")
+    joined = f.join(d.hint("merge"), cond if extra is None else cond & extra, "inner")
     # the reference reports the dimension's key
     return _finish(joined.drop(sk).withColumnRenamed("_dsk", sk), F.col("_c7"), F.col("_a30"), home)

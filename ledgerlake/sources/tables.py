@@ -164,7 +164,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     target = read_partitions(spark, path, part_col)
     if target is None:
         return replace_partitions(source, path, part_col, own), own
-    keys = source.select(key)
+    keys = source.select(key).hint("merge")  # a batch's size on disk says little of its keys' size in memory
     touched = own | distinct_values(target.select(key, part_col).join(keys, key, "left_semi"), part_col)
     kept = target.where(among(part_col, touched)).join(keys, key, "left_anti")
     return replace_partitions(kept.select(*source.columns).unionByName(source), path, part_col, touched), touched

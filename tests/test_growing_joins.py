@@ -31,6 +31,13 @@ def _merged(df):
     return "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_gold_views_and_features_are_merged(layer):
+    for name, view in gold.build_gold(layer["fact"], layer["customer"], layer["account"]).items():
+        assert _merged(view), name
+    assert _merged(transaction_features(layer["fact"], layer["customer"]))
+    assert _merged(transaction_features(layer["fact"], layer["customer"], method="window"))
+
+
 def test_stored_views_are_merged(spark, layer):
     from ledgerlake.plans.views import create_gold_views
     spark.sql("CREATE DATABASE IF NOT EXISTS growing_t")
