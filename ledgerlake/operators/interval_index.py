@@ -28,6 +28,8 @@ BLOCK_BITS, CELLS = 10, 4096
 WIDTHS = (0, 1, 2, 3, 4, 5, 6, 8, 10)
 #: Index rows per version that a cut may cost.
 COPIES = 4
+#: Keys of a cut plan up to which Spark may broadcast it.
+FEW_KEYS = 10_000
 
 
 def _day(c: Column) -> Column:
@@ -56,7 +58,7 @@ def cut_plan(dim: DataFrame, key: str, start_col: str, end_col: str, light: int
     v = v.where(F.col("s").isNotNull() & (F.col("e").isNull() | (F.col("e") >= F.col("s"))))
     keys = (v.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"))
             .where(F.col("n") > light).drop("n"))
-    cut = (v.join(keys, "key").withColumn("e", F.least("e", "hi"))
+    cut = (v.join(keys.hint("merge"), "key").withColumn("e", F.least("e", "hi"))
            .withColumn("block", F.explode(F.sequence(_block(F.col("s")), _block(F.col("e"))))))
     first = F.shiftleft("block", BLOCK_BITS)
     s, e = F.greatest("s", first), F.least("e", first + ((1 << BLOCK_BITS) - 1))
@@ -106,19 +108,20 @@ def asof_lookup_indexed(fact: DataFrame, dim: DataFrame, key: str, date_col: str
 
     The plan of the cut (one row per key with over ``light`` versions) is written once to
     the shared work folder; facts and versions meet it in left joins, which Spark
-    broadcasts only if its size check allows.  Without such keys the plain lookup runs.
+    may broadcast if the plan has few keys.  Without such keys the plain lookup runs.
     A fact meets the versions of its cell only: at most about ``COPIES`` times the versions of a
     block per cell count, so the candidate pairs grow with the facts and not with
     facts x versions.  A hot key's facts are spread over its cells.
     """
     dk = dim_key or key
     plan = materialize(cut_plan(dim, dk, start_col, end_col, light), "interval-cut")
-    if plan.isEmpty():
+    keys = plan.count()  # of the written plan
+    if keys == 0:
         return asof_lookup(fact, dim, key, date_col, cols, dim_key, start_col, end_col, how, salt)
-    f, d = indexed_sides(fact, dim, plan, key, date_col, cols, dk, start_col, end_col)
+    f, d = indexed_sides(fact, dim, plan if keys <= FEW_KEYS else plan.hint("merge"), key, date_col, cols, dk, start_col, end_col)
     f, d, extra = salted(f, d, salt)
     dt = f[date_col]
     cond = ((f[key] == d["_ak"]) & (f["_cell"] == d["_dcell"]) & (dt >= d["_as"]) & ((dt <= d["_ae"]) | d["_ae"].isNull()))
     if extra is not None:
         cond = cond & extra
-    return f.join(d, cond, how).drop("_ak", "_ae", "_fs", "_ds", "_cell", "_dcell").withColumnRenamed("_as", "_asof_start")
+    return f.join(d.hint("merge"), cond, how).drop("_ak", "_ae", "_fs", "_ds", "_cell", "_dcell").withColumnRenamed("_as", "_asof_start")

@@ -6,6 +6,10 @@ replicated once per bucket, so a key holding a large share of the facts is
 joined by ``salt`` tasks even when adaptive skew handling is off.  Each fact
 row still meets each matching dimension row exactly once (exact result); the
 cost is ``salt`` copies of the dimension side.
+
+The dimension grows with the input, so it is shuffled and merged, never broadcast: Spark's
+size check reads the compressed file size of a scan, and a dimension of a few MB of
+parquet can be a hash table of a GB on the driver.
 """
 
 from __future__ import annotations
@@ -28,14 +32,13 @@ def current_lookup(df: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
                    current_col: str = "IsCurrent", how: str = "left", salt: int = 1) -> DataFrame:
     """``df LEFT JOIN dim ON key AND dim.IsCurrent = true``: the current version.
 
-    The constant predicate is pushed into the dimension scan; the join stays an
-    equi join (broadcast when the planner's size check allows, else
-    sort-merge).
+    The constant predicate is pushed into the dimension scan; the join is a
+    sort-merge equi join.
     """
     d = dim.where(F.col(current_col)).select(F.col(key).alias("_lk"), *cols)
     f, d, extra = salted(df, d, salt)
     cond = f[key] == d["_lk"]
-    return f.join(d, cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")
+    return f.join(d.hint("merge"), cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")
 
 
 def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, date_col: str,
@@ -58,7 +61,7 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, date_col: str,
     cond = ((f[key] == d["_ak"]) & (dt >= d["_as"]) & ((dt <= d["_ae"]) | d["_ae"].isNull()))
     if extra is not None:
         cond = cond & extra
-    return f.join(d, cond, how).drop("_ak", "_ae", "_fs", "_ds").withColumnRenamed("_as", "_asof_start")
+    return f.join(d.hint("merge"), cond, how).drop("_ak", "_ae", "_fs", "_ds").withColumnRenamed("_as", "_asof_start")
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
@@ -68,4 +71,4 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
     d = dim.select(F.col(dk).alias("_lk"), *cols)
     f, d, extra = salted(fact, d, salt)
     cond = f[key] == d["_lk"]
-    return f.join(d, cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")
+    return f.join(d.hint("merge"), cond if extra is None else cond & extra, how).drop("_lk", "_fs", "_ds")

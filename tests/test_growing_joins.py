@@ -31,6 +31,19 @@ def _merged(df):
     return "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_lookups_are_merged(layer):
+    from pyspark.sql import functions as F
+    fact = layer["fact"].select("TransactionID", F.concat(F.lit("C"), "CustomerSK").alias("CustomerID"), "TransactionDate")
+    for salt in (1, 3):
+        found = (lookup.current_lookup(fact, layer["customer"], "CustomerID", ["KYCStatus"], salt=salt),
+                 lookup.asof_lookup(fact, layer["customer"], "CustomerID", "TransactionDate", ["KYCStatus"], salt=salt),
+                 lookup.left_lookup(fact, layer["customer"], "CustomerID", ["KYCStatus"], salt=salt),
+                 asof_lookup_indexed(fact, layer["customer"], "CustomerID", "TransactionDate", ["KYCStatus"], salt=salt))
+        for df in found:
+            assert _merged(df)
+            assert sorted((r.TransactionID, r.KYCStatus) for r in df.collect()) == [(str(i), None if i % 2 else "ok") for i in range(5)]
+
+
 def test_gold_views_and_features_are_merged(layer):
     for name, view in gold.build_gold(layer["fact"], layer["customer"], layer["account"]).items():
         assert _merged(view), name
