@@ -24,6 +24,8 @@ DuckDB oracle (``ledgerlake.plans.oracle``).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,7 +170,8 @@ def account_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Silver:
-    """The silver layer built from the driver tables.
+    """The silver layer built from the driver tables, each table when it is first read: a
+    query of the customers doesn't wait for the fact.
 
     With ``materialize=True`` every silver table is published as a parquet
     snapshot in the shared work folder as soon as it is built (the reference
@@ -177,19 +180,44 @@ class Silver:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
         from ..sources.tables import publish
 
-        keep = (lambda df, name: publish(df, name=name)) if materialize else (lambda df, name: df)
-        self.spark, self.sf_dir = spark, sf_dir
-        self.customer_raw = customer_raw_batches(spark, sf_dir)
-        self.customer_dim_0 = keep(silver.customer_job(None, self.customer_raw[0]), "customer_dim_0")
-        self.customer_dim_1 = keep(silver.customer_job(self.customer_dim_0, self.customer_raw[1], since=BATCH0_INGESTED), "customer_dim_1")
-        self.customer_dim = keep(silver.customer_job(self.customer_dim_1, self.customer_raw[2], since=BATCH1_INGESTED), "customer_dim")
-        self.account_raw = account_raw(spark, sf_dir)
-        self.account_dim = keep(silver.account_job(None, self.account_raw, self.customer_dim), "account_dim")
-        self.transaction_raw = transaction_raw(spark, sf_dir)
-        self.fact = keep(silver.fact_job(None, self.transaction_raw, self.customer_dim, self.account_dim),
-                         "transaction_fact")
+        return publish(df, name=name) if self.materialize else df
+
+    @cached_property
+    def customer_raw(self) -> list[DataFrame]:
+        return customer_raw_batches(self.spark, self.sf_dir)
+
+    @cached_property
+    def customer_dim_0(self) -> DataFrame:
+        return self._keep(silver.customer_job(None, self.customer_raw[0]), "customer_dim_0")
+
+    @cached_property
+    def customer_dim_1(self) -> DataFrame:
+        return self._keep(silver.customer_job(self.customer_dim_0, self.customer_raw[1], since=BATCH0_INGESTED), "customer_dim_1")
+
+    @cached_property
+    def customer_dim(self) -> DataFrame:
+        return self._keep(silver.customer_job(self.customer_dim_1, self.customer_raw[2], since=BATCH1_INGESTED), "customer_dim")
+
+    @cached_property
+    def account_raw(self) -> DataFrame:
+        return account_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def account_dim(self) -> DataFrame:
+        return self._keep(silver.account_job(None, self.account_raw, self.customer_dim), "account_dim")
+
+    @cached_property
+    def transaction_raw(self) -> DataFrame:
+        return transaction_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._keep(silver.fact_job(None, self.transaction_raw, self.customer_dim, self.account_dim), "transaction_fact")
 
 
 def folder_state(spark: SparkSession, sf_dir: str) -> tuple:

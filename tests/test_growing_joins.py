@@ -69,3 +69,23 @@ def test_row_order_numbers(spark):
     assert keys.in_row_order(df.where("id < 0"), "n").collect() == []
 
 
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("tables"))
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 9 AS o_custkey", "'F' AS o_orderstatus", "1.5D AS o_totalprice",
+                               "CAST(date_add(DATE'1996-01-01', CAST(id * 30 AS INT)) AS TIMESTAMP_NTZ) AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{root}/orders.parquet")
+    spark.range(9).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 2 AS INT) AS c_nationkey", "'AUTO' AS c_mktsegment").write.parquet(f"{root}/customer.parquet")
+    spark.range(2).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('NATION_', id) AS n_name", "1 AS n_regionkey").write.parquet(f"{root}/nation.parquet")
+    return root
+
+
+def test_a_query_builds_the_silver_tables_it_reads(spark, folder):
+    from ledgerlake.plans.registry import QUERIES
+    tables = ("customer_dim_0", "customer_dim_1", "customer_dim", "account_dim", "fact")
+    built = lambda: [t for t in tables if t in vars(driver.silver_tables(spark, folder))]
+    assert QUERIES["dedup_valid"](spark, folder).count() > 0
+    assert built() == []
+    QUERIES["asof_lookup"](spark, folder)
+    assert built() == ["customer_dim_0", "customer_dim_1", "customer_dim"]
+    assert driver.silver_tables(spark, folder).fact.count() > 0
+    assert built() == list(tables)
