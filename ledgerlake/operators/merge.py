@@ -4,7 +4,7 @@ Row-level MERGE does not exist for plain parquet tables, so a merge here is a
 DataFrame plan that the caller publishes as a new snapshot
 (:func:`ledgerlake.sources.tables.publish`).  Every join is an equi join on the
 business key with at most one row per key on each side, so nothing fans out and
-no key is hot.  ``scd2_close`` and ``scd2_new_versions`` are the two halves of
+no key is hot; both sides grow with the input, so they are merged, never broadcast.  ``scd2_close`` and ``scd2_new_versions`` are the two halves of
 the SCD2 merge (the reference's MERGE and INSERT statements).
 """
 
@@ -64,12 +64,12 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, sk_col: str,
     """
     src = _once(_without_null_keys(source, key, quarantine_null_keys).select(key, *update_cols), freeze)
     t = target.alias("t")
-    s = src.withColumn("_in_s", F.lit(True)).alias("s")
+    s = src.withColumn("_in_s", F.lit(True)).alias("s").hint("merge")
     hit = F.col("s._in_s").isNotNull()
     kept = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(*[
         F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in update_cols else F.col(f"t.{c}").alias(c)
         for c in target.columns])
-    new = src.join(target.select(F.col(key).alias("_known")), F.col(key) == F.col("_known"), "left_anti")
+    new = src.join(target.select(F.col(key).alias("_known")).hint("merge"), F.col(key) == F.col("_known"), "left_anti")
     new = new.select(*[F.col(c) if c in src.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                        for c in target.columns if c != sk_col])
     fresh = assign_keys(new, [key], sk_col, start=max_key(target, sk_col), num_partitions=num_partitions)
@@ -95,7 +95,7 @@ def scd2_close(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     """
     is_cur = F.coalesce(F.col(current_col), F.lit(False))
     t = target.where(is_cur).alias("t")
-    s = source.select(key, *tracked, effective_col).withColumn("_in_s", F.lit(True)).alias("s")
+    s = source.select(key, *tracked, effective_col).withColumn("_in_s", F.lit(True)).alias("s").hint("merge")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
     changed = F.col("s._in_s").isNotNull() & _changed(tracked, null_safe)
     if require_newer:
@@ -116,7 +116,7 @@ def scd2_new_versions(target: DataFrame, source: DataFrame, key: str, tracked: S
                       current_col: str = "IsCurrent", null_safe: bool = False,
                       require_newer: bool = False) -> DataFrame:
     """INSERT ... SELECT of source keys with no current version or a change."""
-    cur = target.where(F.col(current_col)).select(key, *tracked, start_col).alias("t")
+    cur = target.where(F.col(current_col)).select(key, *tracked, start_col).alias("t").hint("merge")
     s = source.alias("s")
     joined = s.join(cur, F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
     changed = _changed(tracked, null_safe)

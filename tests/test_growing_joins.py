@@ -44,6 +44,14 @@ def test_lookups_are_merged(layer):
             assert sorted((r.TransactionID, r.KYCStatus) for r in df.collect()) == [(str(i), None if i % 2 else "ok") for i in range(5)]
 
 
+def test_merges_are_merged(layer):
+    source = layer["customer"].withColumnRenamed("StartDate", "EffectiveDate")
+    assert _merged(merge.scd2_close(layer["customer"], source, "CustomerID", ["Country"]))
+    assert _merged(merge.scd2_new_versions(layer["customer"], source, "CustomerID", ["Country"]))
+    plan = merge.scd1_merge(layer["account"], layer["account"], "AccountID", "AccountSK", ["AccountType"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # the offsets of the new keys, one row per partition
+
+
 def test_gold_views_and_features_are_merged(layer):
     for name, view in gold.build_gold(layer["fact"], layer["customer"], layer["account"]).items():
         assert _merged(view), name
