@@ -87,6 +87,11 @@ def folder(spark, tmp_path_factory):
     return root
 
 
+def test_customer_observations_are_merged(spark, folder):
+    plan = driver.customer_observations(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+
+
 def test_a_query_builds_the_silver_tables_it_reads(spark, folder):
     from ledgerlake.plans.registry import QUERIES
     tables = ("customer_dim_0", "customer_dim_1", "customer_dim", "account_dim", "fact")
